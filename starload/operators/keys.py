@@ -10,10 +10,12 @@ one task.  Instead:
    upper 31 bits and the row position in its lower 33 bits;
 2. materialise that frame with a reliable checkpoint: range bounds are
    sampled, so the numbering must come from a single evaluation;
-3. count rows per partition (one row per partition, a bounded frame),
-   running sum over partitions gives each partition's offset;
-4. ``sk = start + offset[partition] + position`` -- a broadcast join on a
-   frame whose size is the partition count.
+3. count rows per partition -- one number per partition, a list bounded by
+   the partition count -- and turn the running sum into per-partition
+   offsets on the driver;
+4. ``sk = start + offsets[partition] + position``: the offsets are an array
+   literal inside the projection, so no join and no second aggregate runs
+   when the keyed frame is evaluated later.
 
 The result equals ``row_number() over (order by keys)`` (ties broken by the
 row hash) and needs one shuffle of the data plus the checkpoint write.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.session import materialize
@@ -41,11 +43,16 @@ def _order_columns(df: DataFrame, order_by: Sequence[str | Column], tiebreak: bo
 
 def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column], sk: str = "sk",
                           start: int | Column = 1, num_partitions: int | None = None,
-                          tiebreak: bool = True, first: bool = True) -> DataFrame:
+                          tiebreak: bool = True, first: bool = True,
+                          stats: dict | None = None, null_check: Sequence[str] = ()) -> DataFrame:
     """Dense sequential keys ``start, start+1, ...`` in ``order_by`` order.
 
     ``start`` may be a Column (e.g. a scalar subquery ``max(sk) + 1``).
     The output keeps the input columns and puts ``sk`` first when ``first``.
+    ``stats`` (a dict) receives ``rows`` and, for the ``null_check``
+    columns, ``null_keys`` -- both from the per-partition count job that
+    numbering needs anyway, so callers get row counts and null-key checks
+    without another pass.
     """
     order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
     spark = df.sparkSession
@@ -58,13 +65,26 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
     ranged = materialize(ranged)
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__sk_n"))
-    # Window over at most n rows (one per partition): bounded by design.
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("__sk_n").over(w), F.lit(0)).alias("__sk_off"))
+    nulls = F.lit(0)
+    if null_check:
+        any_null = None
+        for c in null_check:
+            x = F.col(c).isNull()
+            any_null = x if any_null is None else any_null | x
+        nulls = F.count_if(any_null)
+    per_part = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"), nulls.alias("z")).collect()
+    counts = {r[_PID]: r["n"] for r in per_part}
+    if stats is not None:
+        stats["rows"] = sum(counts.values())
+        stats["null_keys"] = sum(r["z"] for r in per_part)
+    offsets, running = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(running)
+        running += counts.get(pid, 0)
+    offset_of = (F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
+                 if offsets else F.lit(0).cast("bigint"))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    keyed = (ranged.join(F.broadcast(offsets), _PID)
-             .withColumn(sk, (start_col.cast("bigint") + F.col("__sk_off") + F.col(_POS)).cast("bigint")))
+    keyed = ranged.withColumn(sk, (start_col.cast("bigint") + offset_of + F.col(_POS)).cast("bigint"))
     out_cols = [sk, *cols] if first else [*cols, sk]
     return keyed.select(*out_cols)
 

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from starload.functions.scalar import UNKNOWN_SK
 from starload.operators.dims import dedupe_on_key
 from starload.operators.keys import assign_surrogate_keys
-from starload.operators.lookup import dim_lookup, missing_dim_default
+from starload.operators.lookup import BROADCAST_MAX_ROWS, dim_lookup, missing_dim_default
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
 from starload.operators.quality import LoadCheckError, annotate_rejects, count_checks
 from starload.session import materialize
@@ -100,10 +100,19 @@ def _key_null(cols: list[str]) -> Column:
     return cond
 
 
+def _broadcast_choice(dim: str, dim_rows: Mapping[str, int] | None) -> bool | None:
+    """Known dimension size -> decide here; unknown -> ``None`` (the lookup
+    runs the bounded ``small_enough`` count)."""
+    if dim_rows is None or dim not in dim_rows:
+        return None
+    return dim_rows[dim] <= BROADCAST_MAX_ROWS
+
+
 def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame | None],
                 load_ts: str | None = None, audit_col: str | None = "dt_insert",
                 existing: DataFrame | None = None,
-                materialize_checked: bool = False) -> tuple[DataFrame, DataFrame | None]:
+                materialize_checked: bool = False, stats: dict | None = None,
+                dim_rows: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Plan one target table.  Returns ``(valid, rejected_or_None)``.
 
     Every fail-mode rule of the spec is counted in ONE aggregate job over the
@@ -112,6 +121,9 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     only new business keys, numbering them after the stored maximum.
     ``materialize_checked`` checkpoints the annotated frame first, so the
     check job and the later write read it instead of re-running the joins.
+    ``stats`` receives the row count of a dimension (known from numbering);
+    ``dim_rows`` gives known parent sizes, so broadcast decisions need no
+    count job (unknown sizes are checked by ``small_enough``).
     """
     df = map_columns(source_frame(spec, sources), spec.columns)
     if spec.fill:
@@ -120,18 +132,10 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     modes: dict[str, str] = {}
     null_key_rejects = None
     is_dim = spec.kind == "dimension" and bool(spec.business_key)
-    if spec.business_key and is_dim and spec.on_null_key != KEEP:
-        # Null business keys are settled before numbering: they can never
-        # receive a surrogate key.  Fail mode costs one job over the key
-        # columns only (column pruning reaches the scan).
-        null_rows = df.filter(_key_null(spec.business_key))
-        if spec.on_null_key == FAIL:
-            n = null_rows.select(F.count(F.lit(1)).alias("n")).first()["n"]
-            if n:
-                raise LoadCheckError(f"{spec.target}: {{'null_business_key': {n}}}")
-        else:
-            null_key_rejects = null_rows.withColumn(REASONS, F.array(F.lit("null_business_key")))
-    elif spec.business_key:
+    if is_dim and spec.on_null_key == REJECT:
+        null_key_rejects = df.filter(_key_null(spec.business_key)).withColumn(
+            REASONS, F.array(F.lit("null_business_key")))
+    elif spec.business_key and not is_dim:
         rules["null_business_key"] = _key_null(spec.business_key)
         modes["null_business_key"] = spec.on_null_key
     for name, predicate in spec.checks.items():
@@ -139,14 +143,23 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
         modes[f"check_{name}"] = spec.on_check
 
     if is_dim:
-        keyed = df.filter(~_key_null(spec.business_key)) if spec.on_null_key != KEEP else df
+        # Fail mode numbers null keys too and counts them in the numbering's
+        # own per-partition job; the load then stops before anything is
+        # written.  Reject mode removes them first (they went to the rejects).
+        keyed = df.filter(~_key_null(spec.business_key)) if spec.on_null_key == REJECT else df
         keyed = dedupe_on_key(keyed, spec.business_key)
         start: int | Column = 1
         if existing is not None:
             from starload.operators.lookup import anti_members
             keyed = anti_members(keyed, existing, spec.business_key)
             start = F.coalesce(existing.select(F.max(F.col(spec.sk))).scalar(), F.lit(0)) + F.lit(1)
-        df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start)
+        sk_stats: dict = {}
+        df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start, stats=sk_stats,
+                                   null_check=spec.business_key if spec.on_null_key == FAIL else ())
+        if sk_stats.get("null_keys"):
+            raise LoadCheckError(f"{spec.target}: {{'null_business_key': {sk_stats['null_keys']}}}")
+        if stats is not None:
+            stats["rows"] = sk_stats["rows"]
 
     for lk in spec.lookups:
         dim = dims.get(lk.dim)
@@ -157,13 +170,15 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
             dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
             key = f"__date_{lk.sk_as}"
             df = df.withColumn(key, F.to_date(F.col(lk.fk[0])))
-            df = dim_lookup(df, dim, key, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status)
+            df = dim_lookup(df, dim, key, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status,
+                            broadcast=_broadcast_choice(lk.dim, dim_rows))
             if lk.fk[0] not in spec.keep_natural:
                 df = df.drop(lk.fk[0])
         else:
             dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
             df = dim_lookup(df, dim, lk.fk, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status,
-                            keep_fk=bool(set(lk.fk) & set(spec.keep_natural)))
+                            keep_fk=bool(set(lk.fk) & set(spec.keep_natural)),
+                            broadcast=_broadcast_choice(lk.dim, dim_rows))
         rules[f"unresolved_{lk.sk_as}"] = F.col(status) != F.lit("found")
         modes[f"unresolved_{lk.sk_as}"] = lk.on_missing
 

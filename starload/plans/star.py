@@ -134,8 +134,13 @@ def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = Non
     for t in targets or list(specs):
         need(t)
     built: dict[str, DataFrame] = {}
+    rows: dict[str, int] = {}
     for spec in topological_order([specs[n] for n in wanted]):
         parents = {p: built[p] for p in spec.parents}
         table_audit = None if spec.kind == "fact" else audit_col
-        built[spec.target], _ = build_table(spec, sources, parents, load_ts, table_audit)
+        stats: dict = {}
+        built[spec.target], _ = build_table(spec, sources, parents, load_ts, table_audit,
+                                            stats=stats, dim_rows=rows)
+        if "rows" in stats:
+            rows[spec.target] = stats["rows"]
     return built
