@@ -1,7 +1,7 @@
 """Dimension lookups and membership joins.
 
 Join strategy: a dimension is broadcast only after its row count has been
-checked against ``BROADCAST_MAX_ROWS`` (the lookup side carries just the
+checked against ``starload.broadcast.maxRows`` (the lookup side carries just the
 business key and the surrogate key, so the bound is ~16-40 bytes a row).
 Above the bound the join is a plain shuffle join; AQE may still demote it to
 a broadcast from measured shuffle sizes, and splits skewed fact partitions
@@ -17,8 +17,15 @@ from pyspark.sql import functions as F
 
 from starload.functions.scalar import UNKNOWN_SK
 
-# Largest dimension (rows) that is broadcast on an explicit hint.
+# Largest dimension (rows) that is broadcast on an explicit hint; a session
+# can override it with ``spark.conf.set("starload.broadcast.maxRows", n)``.
 BROADCAST_MAX_ROWS = 2_000_000
+MAX_ROWS_CONF = "starload.broadcast.maxRows"
+
+
+def broadcast_max_rows(spark) -> int:
+    return int(spark.conf.get(MAX_ROWS_CONF, None) or BROADCAST_MAX_ROWS)
+
 
 # How a foreign key resolved: kept apart although parity mode folds all to -1.
 STATUS_FOUND = "found"
@@ -31,16 +38,18 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def small_enough(df: DataFrame, max_rows: int | None = None) -> bool:
     """Row-count check that gates every explicit broadcast.
 
     ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
     so the check costs at most ``max_rows`` rows even for a huge frame.
     """
+    if max_rows is None:
+        max_rows = broadcast_max_rows(df.sparkSession)
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if small_enough(df, max_rows) else df
 
 
