@@ -62,25 +62,52 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
 def table_profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """A5: one row per column: rows, nulls, distinct, min and max as text.
 
-    rows / nulls / typed min / max come from ONE wide aggregate, rendered to
-    text afterwards; distinct counts from ``distinct_counts``.  Both inputs
-    of the final join have one row per column.
+    One scan: every row is unpivoted to (column, value-as-text) pairs and
+    counted per distinct pair (map-side partial counts, so repeated values
+    -- nulls included -- collapse before the shuffle).  From the pairs one
+    aggregate gives, per column, rows (sum of counts), nulls, distinct
+    values and the typed min/max (the text is cast back to the column type,
+    so 10 sorts after 9).  ``approx=True`` uses sketches instead (one pass,
+    no pair shuffle).
     """
     cols = list(columns or df.columns)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if approx:
+        return _table_profile_approx(df, cols)
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("k"), _identity_text(df, c).alias("v")) for c in cols])).alias("p")
+    ).groupBy("p.k", "p.v").agg(F.count(F.lit(1)).alias("n"))
+    aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
-                 F.min(F.col(c)).alias(f"__lo{i}"), F.max(F.col(c)).alias(f"__hi{i}")]
-    wide = df.agg(*aggs)
-    stats = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"),
-                 F.col(f"__n{i}").alias("nulls"),
+        mine = F.col("k") == F.lit(c)
+        typed = F.when(mine, F.col("v").cast(types[c]))
+        aggs += [F.sum(F.when(mine, F.col("n"))).alias(f"__r{i}"),
+                 F.sum(F.when(mine & F.col("v").isNull(), F.col("n"))).alias(f"__n{i}"),
+                 F.count_if(mine & F.col("v").isNotNull()).alias(f"__d{i}"),
+                 F.min(typed).alias(f"__lo{i}"), F.max(typed).alias(f"__hi{i}")]
+    wide = pairs.agg(*aggs)
+    return _profile_rows(wide, cols)
+
+
+def _profile_rows(wide: DataFrame, cols: Sequence[str]) -> DataFrame:
+    def nz(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
+
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), nz(f"__r{i}").alias("rows"), nz(f"__n{i}").alias("nulls"),
+                 nz(f"__d{i}").alias("distinct_count"),
                  _display_text(wide, f"__lo{i}").alias("min_value"),
                  _display_text(wide, f"__hi{i}").alias("max_value"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
-    distinct = distinct_counts(df, cols, approx=approx)
-    return stats.join(distinct, "column_name").select(
-        "column_name", "rows", "nulls", "distinct_count", "min_value", "max_value")
+
+
+def _table_profile_approx(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(F.lit(1)).alias(f"__r{i}"), F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
+                 F.approx_count_distinct(F.col(c)).alias(f"__d{i}"),
+                 F.min(F.col(c)).alias(f"__lo{i}"), F.max(F.col(c)).alias(f"__hi{i}")]
+    return _profile_rows(df.agg(*aggs), cols)
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
