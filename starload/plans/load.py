@@ -27,13 +27,16 @@ log = logging.getLogger("starload.load")
 BATCH_COL = "load_batch"
 
 
-def _batch_id(load_ts: str | None) -> F.Column:
+def _batch_id(load_ts: str | None, batch_id: str | None = None) -> F.Column:
+    if batch_id is not None:
+        return F.lit(str(batch_id))
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts else F.current_timestamp()
     return F.date_format(ts, "yyyyMMddHHmmss")
 
 
 def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataFrame], target_root: str,
-               load_ts: str | None = None, audit_col: str | None = "dt_insert") -> None:
+               load_ts: str | None = None, audit_col: str | None = "dt_insert",
+               batch_id: str | None = None) -> None:
     target = f"{target_root.rstrip('/')}/{spec.target}"
     parents = {p: (read_back(spark, f"{target_root.rstrip('/')}/{p}")
                    if table_exists(spark, f"{target_root.rstrip('/')}/{p}") else None)
@@ -42,25 +45,26 @@ def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataF
     valid, rejected = build_table(spec, sources, parents, load_ts, audit_col, existing=existing,
                                   materialize_checked=spec.kind != "dimension")
     if rejected is not None:
-        (rejected.withColumn(BATCH_COL, _batch_id(load_ts))
+        (rejected.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
          .write.mode("append").parquet(f"{target}_rejected"))
     if spec.kind == "dimension":
         append_by_name(valid, target)
     else:
-        (valid.withColumn(BATCH_COL, _batch_id(load_ts))
+        (valid.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(target))
 
 
 def run_load(spark: SparkSession, specs: list[TableSpec], sources: Mapping[str, DataFrame], target_root: str,
-             load_ts: str | None = None, audit_col: str | None = "dt_insert") -> DataFrame:
+             load_ts: str | None = None, audit_col: str | None = "dt_insert",
+             batch_id: str | None = None) -> DataFrame:
     """Load every spec; return (table_name, rows) read back from the
     warehouse after the load -- one small aggregate per table."""
     order = topological_order(specs)
     for spec in order:
         log.info("loading %s", spec.target)
         try:
-            load_table(spark, spec, sources, target_root, load_ts, audit_col)
+            load_table(spark, spec, sources, target_root, load_ts, audit_col, batch_id)
         except Exception:
             log.error("load stopped at %s", spec.target)
             raise
@@ -70,3 +74,35 @@ def run_load(spark: SparkSession, specs: list[TableSpec], sources: Mapping[str,
             F.count(F.lit(1)).alias("rows")).select(F.lit(spec.target).alias("table_name"), "rows")
         counts = c if counts is None else counts.unionByName(c)
     return counts
+
+
+def reconcile_load(spark: SparkSession, specs: list[TableSpec], sources: Mapping[str, DataFrame],
+                   target_root: str) -> DataFrame:
+    """Q10 after a load: per dimension, business keys of the source against
+    the keys stored in the target (match / missing / extra; attributes are
+    not compared because the target adds keys and audit columns).  Null
+    source keys are left out: they never receive a surrogate key."""
+    from starload.operators.mapping import map_columns
+    from starload.operators.reconcile import reconcile
+    from starload.plans.spec import source_frame
+
+    out = None
+    for spec in topological_order(specs):
+        if spec.kind != "dimension" or not spec.business_key:
+            continue
+        keys = list(spec.business_key)
+        src = map_columns(source_frame(spec, sources), [c for c in spec.columns if c[0] in keys])
+        src = src.dropna(subset=keys).distinct()
+        tgt = read_back(spark, f"{target_root.rstrip('/')}/{spec.target}").select(*keys)
+        r = reconcile(src, tgt, keys, compare=[]).select(F.lit(spec.target).alias("table_name"), "status", "n")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def load_gate(summary: DataFrame) -> None:
+    """Stop when any reconciled table has missing, extra or changed rows."""
+    from starload.operators.quality import LoadCheckError
+
+    bad = summary.filter((F.col("status") != "match") & (F.col("n") > 0)).collect()
+    if bad:
+        raise LoadCheckError(f"reconciliation failed: {[(r.table_name, r.status, r.n) for r in bad]}")
