@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.plans.spec import TableSpec, build_table, topological_order
-from starload.sources.warehouse import append_by_name, read_back, table_exists
+from starload.sources.warehouse import append_by_name, read_back, try_read_back
 
 log = logging.getLogger("starload.load")
 
@@ -38,17 +38,16 @@ def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataF
                load_ts: str | None = None, audit_col: str | None = "dt_insert",
                batch_id: str | None = None) -> None:
     target = f"{target_root.rstrip('/')}/{spec.target}"
-    parents = {p: (read_back(spark, f"{target_root.rstrip('/')}/{p}")
-                   if table_exists(spark, f"{target_root.rstrip('/')}/{p}") else None)
-               for p in spec.parents}
-    existing = read_back(spark, target) if spec.kind == "dimension" and table_exists(spark, target) else None
+    parents = {p: try_read_back(spark, f"{target_root.rstrip('/')}/{p}") for p in spec.parents}
+    existing = try_read_back(spark, target) if spec.kind == "dimension" else None
     valid, rejected = build_table(spec, sources, parents, load_ts, audit_col, existing=existing,
                                   materialize_checked=spec.kind != "dimension")
     if rejected is not None:
         (rejected.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
          .write.mode("append").parquet(f"{target}_rejected"))
     if spec.kind == "dimension":
-        append_by_name(valid, target)
+        append_by_name(valid, target, existing.schema if existing is not None else None,
+                       exists=existing is not None)
     else:
         (valid.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -21,14 +21,18 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def table_exists(spark: SparkSession, target: str) -> bool:
+def try_read_back(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table, or ``None`` when it does not exist yet (one footer read)."""
     if _is_path(target):
         try:
-            spark.read.parquet(target).schema  # noqa: B018 -- schema resolution touches footers only
-            return True
+            return spark.read.parquet(target)
         except Exception:  # AnalysisException: path does not exist
-            return False
-    return spark.catalog.tableExists(target)
+            return None
+    return spark.read.table(target) if spark.catalog.tableExists(target) else None
+
+
+def table_exists(spark: SparkSession, target: str) -> bool:
+    return try_read_back(spark, target) is not None
 
 
 def read_back(spark: SparkSession, target: str) -> DataFrame:
@@ -44,13 +48,16 @@ def write_table(df: DataFrame, target: str, mode: str = "errorifexists") -> None
         df.write.mode(mode).saveAsTable(target)
 
 
-def append_by_name(df: DataFrame, target: str, schema: StructType | None = None) -> DataFrame:
+def append_by_name(df: DataFrame, target: str, schema: StructType | None = None,
+                   exists: bool | None = None) -> DataFrame:
     """S3: append with columns matched by name; extra columns are ignored,
     missing columns become typed nulls.  The target schema is read from the
-    table when it exists.  Returns the frame actually appended."""
+    table when it exists (callers that already know it pass ``schema``, or
+    ``exists=False`` for a first load).  Returns the frame appended."""
     spark = df.sparkSession
-    if schema is None and table_exists(spark, target):
-        schema = read_back(spark, target).schema
+    if schema is None and exists is not False:
+        current = try_read_back(spark, target)
+        schema = current.schema if current is not None else None
     out = conform_schema(df, schema, allow_missing=True) if schema is not None else df
     write_table(out, target, mode="append")
     return out
@@ -63,8 +70,8 @@ def append_new_only(df: DataFrame, target: str, business_key: str | Sequence[str
     anti join is the target's distinct keys."""
     spark = df.sparkSession
     keys = [business_key] if isinstance(business_key, str) else list(business_key)
-    if table_exists(spark, target):
-        existing = read_back(spark, target)
+    existing = try_read_back(spark, target)
+    if existing is not None:
         df = anti_members(df, existing, keys)
         schema = schema or existing.schema
-    return append_by_name(df, target, schema)
+    return append_by_name(df, target, schema, exists=existing is not None)

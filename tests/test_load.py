@@ -66,6 +66,11 @@ def test_unknown_parent_modes(spark):
 
     with pytest.raises(LoadCheckError):
         build_table(spec(FAIL), src, {"d_region": dim_region})
+    # same check observed during the materialising checkpoint (no extra job)
+    with pytest.raises(LoadCheckError, match="unresolved_sk_region"):
+        build_table(spec(FAIL), src, {"d_region": dim_region}, materialize_checked=True)
+    ok, _ = build_table(spec(KEEP), src, {"d_region": dim_region}, materialize_checked=True)
+    assert ok.count() == 3
     kept, _ = build_table(spec(KEEP), src, {"d_region": dim_region})
     assert sorted((r.country_id, r.sk_region) for r in kept.collect()) == [("FR", 1), ("XX", -1), ("YY", -1)]
     valid, rejected = build_table(spec(REJECT), src, {"d_region": dim_region})
