@@ -19,19 +19,32 @@ one task.  Instead:
 
 The result equals ``row_number() over (order by keys)`` (ties broken by the
 row hash) and needs one shuffle of the data plus the checkpoint write.
+
+Small inputs: a probe ``limit(m + 1)`` count proves whether the input has at
+most ``m = starload.sk.singleTaskMaxRows`` rows (default 1,000,000); if so
+the numbering is that ``row_number`` window itself -- one task, but over a
+checked, bounded row count -- and no checkpoint is written.  Set it to 0 to
+always take the distributed path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starload.session import materialize
 
 _PID = "__sk_pid"
 _POS = "__sk_pos"
+SINGLE_TASK_CONF = "starload.sk.singleTaskMaxRows"
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
+def single_task_max_rows(spark) -> int:
+    value = spark.conf.get(SINGLE_TASK_CONF, None)
+    return SINGLE_TASK_MAX_ROWS if value is None else int(value)
 
 
 def _order_columns(df: DataFrame, order_by: Sequence[str | Column], tiebreak: bool) -> list[Column]:
@@ -59,19 +72,26 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
     ordering = _order_columns(df, order, tiebreak)
+    out_cols = [sk, *cols] if first else [*cols, sk]
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    nulls = _null_count(null_check)
+
+    bound = single_task_max_rows(spark)
+    if bound > 0:
+        probe = df.limit(bound + 1).agg(F.count(F.lit(1)).alias("n"), nulls.alias("z")).first()
+        if probe["n"] <= bound:
+            if stats is not None:
+                stats["rows"], stats["null_keys"] = probe["n"], probe["z"]
+            w = Window.orderBy(*ordering)
+            keyed = df.withColumn(sk, (start_col.cast("bigint") + F.row_number().over(w) - 1).cast("bigint"))
+            return keyed.select(*out_cols)
+
     ranged = (df.repartitionByRange(n, *ordering)
               .sortWithinPartitions(*ordering)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
     ranged = materialize(ranged)
-    nulls = F.lit(0)
-    if null_check:
-        any_null = None
-        for c in null_check:
-            x = F.col(c).isNull()
-            any_null = x if any_null is None else any_null | x
-        nulls = F.count_if(any_null)
     per_part = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"), nulls.alias("z")).collect()
     counts = {r[_PID]: r["n"] for r in per_part}
     if stats is not None:
@@ -83,12 +103,20 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
         running += counts.get(pid, 0)
     offset_of = (F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
                  if offsets else F.lit(0).cast("bigint"))
-    start_col = start if isinstance(start, Column) else F.lit(start)
     keyed = ranged.withColumn(sk, (start_col.cast("bigint") + offset_of + F.col(_POS)).cast("bigint"))
-    out_cols = [sk, *cols] if first else [*cols, sk]
     return keyed.select(*out_cols)
 
 
+def _null_count(columns: Sequence[str]) -> Column:
+    if not columns:
+        return F.lit(0).cast("bigint")
+    any_null = None
+    for c in columns:
+        x = F.col(c).isNull()
+        any_null = x if any_null is None else any_null | x
+    return F.count_if(any_null)
+
+
 def assign_surrogate_keys_incremental(new_rows: DataFrame, existing: DataFrame, business_key: str | Sequence[str],
                                       sk: str = "sk", order_by: Sequence[str] | None = None,
                                       num_partitions: int | None = None) -> DataFrame:

@@ -139,14 +139,21 @@ def test_small_enough_bound(spark):
 
 # ------------------------------------------------------------------ keys
 
-def test_surrogate_keys_equal_row_number_no_gaps(spark):
+@pytest.fixture()
+def distributed_keys(spark):
+    spark.conf.set("starload.sk.singleTaskMaxRows", "0")
+    yield
+    spark.conf.unset("starload.sk.singleTaskMaxRows")
+
+
+def test_surrogate_keys_equal_row_number_no_gaps(spark, distributed_keys):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5000).alias("k"))
     out = assign_surrogate_keys(df, "k", sk="sk", num_partitions=6)
     got = rows(out, "k", "sk")
     assert got == [(k, k + 1) for k in range(5000)]
 
 
-def test_surrogate_keys_hot_key_spread(spark):
+def test_surrogate_keys_hot_key_spread(spark, distributed_keys):
     # A key held by a third of the rows still numbers 1..n without gaps.
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
                                      F.col("id").alias("v"))
@@ -157,10 +164,13 @@ def test_surrogate_keys_hot_key_spread(spark):
     assert len(per_part) > 1
 
 
-def test_surrogate_keys_incremental_continue(spark):
+@pytest.mark.parametrize("bound", ["0", "1000"])
+def test_surrogate_keys_incremental_continue(spark, bound):
+    spark.conf.set("starload.sk.singleTaskMaxRows", bound)
     first = assign_surrogate_keys(spark.createDataFrame([(5,), (1,)], "k int"), "k", sk="sk")
     new = assign_surrogate_keys_incremental(spark.createDataFrame([(1,), (3,), (9,)], "k int"), first, "k", sk="sk")
     assert rows(new, "k", "sk") == [(3, 3), (9, 4)]
+    spark.conf.unset("starload.sk.singleTaskMaxRows")
 
 
 def test_split_hierarchy(spark):

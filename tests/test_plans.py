@@ -37,10 +37,23 @@ def test_lookup_not_broadcast_over_bound(spark):
 
 
 def test_surrogate_key_has_no_single_partition_window(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
-    out = assign_surrogate_keys(df, "o_orderkey", sk="sk")
-    plan = plan_text(out)
-    assert "SinglePartition" not in plan and "Window" not in plan
+    # Above the single-task bound the numbering never funnels through one task.
+    spark.conf.set("starload.sk.singleTaskMaxRows", "100")
+    try:
+        df = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+        out = assign_surrogate_keys(df, "o_orderkey", sk="sk")
+        plan = plan_text(out)
+        assert "SinglePartition" not in plan and "Window" not in plan
+        assert sorted(r.sk for r in out.collect()) == list(range(1, df.count() + 1))
+    finally:
+        spark.conf.unset("starload.sk.singleTaskMaxRows")
+
+
+def test_surrogate_key_small_input_single_window(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/nation.parquet").select("n_nationkey")
+    out = assign_surrogate_keys(df, "n_nationkey", sk="sk")
+    assert "Window" in plan_text(out)
+    assert sorted((r.n_nationkey, r.sk) for r in out.collect()) == [(k, k + 1) for k in range(25)]
 
 
 def test_filter_and_projection_reach_scan(spark):
