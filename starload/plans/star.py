@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StructField, StructType
 
 from starload.functions.scalar import MIN_DATE, cast_decimal
-from starload.plans.spec import FAIL, Lookup, TableSpec, build_table, topological_order
+from starload.plans.spec import FAIL, KEEP, Lookup, TableSpec, build_table, topological_order
 from starload.sources.tables import read_tables
 
 # Fixed audit timestamp so results are repeatable and comparable.
@@ -55,7 +55,10 @@ FACT_SCHEMA = StructType([
 ])
 
 
-def star_specs(on_missing: str = FAIL) -> list[TableSpec]:
+def star_specs(on_missing: str = FAIL, dim_on_missing: str = KEEP) -> list[TableSpec]:
+    """The star's specs.  As in the reference, a dimension stores the
+    unknown member (-1) for a parent it cannot resolve (``dim_on_missing``),
+    while the fact's lookups use ``on_missing`` (fail by default)."""
     text_fill = "na"
     return [
         TableSpec("dim_region", "region",
@@ -65,21 +68,21 @@ def star_specs(on_missing: str = FAIL) -> list[TableSpec]:
                   [("nation_id", "n_nationkey"), ("nation_name", "n_name"), ("region_id", "n_regionkey")],
                   business_key=["nation_id"], sk="sk_nation", fill={"nation_name": text_fill},
                   lookups=[Lookup(["region_id"], "dim_region", ["region_id"], "sk_region",
-                                  on_missing=on_missing, dim_sk="sk_region")]),
+                                  on_missing=dim_on_missing, dim_sk="sk_region")]),
         TableSpec("dim_customer", "customer",
                   [("customer_id", "c_custkey"), ("customer_name", "c_name"), ("segment", "c_mktsegment"),
                    ("acctbal", cast_decimal("c_acctbal", 12, 2)), ("nation_id", "c_nationkey")],
                   business_key=["customer_id"], sk="sk_customer",
                   fill={"customer_name": text_fill, "segment": text_fill, "acctbal": "zero"},
                   lookups=[Lookup(["nation_id"], "dim_nation", ["nation_id"], "sk_nation",
-                                  on_missing=on_missing, dim_sk="sk_nation")]),
+                                  on_missing=dim_on_missing, dim_sk="sk_nation")]),
         TableSpec("dim_supplier", "supplier",
                   [("supplier_id", "s_suppkey"), ("supplier_name", "s_name"),
                    ("acctbal", cast_decimal("s_acctbal", 12, 2)), ("nation_id", "s_nationkey")],
                   business_key=["supplier_id"], sk="sk_supplier",
                   fill={"supplier_name": text_fill, "acctbal": "zero"},
                   lookups=[Lookup(["nation_id"], "dim_nation", ["nation_id"], "sk_nation",
-                                  on_missing=on_missing, dim_sk="sk_nation")],
+                                  on_missing=dim_on_missing, dim_sk="sk_nation")],
                   keep_natural=["nation_id"]),
         TableSpec("dim_part", "part",
                   [("part_id", "p_partkey"), ("part_name", "p_name"), ("brand", "p_brand"),
@@ -118,9 +121,13 @@ def spec_by_name(name: str, on_missing: str = FAIL) -> TableSpec:
 
 
 def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = None, load_ts: str | None = LOAD_TS,
-               audit_col: str | None = "dt_insert", on_missing: str = FAIL) -> dict[str, DataFrame]:
-    """Plan the star in memory (no writes): each table sees its parents'
-    planned frames.  Only the tables needed for ``targets`` are built."""
+               audit_col: str | None = "dt_insert", on_missing: str = FAIL,
+               materialize_facts: bool = True) -> dict[str, DataFrame]:
+    """Plan the star in memory (no warehouse writes): each table sees its
+    parents' planned frames.  Only the tables needed for ``targets`` are
+    built.  ``materialize_facts`` evaluates a fact once into a checkpoint
+    with its checks observed on the way, instead of a check job followed by
+    a second evaluation."""
     specs = {s.target: s for s in star_specs(on_missing)}
     wanted: set[str] = set()
 
@@ -140,7 +147,8 @@ def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = Non
         table_audit = None if spec.kind == "fact" else audit_col
         stats: dict = {}
         built[spec.target], _ = build_table(spec, sources, parents, load_ts, table_audit,
-                                            stats=stats, dim_rows=rows)
+                                            stats=stats, dim_rows=rows,
+                                            materialize_checked=materialize_facts and spec.kind == "fact")
         if "rows" in stats:
             rows[spec.target] = stats["rows"]
     return built
