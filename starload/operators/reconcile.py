@@ -1,7 +1,8 @@
 """Source/target comparison.
 
-``reconcile`` digests each row to one 64-bit hash *before* the join, so the
-shuffle carries (key, digest) only -- not the compared columns.
+``reconcile`` digests each row to one 64-bit hash and folds each side to
+(key, count, digest sum) *before* the join: the shuffles carry no compared
+columns, and repeated keys never multiply in the join.
 """
 
 from __future__ import annotations
@@ -20,17 +21,30 @@ def row_digest(columns: Sequence[str]):
     return F.xxhash64(F.struct(*[F.col(c) for c in columns]))
 
 
+def _fingerprints(df: DataFrame, keys: Sequence[str], cols: Sequence[str], tag: str) -> DataFrame:
+    """Per key: row count and the sum of row digests (as decimal(38,0), so it
+    cannot overflow).  Both are algebraic, so the aggregate combines
+    map-side and a key repeated in a third of all rows still ends as one
+    row -- the full outer join after it is 1:1 per key, never all pairs."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"__n{tag}"),
+        F.sum(row_digest(cols).cast("decimal(38,0)")).alias(f"__h{tag}"))
+
+
 def reconcile_rows(source: DataFrame, target: DataFrame, key: str | Sequence[str],
                    compare: Sequence[str] | None = None) -> DataFrame:
-    """Per key: match / changed / missing (in source, not target) / extra."""
+    """Per key: match / changed / missing (in source, not target) / extra.
+
+    A key matches when both sides hold the same multiset of compared rows
+    (same count, same digest sum); for unique keys that is row equality."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(compare) if compare is not None else [c for c in source.columns if c not in keys]
-    s = source.select(*keys, row_digest(cols).alias("__src"))
-    t = target.select(*keys, row_digest(cols).alias("__tgt"))
+    s = _fingerprints(source, keys, cols, "s")
+    t = _fingerprints(target, keys, cols, "t")
     joined = s.join(t, keys, "full_outer")
-    status = (F.when(F.col("__tgt").isNull(), F.lit(MISSING))
-              .when(F.col("__src").isNull(), F.lit(EXTRA))
-              .when(F.col("__src") == F.col("__tgt"), F.lit(MATCH))
+    status = (F.when(F.col("__nt").isNull(), F.lit(MISSING))
+              .when(F.col("__ns").isNull(), F.lit(EXTRA))
+              .when((F.col("__ns") == F.col("__nt")) & (F.col("__hs") == F.col("__ht")), F.lit(MATCH))
               .otherwise(F.lit(CHANGED)))
     return joined.select(*keys, status.alias("status"))
 

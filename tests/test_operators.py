@@ -252,3 +252,26 @@ def test_functional_dependency(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     r = functional_dependency(df, "k", "v").first()
     assert (r.violating_groups, r.holds) == (1, False)
+
+
+def test_reconcile_repeated_keys_no_pair_blowup(spark):
+    # one key holds most rows on both sides: fingerprints make the join 1:1
+    s = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"),
+                                 (F.col("id") % 5).alias("v"))
+    t = s.union(spark.createDataFrame([(1, 4)], "k long, v long"))
+    got = dict(rows(reconcile(s, t, "k")))
+    assert got["changed"] == 1 and got["missing"] == 0 and got["extra"] == 0
+    assert got["match"] == s.select("k").distinct().count() - 1
+
+
+def test_chunked_nesting_of_hot_parent(spark, distributed_keys):
+    # parent 1 holds a third of the rows; chunks keep order and size
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 1000).alias("g"),
+                                 F.col("id").alias("pos"))
+    out = nest_children(df, "g", "pos", ["pos"], alias="kids", chunk_size=50)
+    hot = sorted((r.chunk, [k.pos for k in r.kids]) for r in out.filter("g = 1").collect())
+    assert [len(k) for _, k in hot] == [50] * 6
+    flat = [p for _, kids in hot for p in kids]
+    assert flat == list(range(0, 900, 3))
+    texts = listagg_ordered(df, "g", "pos", "pos", alias="l", chunk_size=100).filter("g = 1")
+    assert ",".join(r.l for r in texts.orderBy("chunk").collect()) == ",".join(str(p) for p in range(0, 900, 3))
