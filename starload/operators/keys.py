@@ -69,7 +69,6 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
     """
     order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
     ordering = _order_columns(df, order, tiebreak)
     out_cols = [sk, *cols] if first else [*cols, sk]
@@ -86,7 +85,12 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
             keyed = df.withColumn(sk, (start_col.cast("bigint") + F.row_number().over(w) - 1).cast("bigint"))
             return keyed.select(*out_cols)
 
-    ranged = (df.repartitionByRange(n, *ordering)
+    # Without an explicit count the exchange uses spark.sql.shuffle.partitions
+    # (sized for the cluster) and AQE merges adjacent small ranges; merged
+    # ranges stay in key order, and the partition id is taken after merging.
+    by_range = (df.repartitionByRange(num_partitions, *ordering) if num_partitions
+                else df.repartitionByRange(*ordering))
+    ranged = (by_range
               .sortWithinPartitions(*ordering)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 def clustered(df: DataFrame, keys: str | Sequence[str], num_partitions: int | None = None,
               tiebreak: bool = True) -> DataFrame:
     cols = [keys] if isinstance(keys, str) else list(keys)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) for c in cols]
     if tiebreak:
         order.append(F.xxhash64(*[F.col(c) for c in df.columns]))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*[F.col(c) for c in cols])
+    # No explicit count: shuffle partitions as the upper bound, AQE merges
+    # adjacent small ranges (file sizes follow the advisory partition size).
+    by_range = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return by_range.sortWithinPartitions(*[F.col(c) for c in cols])
 
 
 def clustered_write(df: DataFrame, path: str, keys: str | Sequence[str], num_partitions: int | None = None,

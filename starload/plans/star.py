@@ -25,7 +25,7 @@ LOAD_TS = "2024-01-01 00:00:00"
 STAR_SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def star_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star_sources(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return read_tables(spark, sf_dir, STAR_SOURCES)
 
 

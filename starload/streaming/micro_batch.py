@@ -9,6 +9,7 @@ together with the stream checkpoint, which lives under the shared
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ def load_stream(stream: DataFrame, source_name: str, specs: list[TableSpec],
     location = checkpoint_location or staging_path(spark, f"stream-{source_name}")
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        sources = {**static_sources, source_name: batch}
+        sources = ChainMap({source_name: batch}, static_sources)
         run_load(batch.sparkSession, specs, sources, target_root, load_ts, batch_id=f"epoch{epoch_id:010d}")
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", location)
