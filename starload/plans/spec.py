@@ -88,6 +88,36 @@ def topological_order(specs: list[TableSpec]) -> list[TableSpec]:
     return done
 
 
+def dependency_levels(specs: list[TableSpec]) -> list[list[TableSpec]]:
+    """Specs grouped so every table's parents sit in an earlier level; the
+    tables of one level are independent and can load concurrently."""
+    names = {s.target for s in specs}
+    level: dict[str, int] = {}
+    for s in topological_order(specs):
+        level[s.target] = 1 + max((level[p] for p in s.parents if p in names), default=-1)
+        if s.kind != "dimension":
+            level[s.target] = max(level[s.target], 1 + max(
+                (level[d.target] for d in specs if d.kind == "dimension" and d.target in level), default=-1))
+    out: list[list[TableSpec]] = []
+    for s in topological_order(specs):
+        while len(out) <= level[s.target]:
+            out.append([])
+        out[level[s.target]].append(s)
+    return [lv for lv in out if lv]
+
+
+def run_level(fn, items: list, max_workers: int) -> list:
+    """Run ``fn`` over one level's items on driver threads (Spark schedules
+    their jobs side by side); the first error is raised after all finish."""
+    if max_workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(items))) as pool:
+        futures = [pool.submit(fn, x) for x in items]
+    return [f.result() for f in futures]
+
+
 def source_frame(spec: TableSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     return spec.source(sources) if callable(spec.source) else sources[spec.source]
 
@@ -220,5 +250,6 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     return df, rejected
 
 
-__all__ = ["Lookup", "TableSpec", "topological_order", "build_table", "source_frame",
+__all__ = ["Lookup", "TableSpec", "topological_order", "dependency_levels", "run_level", "build_table",
+           "source_frame",
            "FAIL", "REJECT", "KEEP", "UNKNOWN_SK"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StructField, StructType
 
 from starload.functions.scalar import MIN_DATE, cast_decimal
-from starload.plans.spec import FAIL, KEEP, Lookup, TableSpec, build_table, topological_order
+from starload.plans.spec import FAIL, KEEP, Lookup, TableSpec, build_table, dependency_levels, run_level
 from starload.sources.tables import read_tables
 
 # Fixed audit timestamp so results are repeatable and comparable.
@@ -122,7 +122,7 @@ def spec_by_name(name: str, on_missing: str = FAIL) -> TableSpec:
 
 def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = None, load_ts: str | None = LOAD_TS,
                audit_col: str | None = "dt_insert", on_missing: str = FAIL,
-               materialize_facts: bool = True) -> dict[str, DataFrame]:
+               materialize_facts: bool = True, parallelism: int = 4) -> dict[str, DataFrame]:
     """Plan the star in memory (no warehouse writes): each table sees its
     parents' planned frames.  Only the tables needed for ``targets`` are
     built.  ``materialize_facts`` evaluates a fact once into a checkpoint
@@ -142,13 +142,19 @@ def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = Non
         need(t)
     built: dict[str, DataFrame] = {}
     rows: dict[str, int] = {}
-    for spec in topological_order([specs[n] for n in wanted]):
+
+    def one(spec: TableSpec) -> tuple[str, DataFrame, dict]:
         parents = {p: built[p] for p in spec.parents}
         table_audit = None if spec.kind == "fact" else audit_col
         stats: dict = {}
-        built[spec.target], _ = build_table(spec, sources, parents, load_ts, table_audit,
-                                            stats=stats, dim_rows=rows,
-                                            materialize_checked=materialize_facts and spec.kind == "fact")
-        if "rows" in stats:
-            rows[spec.target] = stats["rows"]
+        df, _ = build_table(spec, sources, parents, load_ts, table_audit, stats=stats, dim_rows=dict(rows),
+                            materialize_checked=materialize_facts and spec.kind == "fact")
+        return spec.target, df, stats
+
+    # Independent tables of a level are built on concurrent driver threads.
+    for level in dependency_levels([specs[n] for n in wanted]):
+        for name, df, stats in run_level(one, level, parallelism):
+            built[name] = df
+            if "rows" in stats:
+                rows[name] = stats["rows"]
     return built
