@@ -214,15 +214,21 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
 
     df = annotate_rejects(df, rules, REASONS) if rules else df.withColumn(REASONS, F.array().cast("array<string>"))
     fail_rules = {n: F.array_contains(F.col(REASONS), n) for n, m in modes.items() if m == FAIL}
-    if materialize_checked and fail_rules:
-        # The checks ride on the materialising pass (observed metrics of the
-        # checkpoint action): one evaluation, no separate check job.
-        observed = Observation(f"checks_{spec.target}")
-        df = materialize(df.observe(observed, *[F.count_if(c).alias(n) for n, c in fail_rules.items()]))
-        summary = observed.get
-    elif materialize_checked:
-        df = materialize(df)
-        summary = {}
+    reject_names = [n for n, m in modes.items() if m == REJECT]
+    status_cols = [c for c in df.columns if c.startswith("__st_")]
+    # Annotation columns stored only when reject mode needs the reasons.
+    stored = [c for c in df.columns if c not in status_cols and (c != REASONS or reject_names)]
+    if materialize_checked:
+        # Fail-mode checks ride on the materialising pass (observed metrics
+        # of the checkpoint action): one evaluation, no separate check job.
+        if fail_rules:
+            observed = Observation(f"checks_{spec.target}")
+            df = materialize(df.observe(observed, *[F.count_if(c).alias(n) for n, c in fail_rules.items()])
+                             .select(*stored))
+            summary = observed.get
+        else:
+            df = materialize(df.select(*stored))
+            summary = {}
     elif fail_rules:
         summary = count_checks(df, fail_rules, rows_col=None).first().asDict()
     else:
@@ -230,13 +236,11 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     bad = {k: v for k, v in summary.items() if v}
     if bad:
         raise LoadCheckError(f"{spec.target}: {bad}")
-    reject_names = [n for n, m in modes.items() if m == REJECT]
     rejected = None
     if reject_names:
         is_rej = F.exists(F.col(REASONS), lambda r: r.isin(reject_names))
         rejected = df.filter(is_rej)
         df = df.filter(~is_rej)
-    status_cols = [c for c in df.columns if c.startswith("__st_")]
     df = df.drop(REASONS, *status_cols)
     if rejected is not None:
         rejected = rejected.drop(*status_cols)
