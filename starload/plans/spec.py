@@ -145,12 +145,15 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
                 dim_rows: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Plan one target table.  Returns ``(valid, rejected_or_None)``.
 
-    Every fail-mode rule of the spec is counted in ONE aggregate job over the
+    Every fail-mode rule of the spec is counted in ONE aggregate over the
     annotated frame; in reject mode the reasons array splits the frame.
+    Null business keys of a dimension are counted inside the numbering job.
     ``existing`` (the target as loaded so far) makes a dimension load append
     only new business keys, numbering them after the stored maximum.
-    ``materialize_checked`` checkpoints the annotated frame first, so the
-    check job and the later write read it instead of re-running the joins.
+    ``materialize_checked`` checkpoints the frame once and observes the
+    fail-mode counts during that same pass (``Observation``), so neither a
+    separate check job nor a second evaluation of the joins runs; the later
+    write reads the checkpoint.
     ``stats`` receives the row count of a dimension (known from numbering);
     ``dim_rows`` gives known parent sizes, so broadcast decisions need no
     count job (unknown sizes are checked by ``small_enough``).
