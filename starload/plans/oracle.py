@@ -179,7 +179,7 @@ def _run_load() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     # 2.1
-    "dim_readback": _audit(DIM_REGION),
+    "dim_readback": _audit(DIM_CUSTOMER),
     "append_by_name": ("SELECT c_custkey, c_name, CASE WHEN c_nationkey < 12 THEN c_mktsegment END AS c_mktsegment, "
                        "CASE WHEN c_nationkey < 12 THEN 1 ELSE 2 END AS batch FROM customer"),
     "snowflaked_chain": (f"SELECT dc.customer_id, dc.sk_nation, COALESCE(dn.sk_region, -1) AS sk_region "

@@ -70,8 +70,8 @@ def _nation_dim(spark, d) -> DataFrame:
 # ---------------------------------------------------------------- 2.1 sources and sinks
 
 def q_dim_readback(spark, d):
-    path = staging_path(spark, "dim_region")
-    write_table(build_star(star_sources(spark, d), ["dim_region"])["dim_region"], path)
+    path = staging_path(spark, "dim_customer")
+    write_table(build_star(star_sources(spark, d), ["dim_customer"])["dim_customer"], path)
     return read_back(spark, path)
 
 
