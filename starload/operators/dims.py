@@ -42,7 +42,7 @@ def build_dimension(source: DataFrame, mapping: Sequence[tuple[str, str | Column
         df = fill_nulls(df, fill)
     if dedupe:
         df = dedupe_on_key(df, business_key)
-    df = assign_surrogate_keys(df, list(business_key), sk=sk)
+    df = assign_surrogate_keys(df, list(business_key), sk=sk, tiebreak=not dedupe)
     for fk, parent, parent_key, parent_sk, sk_as in parents:
         if parent is None:
             df = missing_dim_default(df, fk, sk_as)
@@ -67,7 +67,7 @@ def date_dim(date_columns: Sequence[tuple[DataFrame, str]], sk: str = "sk_date",
         d = df.select(F.coalesce(F.to_date(F.col(col)), F.lit(MIN_DATE).cast("date")).alias("date_value")).distinct()
         parts = d if parts is None else parts.unionByName(d)
     dates = parts.distinct()
-    keyed = assign_surrogate_keys(dates, "date_value", sk=sk)
+    keyed = assign_surrogate_keys(dates, "date_value", sk=sk, tiebreak=False)
     out = keyed.select(sk, "date_value",
                        F.dayofmonth("date_value").alias("day"),
                        F.month("date_value").alias("month"),
@@ -84,6 +84,6 @@ def split_hierarchy(df: DataFrame, attributes: Sequence[str], sk: str) -> tuple[
     surrogate keys, and the input with the attributes replaced by ``sk``.
     """
     attrs = list(attributes)
-    parent = assign_surrogate_keys(df.select(*attrs).distinct(), attrs, sk=sk)
+    parent = assign_surrogate_keys(df.select(*attrs).distinct(), attrs, sk=sk, tiebreak=False)
     child = dim_lookup(df, parent, attrs, attrs, sk=sk)
     return parent, child

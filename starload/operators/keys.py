@@ -61,6 +61,10 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
     """Dense sequential keys ``start, start+1, ...`` in ``order_by`` order.
 
     ``start`` may be a Column (e.g. a scalar subquery ``max(sk) + 1``).
+    ``tiebreak`` adds a hash of the whole row as the last order key: it
+    spreads a repeated key over several ranges, but it references every
+    column; callers whose keys are unique (de-duplicated dimensions) turn it
+    off so unused columns can be pruned.
     The output keeps the input columns and puts ``sk`` first when ``first``.
     ``stats`` (a dict) receives ``rows`` and, for the ``null_check``
     columns, ``null_keys`` -- both from the per-partition count job that

@@ -187,7 +187,9 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
             keyed = anti_members(keyed, existing, spec.business_key)
             start = F.coalesce(existing.select(F.max(F.col(spec.sk))).scalar(), F.lit(0)) + F.lit(1)
         sk_stats: dict = {}
-        df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start, stats=sk_stats,
+        # Unique after de-duplication: no tie breaker, so a lookup that needs
+        # only key + surrogate key prunes every other column of the source.
+        df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start, stats=sk_stats, tiebreak=False,
                                    null_check=spec.business_key if spec.on_null_key == FAIL else ())
         if sk_stats.get("null_keys"):
             raise LoadCheckError(f"{spec.target}: {{'null_business_key': {sk_stats['null_keys']}}}")
