@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
+    # Remove checkpoint files once their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,8 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) so checkpoints and staged tables survive executor loss")
+        # Local master only (tests, the bench): a private folder, registered
+        # on the context so later calls find it there.
         root = tempfile.mkdtemp(prefix="starload-ck-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root

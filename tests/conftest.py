@@ -14,11 +14,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from starload.session import build_session
 
-    # Tests set their own checkpoint dir: it is unset in a fresh local session.
-    ck = tempfile.mkdtemp(prefix="starload-test-ck-")
+    # spark.checkpoint.dir comes from the environment's Spark conf; only
+    # when it is unset does build_session create a private folder (local).
     wh = tempfile.mkdtemp(prefix="starload-test-wh-")
     s = build_session("local[*]", app_name="starload-tests", shuffle_partitions=8,
-                      extra_conf={"spark.checkpoint.dir": ck, "spark.sql.warehouse.dir": wh})
+                      extra_conf={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
