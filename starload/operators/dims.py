@@ -21,10 +21,19 @@ from starload.operators.mapping import add_audit_column, fill_nulls, map_columns
 def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per business key (defect 2: D_DATE was never de-duplicated).
 
-    ``dropDuplicates`` keeps an arbitrary row per key; dimension sources are
-    unique on their key in practice, and ``unique_check`` reports when not.
+    The kept row is the smallest one by its other columns -- deterministic,
+    so a stage recomputed after an executor loss yields the same attributes
+    (``dropDuplicates`` keeps whichever row arrives first).  When a consumer
+    reads only the key (a lookup), the row aggregate is pruned away.
+    Dimension sources are unique on their key in practice; ``unique_check``
+    reports when not.
     """
-    return df.dropDuplicates(list(key))
+    keys = list(key)
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in others])).alias("__row"))
+    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)
 
 
 def build_dimension(source: DataFrame, mapping: Sequence[tuple[str, str | Column]], business_key: Sequence[str],

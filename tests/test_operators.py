@@ -275,3 +275,12 @@ def test_chunked_nesting_of_hot_parent(spark, distributed_keys):
     assert flat == list(range(0, 900, 3))
     texts = listagg_ordered(df, "g", "pos", "pos", alias="l", chunk_size=100).filter("g = 1")
     assert ",".join(r.l for r in texts.orderBy("chunk").collect()) == ",".join(str(p) for p in range(0, 900, 3))
+
+
+def test_dedupe_keeps_smallest_row_per_key(spark):
+    from starload.operators.dims import dedupe_on_key
+
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, None, 1), (2, "z", 0)], "k int, s string, n int")
+    out = dedupe_on_key(df, ["k"])
+    assert out.columns == ["k", "s", "n"]
+    assert rows(out) == [(1, "a", 9), (2, None, 1)]
