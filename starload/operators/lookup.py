@@ -122,9 +122,22 @@ def missing_dim_default(df: DataFrame, fk: str | Sequence[str], sk_as: str,
 
 
 def _distinct_keys(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    # Pre-aggregate before the shuffle: a hot key collapses to one row per
-    # map task instead of travelling once per occurrence.
-    return df.select([F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    """The key side of a semi/anti join, pre-aggregated before any shuffle.
+
+    Within the row bound (checked) the distinct keys are broadcast: the big
+    side is never shuffled, so its hot keys cost nothing.  Above it, keys are
+    de-duplicated per (key, input task): map-side partial aggregation still
+    collapses a hot key to one row per task, and because that grouping is
+    not the join key the join gets its own exchange -- which AQE can split
+    when one key holds a large share of the big side.  Duplicate keys left
+    on this side do not change a semi or anti join.
+    """
+    selected = df.select([F.col(k).alias(n) for k, n in zip(keys, names)])
+    distinct = selected.distinct()
+    if small_enough(distinct):
+        return F.broadcast(distinct)
+    return (selected.withColumn("__task", F.spark_partition_id())
+            .distinct().drop("__task"))
 
 
 def semi_members(df: DataFrame, other: DataFrame, on: str | Sequence[str],
