@@ -56,11 +56,14 @@ def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataF
 
 def run_load(spark: SparkSession, specs: list[TableSpec], sources: Mapping[str, DataFrame], target_root: str,
              load_ts: str | None = None, audit_col: str | None = "dt_insert",
-             batch_id: str | None = None, parallelism: int = 4) -> DataFrame:
+             batch_id: str | None = None, parallelism: int = 4, verify: bool = False) -> DataFrame:
     """Load every spec level by level (parents before children, facts
     last); the independent tables of a level load concurrently on up to
     ``parallelism`` driver threads.  A failure stops the load after its
-    level; return (table_name, rows) read back from the warehouse."""
+    level.  ``verify`` reconciles every dimension's business keys with its
+    source after its level and stops the load on any difference (Q10 gate),
+    before children build on it.  Returns (table_name, rows) read back from
+    the warehouse."""
     order = topological_order(specs)
 
     def one(spec: TableSpec) -> None:
@@ -73,6 +76,8 @@ def run_load(spark: SparkSession, specs: list[TableSpec], sources: Mapping[str,
 
     for level in dependency_levels(specs):
         run_level(one, level, parallelism)
+        if verify and any(s.kind == "dimension" for s in level):
+            load_gate(reconcile_load(spark, level, sources, target_root))
     counts = None
     for spec in order:
         c = read_back(spark, f"{target_root.rstrip('/')}/{spec.target}").agg(

@@ -99,3 +99,15 @@ def test_star_load_twice_equals_once(spark, tmp_target):
     assert first["fact_lineitem"] == sources["lineitem"].count()
     fact = read_back(spark, f"{tmp_target}/fact_lineitem")
     assert fact.filter(F.col("sk_part") == -1).count() == 0
+
+
+def test_verify_gate_passes_and_fails(spark, tmp_target):
+    src = _regions(spark, [(1, "EU"), (2, "US")])
+    run_load(spark, [REGION_SPEC], src, tmp_target, LOAD_TS, verify=True)
+    # a source key the target lacks (null keys are rejected, so never loaded)
+    spec = TableSpec(**{**REGION_SPEC.__dict__, "target": "d_region2"})
+    from starload.plans.load import load_gate, reconcile_load
+    run_load(spark, [spec], src, tmp_target, LOAD_TS)
+    more = _regions(spark, [(1, "EU"), (2, "US"), (3, "X")])
+    with pytest.raises(LoadCheckError, match="missing"):
+        load_gate(reconcile_load(spark, [spec], more, tmp_target))

@@ -66,3 +66,18 @@ def test_semi_join_right_side_deduplicated(spark):
     plan = plan_text(QUERIES["semi_members"](spark, SF_SMALL))
     # distinct keys (partial HashAggregate) before the exchange of the right side
     assert "HashAggregate" in plan
+
+
+def test_fact_lookups_read_only_dimension_keys(spark):
+    import contextlib
+    import io
+
+    fact = build_star(star_sources(spark, SF_SMALL), ["fact_lineitem"], materialize_facts=False)["fact_lineitem"]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        fact.explain("formatted")
+    text = buf.getvalue()
+    # every dimension scan is pruned to its business key
+    for schema in ("struct<p_partkey:bigint>", "struct<s_suppkey:bigint>", "struct<c_custkey:bigint>"):
+        assert f"ReadSchema: {schema}" in text
+    assert "SortAggregate" not in text
