@@ -58,6 +58,14 @@ DIM_DATE = (f"SELECT CAST(row_number() OVER (ORDER BY date_value) AS BIGINT) AS
             f"CAST(year(date_value) AS INTEGER) AS year FROM ({DATES})")
 
 
+NEST_CHUNK = 10000
+
+
+def _chunk(parent: str, order: str) -> str:
+    """Chunk of a child within its parent: position // NEST_CHUNK."""
+    return f"CAST((row_number() OVER (PARTITION BY {parent} ORDER BY {order}) - 1) // {NEST_CHUNK} AS BIGINT)"
+
+
 def _audit(select: str) -> str:
     return f"SELECT *, {LOAD_TS_SQL} AS dt_insert FROM ({select})"
 
@@ -184,8 +192,10 @@ ORACLE_SQL: dict[str, str] = {
                        "CASE WHEN c_nationkey < 12 THEN 1 ELSE 2 END AS batch FROM customer"),
     "snowflaked_chain": (f"SELECT dc.customer_id, dc.sk_nation, COALESCE(dn.sk_region, -1) AS sk_region "
                          f"FROM ({DIM_CUSTOMER}) dc LEFT JOIN ({DIM_NATION}) dn ON dc.sk_nation = dn.sk_nation"),
-    "nested_json": ("SELECT o_custkey, CAST(to_json(list({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus} "
-                    "ORDER BY o_orderkey)) AS VARCHAR) AS orders_json FROM orders GROUP BY o_custkey"),
+    "nested_json": ("SELECT o_custkey, chunk, CAST(to_json(list({'o_orderkey': o_orderkey, "
+                    "'o_orderstatus': o_orderstatus} ORDER BY o_orderkey)) AS VARCHAR) AS orders_json "
+                    f"FROM (SELECT *, {_chunk('o_custkey', 'o_orderkey')} AS chunk FROM orders) "
+                    "GROUP BY o_custkey, chunk"),
     "json_roundtrip": "SELECT * FROM customer",
     # 2.2
     "map_columns": ("SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id, "
@@ -218,11 +228,14 @@ ORACLE_SQL: dict[str, str] = {
     "append_new_only": ("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' "
                         "THEN 1 ELSE 2 END AS load_batch FROM orders"),
     # 2.4
-    "listagg_ordered": ("SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, "
-                        "l_partkey) AS part_keys FROM lineitem GROUP BY l_orderkey"),
-    "nest_children": ("SELECT l_orderkey, CAST(to_json(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, "
+    "listagg_ordered": ("SELECT l_orderkey, chunk, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, "
+                        "l_partkey) AS part_keys "
+                        f"FROM (SELECT *, {_chunk('l_orderkey', 'l_linenumber, l_partkey')} AS chunk FROM lineitem) "
+                        "GROUP BY l_orderkey, chunk"),
+    "nest_children": ("SELECT l_orderkey, chunk, CAST(to_json(list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, "
                       "'l_suppkey': l_suppkey} ORDER BY l_linenumber, l_partkey, l_suppkey)) AS VARCHAR) AS lines_json "
-                      "FROM lineitem GROUP BY l_orderkey"),
+                      f"FROM (SELECT *, {_chunk('l_orderkey', 'l_linenumber, l_partkey, l_suppkey')} AS chunk "
+                      "FROM lineitem) GROUP BY l_orderkey, chunk"),
     "collect_set_by_key": ("SELECT l_orderkey, array_to_string(list_sort(list_distinct(list(l_returnflag))), ',') "
                            "AS return_flags FROM lineitem GROUP BY l_orderkey"),
     "table_profile": _profile(),

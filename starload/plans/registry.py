@@ -99,9 +99,14 @@ def q_snowflaked_chain(spark, d):
                       sk="sk_region", keep_fk=True).select("customer_id", "sk_nation", "sk_region")
 
 
+# Children per output row of the nesting queries: a parent holding any share
+# of the rows becomes several (parent, chunk) rows, never one unbounded row.
+NEST_CHUNK = 10000
+
+
 def q_nested_json(spark, d):
     return nest_children(_t(spark, d, "orders"), "o_custkey", "o_orderkey", ["o_orderkey", "o_orderstatus"],
-                         alias="orders_json", as_json=True)
+                         alias="orders_json", as_json=True, chunk_size=NEST_CHUNK)
 
 
 CUSTOMER_SCHEMA = StructType([
@@ -219,12 +224,13 @@ def q_append_new_only(spark, d):
 
 def q_listagg_ordered(spark, d):
     return listagg_ordered(_t(spark, d, "lineitem"), "l_orderkey", "l_partkey", ["l_linenumber", "l_partkey"],
-                           alias="part_keys")
+                           alias="part_keys", chunk_size=NEST_CHUNK)
 
 
 def q_nest_children(spark, d):
     fields = ["l_linenumber", "l_partkey", "l_suppkey"]
-    return nest_children(_t(spark, d, "lineitem"), "l_orderkey", fields, fields, alias="lines_json", as_json=True)
+    return nest_children(_t(spark, d, "lineitem"), "l_orderkey", fields, fields, alias="lines_json", as_json=True,
+                         chunk_size=NEST_CHUNK)
 
 
 def q_collect_set_by_key(spark, d):
