@@ -71,13 +71,13 @@ WITH t AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 e AS (
-  SELECT *, role || chr(0) || text AS both FROM t),
+  SELECT *, role || chr(0) || text AS joined FROM t),
 f AS (
-  SELECT *, length(both) - 1 + (length(both) - length(replace(both, '\', '')))
-       + (length(both) - length(replace(both, '<s>', ''))) // 3
-       + (length(both) - length(replace(both, '</s>', ''))) // 4
-       + (length(both) - length(replace(both, '[INST]', ''))) // 6
-       + (length(both) - length(replace(both, '[/INST]', ''))) // 7
+  SELECT *, length(joined) - 1 + (length(joined) - length(replace(joined, '\', '')))
+       + (length(joined) - length(replace(joined, '<s>', ''))) // 3
+       + (length(joined) - length(replace(joined, '</s>', ''))) // 4
+       + (length(joined) - length(replace(joined, '[INST]', ''))) // 6
+       + (length(joined) - length(replace(joined, '[/INST]', ''))) // 7
        + length('[INST][/INST]</s>') AS chars
   FROM e)
 SELECT conv_id, count(*) AS n_turns,
