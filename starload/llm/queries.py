@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, chat_format, lang_id, quality_rules, token_counts
+from starload.llm import bpe, chat_format, lang_id, lattice_lm, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -97,6 +97,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(rows, lang_id.fit(docs), "doc_id", "held_out")
 
 
+@query
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), "doc_id")
