@@ -153,10 +153,9 @@ class Words:
 
 def sequence_hash(hashes: np.ndarray) -> np.ndarray:
     """One hash of a whole short word sequence, apart from any shingle's."""
-    h = U64(len(hashes)) * U64(0xD6E8FEB86659FD93)
-    for j, w in enumerate(hashes):
-        h = h + w * _MULTS[32 + j % 32]
-    return mix(np.array([h], dtype=np.uint64))
+    n = len(hashes)
+    h = (hashes * _MULTS[32 + np.arange(n) % 32]).sum(dtype=np.uint64, keepdims=True)
+    return mix(h + np.array([n], dtype=np.uint64) * U64(0xD6E8FEB86659FD93))
 
 
 def signed(h: np.ndarray) -> np.ndarray:
