@@ -12,10 +12,12 @@
 4. Remaining pairs are confirmed on their full shingle sets.
 5. Confirmed links are contracted to components.  Bands whose members are then
    still in several components are searched again between components only, so
-   a link that the star missed is found as well.
+   a link that the star missed is found as well.  Their members get a second,
+   finer odd sketch first, so that only pairs close to the bar are confirmed.
 
 Two sets at similarity 0.75 share no band with probability
-(1 - 0.75**4)**32 < 6e-6; the sketch bar lies five standard errors below.
+(1 - 0.75**4)**32 < 6e-6; both sketch bars lie over four standard errors below
+0.75.
 
 Rows are identified by (doc_id, text); repeated rows share a class.  Defined
 cases: null or empty text, or text without words, has an empty set and is
@@ -41,14 +43,15 @@ SHINGLE = 5
 SAMPLES = 128
 ROWS = 4                       # samples per band
 BITS = 512
-_LONGS = BITS // 64
-#: Estimated similarity below which a pair is not confirmed: 0.75 less five
-#: standard errors of SAMPLES samples and of the sketch.
+#: Estimated similarity below which a pair is not confirmed: 0.75 less over four
+#: standard errors of the samples and of the sketch.
 ESTIMATE_BAR = 0.5
+#: The finer sketch of documents in bands with several components.
+FINE_SAMPLES, FINE_BITS, FINE_BAR = 2048, 16384, 0.70
 
 _rng = np.random.default_rng(404)
-_XOR = _rng.integers(0, 2**32, size=SAMPLES, dtype=np.uint32)
-_MUL = _rng.integers(0, 2**31, size=SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _rng.integers(0, 2**32, size=FINE_SAMPLES, dtype=np.uint32)
+_MUL = _rng.integers(0, 2**31, size=FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND = _rng.integers(1, 2**63, size=ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -68,23 +71,25 @@ def shingle_sets(chunk: tx.Chunk) -> list[np.ndarray]:
     return out
 
 
-def min_hashes(sets: np.ndarray) -> np.ndarray:
-    """SAMPLES minima over 32-bit permutations of the set's hashes."""
+def min_hashes(sets: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """Minima over 32-bit permutations of the set's hashes."""
     low = (sets >> np.uint64(32)).astype(np.uint32)
-    best = np.full(SAMPLES, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(low), 1024):
-        part = (low[at:at + 1024, None] ^ _XOR) * _MUL
+    best = np.full(samples, 0xFFFFFFFF, dtype=np.uint32)
+    step = max(1, (1 << 17) // samples)
+    for at in range(0, len(low), step):
+        part = (low[at:at + step, None] ^ _XOR[:samples]) * _MUL[:samples]
         part ^= part >> np.uint32(15)
         part *= np.uint32(0x2C1B3C6D)
         np.minimum(best, part.min(axis=0), out=best)
     return best
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Parity maps (n, BITS / 64) of MinHash samples (n, SAMPLES)."""
-    spot = tx.mix(samples.astype(np.uint64) * np.uint64(SAMPLES) + np.arange(SAMPLES, dtype=np.uint64)) % np.uint64(BITS)
-    flips = np.zeros((len(samples), BITS), dtype=np.uint8)
-    np.add.at(flips, (np.arange(len(samples))[:, None], spot.astype(np.int64)), 1)
+def odd_sketches(samples: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parity maps (n, bits / 64) of MinHash samples (n, k)."""
+    n, k = samples.shape
+    spot = tx.mix(samples.astype(np.uint64) * np.uint64(k) + np.arange(k, dtype=np.uint64)) % np.uint64(bits)
+    flips = np.zeros((n, bits), dtype=np.uint8)
+    np.add.at(flips, (np.arange(n)[:, None], spot.astype(np.int64)), 1)
     return np.packbits(flips & 1, axis=1, bitorder="little").view(np.uint64)
 
 
@@ -103,41 +108,56 @@ def signatures(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(chunk)
             samples = np.array([min_hashes(s) for s in sets], dtype=np.uint32).reshape(-1, SAMPLES)
             keys, sketch = band_keys(samples), odd_sketches(samples)
-            lists = lambda m: pa.ListArray.from_arrays(
-                pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(tx.signed(m.ravel())))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                 lists(keys), lists(sketch)],
+                 _lists(keys), _lists(sketch)],
                 names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNATURES)
 
 
-def estimate_ok(a: str, b: str):
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()),
+                                    pa.array(tx.signed(m.ravel())))
+
+
+def estimate_ok(a: str, b: str, samples: int = SAMPLES, bits: int = BITS, bar: float = ESTIMATE_BAR):
     """Whether two sketches may come from sets over the bar.
 
-    d differing samples put 2d items into BITS cells; the XOR then has an
-    expected BITS / 2 * (1 - (1 - 2 / BITS)**(2d)) bits, which grows with d, so
-    the bar on the similarity is a bar on the population count.
+    d differing samples flip 2d cells; the XOR then has an expected
+    bits / 2 * (1 - (1 - 2 / bits)**(2d)) bits, which grows with d, so the bar
+    on the similarity is a bar on the population count.
     """
-    d = 2 * SAMPLES * (1 - ESTIMATE_BAR)
-    most = BITS / 2 * (1 - (1 - 2 / BITS) ** d)
-    bits = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(_LONGS)), F.lit(0))
-    return bits <= int(most)
+    most = bits / 2 * (1 - (1 - 2 / bits) ** (2 * samples * (1 - bar)))
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda total, x: total + x) <= int(most)
 
 
 def _size_ok(a: str, b: str):
     return 100 * F.least(a, b) >= 75 * F.greatest(a, b)
 
 
-def confirm(ws: Workspace, pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the bar."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = ws.stage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                     .join(ids, "doc_id", "left_semi"), "texts")
-    joined = (pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-              .select("a", "b", "text_a", "text_b"))
+def fine_sketches(texts: DataFrame) -> DataFrame:
+    def run(batches):
+        for part, chunk in tx.chunks(batches):
+            samples = [min_hashes(s, FINE_SAMPLES) for s in shingle_sets(chunk)]
+            for at in range(0, len(samples), 256):
+                sketch = odd_sketches(np.array(samples[at:at + 256]), FINE_BITS)
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(at, 256), _lists(sketch)],
+                                                 names=["doc_id", "fine"])
+
+    return texts.mapInArrow(run, "doc_id long, fine array<long>")
+
+
+def confirm(ws: Workspace, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the bar.
+
+    Texts move by sort-merge joins at any size: a third of all rows may be in
+    pairs, and no side has a bound.
+    """
+    joined = (pairs.join(texts.toDF("a", "text_a").hint("merge"), "a")
+              .join(texts.toDF("b", "text_b").hint("merge"), "b").select("a", "b", "text_a", "text_b"))
 
     def run(batches):
         for part, chunk in tx.chunks(batches, "text_a", tx.CHUNK_BYTES // 2):
@@ -168,28 +188,36 @@ def groups(docs: DataFrame, ws: Workspace) -> DataFrame:
     bands = alone.select(F.explode(F.array_distinct("bands")).alias("band"), "doc_id")
     stars = ws.stage(bands.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top"))
                      .filter("b <> top").select("band", "b"), "bands")
-    met = bands.join(stars, "band")
-    near = ws.stage(met.select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct(), "star-pairs")
+    met = ws.stage(bands.join(stars, "band"), "met")
+    ids = met.select("doc_id").distinct()
+    texts = ws.stage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+                     .join(ids.hint("merge"), "doc_id", "left_semi"), "texts")
+
+    near = met.select(F.col("doc_id").alias("a"), "b").filter("a <> b").distinct()
     facts = alone.select("doc_id", "n_shingles", "sketch")
     side = lambda c: facts.toDF(c, f"n_{c}", f"sketch_{c}")
     near = (near.join(side("a"), "a").join(side("b"), "b")
             .filter(_size_ok("n_a", "n_b") & estimate_ok("sketch_a", "sketch_b")).select("a", "b"))
-    links = confirm(ws, ws.stage(near, "candidates"), docs)
+    near = ws.stage(near, "candidates")
+    links = confirm(ws, near, texts)
 
     first = components(ws, links)
-    members = (met.select("band", "doc_id").join(first, F.col("doc_id") == F.col("node"), "left")
-               .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")))
-    members = ws.stage(members.join(facts, "doc_id"), "band-members")
+    members = ws.stage(met.select("band", "doc_id").join(first, F.col("doc_id") == F.col("node"), "left")
+                       .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), "members")
     open_bands = (members.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                   .filter("lo <> hi").select("band"))
     rest = ws.stage(members.join(open_bands, "band", "left_semi"), "open-bands")
-    own = lambda c: rest.select("band", F.col("doc_id").alias(c), F.col("component").alias(f"c_{c}"),
-                                F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    between = (own("a").join(own("b"), "band").filter((F.col("c_a") > F.col("c_b")) & _size_ok("n_a", "n_b")
-                                        & estimate_ok("sketch_a", "sketch_b"))
+    fine = fine_sketches(texts.join(rest.select("doc_id").distinct(), "doc_id", "left_semi"))
+    rest = ws.stage(rest.join(facts, "doc_id").join(fine, "doc_id"), "open-members")
+    own = lambda c: rest.select("band", *[F.col(x).alias(f"{y}{c}") for x, y in (
+        ("doc_id", ""), ("component", "c_"), ("n_shingles", "n_"), ("sketch", "sketch_"), ("fine", "fine_"))])
+    between = (own("a").join(own("b"), "band")
+               .filter((F.col("c_a") > F.col("c_b")) & _size_ok("n_a", "n_b")
+                       & estimate_ok("sketch_a", "sketch_b")
+                       & estimate_ok("fine_a", "fine_b", FINE_SAMPLES, FINE_BITS, FINE_BAR))
                .select("a", "b").distinct())
-    done = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = confirm(ws, ws.stage(between.join(done, ["a", "b"], "left_anti"), "between"), docs)
+    done = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    more = confirm(ws, ws.stage(between.join(done, ["a", "b"], "left_anti"), "between"), texts)
 
     everything = components(ws, links.unionByName(more).unionByName(copies))
     return (sig.select("doc_id", "n_shingles").join(everything, F.col("doc_id") == F.col("node"), "left")
