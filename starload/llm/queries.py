@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, chat_format, lang_id, lattice_lm, near_dedup, quality_rules, token_counts
+from starload.llm import bpe, chat_format, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,6 +95,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.removal(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
