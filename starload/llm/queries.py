@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, chat_format, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
+from starload.llm import bpe, chat_format, fuzzy_passages, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,6 +90,11 @@ FROM f GROUP BY conv_id
 """
 
 
+@query
+def op3_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
