@@ -104,16 +104,17 @@ class Chunk:
     def lengths(self) -> np.ndarray:
         return np.diff(self.off)
 
-    def words(self, lower: bool = False) -> "Words":
-        return Words(self, LOWER[self.data] if lower else self.data)
+    def words(self, lower: bool = False, inside: np.ndarray = IS_WORD) -> "Words":
+        return Words(self, LOWER[self.data] if lower else self.data, inside)
 
 
 class Words:
-    """Word spans ``[^\\x20\\x09-\\x0D]+`` of a chunk; words never cross rows."""
+    """Runs of the bytes in ``table`` (by default ``[^\\x20\\x09-\\x0D]``); they never
+    cross rows."""
 
-    def __init__(self, chunk: Chunk, data: np.ndarray):
+    def __init__(self, chunk: Chunk, data: np.ndarray, table: np.ndarray):
         self.data, off = data, chunk.off
-        inside = IS_WORD[data]
+        inside = table[data]
         first, last = inside.copy(), inside.copy()
         if len(data):
             first[1:] &= ~inside[:-1]

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, chat_format, fuzzy_passages, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
+from starload.llm import bpe, chat_format, decontaminate, fuzzy_passages, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -127,3 +127,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = token_counts.lengths(table(spark, sf_dir, "documents"),
                                  vocabulary("byte_bpe_50k.tiktoken"), pattern())
     return token_counts.limits(token_counts.histogram(sizes))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
