@@ -208,13 +208,18 @@ def groups(docs: DataFrame, ws: Workspace) -> DataFrame:
                   .filter("lo <> hi").select("band"))
     rest = ws.stage(members.join(open_bands, "band", "left_semi"), "open-bands")
     fine = fine_sketches(texts.join(rest.select("doc_id").distinct(), "doc_id", "left_semi"))
+    facts = alone.select("doc_id", "n_shingles", "sketch", "bands")
     rest = ws.stage(rest.join(facts, "doc_id").join(fine, "doc_id"), "open-members")
     own = lambda c: rest.select("band", *[F.col(x).alias(f"{y}{c}") for x, y in (
-        ("doc_id", ""), ("component", "c_"), ("n_shingles", "n_"), ("sketch", "sketch_"), ("fine", "fine_"))])
+        ("doc_id", ""), ("component", "c_"), ("n_shingles", "n_"), ("sketch", "sketch_"), ("fine", "fine_"),
+        ("bands", "bands_"))])
+    # Two documents may share many bands: their pair is made in the smallest.
+    meeting = F.array_min(F.array_intersect("bands_a", "bands_b"))
     between = (own("a").join(own("b"), "band")
                .filter((F.col("c_a") > F.col("c_b")) & _size_ok("n_a", "n_b")
                        & estimate_ok("sketch_a", "sketch_b")
-                       & estimate_ok("fine_a", "fine_b", FINE_SAMPLES, FINE_BITS, FINE_BAR))
+                       & estimate_ok("fine_a", "fine_b", FINE_SAMPLES, FINE_BITS, FINE_BAR)
+                       & (F.col("band") == meeting))
                .select("a", "b").distinct())
     done = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = confirm(ws, ws.stage(between.join(done, ["a", "b"], "left_anti"), "between"), texts)
@@ -232,3 +237,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = groups(docs, ws)
         return ws.finish(found.withColumn(
             "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs``, one document of each group, one row of each doc_id;
+    rows without a doc_id stay."""
+    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    named = docs.filter("doc_id IS NOT NULL").join(gone.hint("merge"), "doc_id", "left_anti")
+    return named.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
