@@ -12,8 +12,12 @@ sixty is kept.  Consecutive windows with the same anchor form a span.
    joins, without an exchange); suffixes met elsewhere are candidates.  Before
    the next batch, levels of equal rank are merged into one of the next rank.
 2. Candidate spans found twice as a whole are covered whole.
-3. Where a span is alone, the windows of all distinct spans of its anchor are
-   compared one by one by (anchor hash, window hash), 128 bits together.
+3. Where a span is alone, all distinct spans of its anchor are cut into blocks
+   of up to BLOCK windows at fixed distances from the anchor.  The bytes common
+   to a block's windows must be found twice for any of its windows to be; a
+   block found twice as a whole is covered whole; only the windows of blocks
+   in between are compared one by one (anchor, common bytes and window: 192
+   hash bits).
 4. Covered intervals are applied to the texts.
 
 Only steps 2 and 3 decide; step 1 cannot miss a match.
@@ -34,14 +38,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm import _text as tx
-from starload.llm._work import Workspace
+from starload.llm._work import Workspace, extended
 
 MATCH = 200
 SEED = 80
 BATCHES = 4
 _POSITION = np.uint64((1 << 28) - 1)
 
-SUFFIX = "key long, rid long, lo int, hi int, span long"
+BLOCK = 16
+
+SUFFIX = "key long, rid long, at int, lo int, hi int, span long"
 
 
 def row_id() -> Column:
@@ -79,9 +85,9 @@ def suffixes(docs: DataFrame) -> DataFrame:
             base = chunk.off[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tx.signed(prefix.slices(at, at + SEED))), part.column(0).take(pa.array(row)),
-                 pa.array((first - base).astype(np.int32)), pa.array((last + MATCH - base).astype(np.int32)),
+                 pa.array((at - base).astype(np.int32)), pa.array((first - base).astype(np.int32)), pa.array((last + MATCH - base).astype(np.int32)),
                  pa.array(tx.signed(prefix.slices(first, last + MATCH)))],
-                names=["key", "rid", "lo", "hi", "span"])
+                names=["key", "rid", "at", "lo", "hi", "span"])
 
     return docs.mapInArrow(run, SUFFIX)
 
@@ -130,29 +136,64 @@ class SuffixIndex:
         return found
 
 
-def _windows(probe: DataFrame) -> DataFrame:
-    """(key, window, rid, start, alone) of every window of the listed spans."""
+def _blocks(probe: DataFrame) -> DataFrame:
+    """Blocks of the listed spans: the hash of the bytes common to all windows the
+    block could hold, of the block as it is, and of each of its windows."""
     def run(batches):
         for part, chunk in tx.chunks(batches):
             lists = part.column(part.schema.get_field_index("spans"))
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-            spans = lists.flatten()
-            key, lo, hi, alone = (spans.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            fields = lists.flatten()
+            columns = [fields.field(i).to_numpy(zero_copy_only=False) for i in range(5)]
             row = np.repeat(np.arange(chunk.n), sizes)
             prefix = tx.PrefixHash(chunk.data, 1)
             step = 1 << 14
-            for at in range(0, len(row), step):
-                r, n = row[at:at + step], (hi - lo)[at:at + step] - MATCH + 1
-                each = np.repeat(np.arange(len(r)), n)
-                start = lo[at:at + step][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                flat = start + chunk.off[r[each]]
+            for begin in range(0, len(row), step):
+                key, at, lo, hi, alone = (c[begin:begin + step] for c in columns)
+                base = chunk.off[row[begin:begin + step]]
+                origin = at.astype(np.int64) - (MATCH - SEED)       # first window the anchor can have
+                first, last = (lo - origin) // BLOCK, (hi - MATCH - origin) // BLOCK
+                n = last - first + 1
+                span = np.repeat(np.arange(len(n)), n)
+                block = first[span] + np.arange(len(span)) - np.repeat(np.cumsum(n) - n, n)
+                start = origin[span] + block * BLOCK
+                low = np.maximum(start, lo[span])
+                high = np.minimum(start + BLOCK - 1, hi[span] - MATCH)
+                count = high - low + 1
+                shift = base[span]
+                core = prefix.slices(start + BLOCK - 1 + shift, start + MATCH + shift)
+                full = prefix.slices(low + shift, high + MATCH + shift) ^ tx.mix((low - start).astype(np.uint64))
+                each = np.repeat(np.arange(len(span)), count)
+                window = low[each] + shift[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+                lists_out = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(count)), pa.int32()),
+                    pa.array(tx.signed(prefix.slices(window, window + MATCH))))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[at:at + step][each]), pa.array(tx.signed(prefix.slices(flat, flat + MATCH))),
-                     part.column(0).take(pa.array(r[each])), pa.array(start.astype(np.int32)),
-                     pa.array(alone[at:at + step][each])],
-                    names=["key", "window", "rid", "start", "alone"])
-
-    return probe.mapInArrow(run, "key long, window long, rid long, start int, alone boolean")
+                    [pa.array(key[span]), pa.array(block.astype(np.int32)), pa.array(tx.signed(core)),
+                     pa.array(tx.signed(full)), part.column(0).take(pa.array(row[begin:begin + step][span])),
+                     pa.array(low.astype(np.int32)), lists_out, pa.array(alone[span])],
+                    names=["key", "block", "core", "full", "rid", "lo", "windows", "alone"])
+
+    return probe.mapInArrow(run, "key long, block int, core long, full long, rid long, lo int, "
+                                 "windows array<long>, alone boolean")
+
+
+def _pieces(blocks: DataFrame, ws: Workspace) -> DataFrame:
+    """(rid, lo, hi): what of the spans that are alone is covered."""
+    place = ["key", "block", "core"]
+    counts = ws.stage(blocks.groupBy(*place, "full").agg(F.count("*").alias("n"), F.bool_or("alone").alias("alone")),
+                      "block-counts")
+    whole = (blocks.filter("alone").join(counts.filter("n > 1").select(*place, "full"), [*place, "full"], "left_semi")
+             .select("rid", "lo", (F.col("lo") + F.size("windows") - 1 + MATCH).alias("hi")))
+    unsure = (counts.groupBy(*place).agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND alone")).alias("open"))
+              .filter("kinds > 1 AND open").select(*place))
+    windows = (blocks.join(unsure, place, "left_semi")
+               .select(*place, "rid", "lo", "alone", F.posexplode("windows").alias("i", "window")))
+    windows = ws.stage(windows, "windows")
+    twice = windows.groupBy(*place, "window").count().filter("count > 1").drop("count")
+    single = (windows.filter("alone").join(twice, [*place, "window"], "left_semi")
+              .select("rid", (F.col("lo") + F.col("i")).alias("lo"), (F.col("lo") + F.col("i") + MATCH).alias("hi")))
+    return whole.unionByName(single)
 
 
 def covered(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -163,16 +204,13 @@ def covered(docs: DataFrame, ws: Workspace) -> DataFrame:
         index.add(suffixes(docs.filter(F.pmod("rid", F.lit(BATCHES)) == batch)))
     found = index.candidates()
     spans = ws.stage(found.groupBy("key", "span").agg(F.count("*").alias("n"),
-                                                      F.min(F.struct("rid", "lo", "hi")).alias("one")), "spans")
+                                                      F.min(F.struct("rid", "at", "lo", "hi")).alias("one")), "spans")
     alone = spans.filter("n = 1").select("key").distinct()
     probe = (spans.join(alone, "key", "left_semi")
-             .select("one.rid", F.struct("key", "one.lo", "one.hi", (F.col("n") == 1).alias("alone")).alias("s"))
+             .select("one.rid", F.struct("key", "one.at", "one.lo", "one.hi", (F.col("n") == 1).alias("alone")).alias("s"))
              .groupBy("rid").agg(F.collect_list("s").alias("spans")))
     probe = docs.join(probe.hint("merge"), "rid").select("rid", "text", "spans")
-    windows = ws.stage(_windows(probe), "windows")
-    twice = windows.groupBy("key", "window").count().filter("count > 1").select("key", "window")
-    pieces = windows.filter("alone").join(twice, ["key", "window"], "left_semi").select(
-        "rid", F.col("start").alias("lo"), (F.col("start") + MATCH).alias("hi"))
+    pieces = _pieces(ws.stage(_blocks(probe), "blocks"), ws)
     whole = found.join(spans.filter("n > 1").select("key", "span"), ["key", "span"], "left_semi").select(
         "rid", "lo", "hi")
     longest = pieces.unionByName(whole).groupBy("rid", "lo").agg(F.max("hi").alias("hi"))
@@ -194,14 +232,10 @@ def kept_bytes(raw: bytes, spans: np.ndarray) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("rid", row_id())
-
-
 def removal(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     with Workspace(docs.sparkSession, "suffix") as ws:
-        docs = _identified(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+        docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("rid", row_id())
         parts = covered(docs.select("rid", "text"), ws)
         joined = docs.join(parts.hint("merge"), "rid", "left").select("doc_id", "text", "parts")
 
@@ -223,24 +257,29 @@ def removal(docs: DataFrame) -> DataFrame:
             run, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
-def strip(docs: DataFrame, ws: Workspace) -> DataFrame:
+def strip(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with the repeated bytes gone from ``text``; a
-    character of which only some bytes are covered goes whole."""
-    marked = _identified(docs)
-    parts = covered(marked.select("rid", "text"), ws)
-    joined = marked.join(parts.hint("merge"), "rid", "left").drop("rid")
+    character of which only some bytes are covered goes whole.  ``__removed``
+    tells whether the row lost any byte."""
+    marked = docs.withColumn("__rid", row_id())
+    with Workspace(docs.sparkSession, "suffix") as ws:
+        parts = ws.finish(covered(marked.select(F.col("__rid").alias("rid"), "text"), ws))
+    parts = parts.toDF("__rid", "__parts")
+    joined = marked.join(parts.hint("merge"), "__rid", "left").select(*docs.columns, "__parts")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = []
+            texts, changed = [], []
             for text, own in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
+                changed.append(own.is_valid)
                 if own.is_valid:
                     texts.append(kept_bytes(text.as_buffer().to_pybytes(), merged(own.as_py())).decode(errors="ignore"))
                 else:
                     texts.append(text.as_py())
             cols = [pa.array(texts, pa.string()) if i == at else batch.column(i)
                     for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(changed)], names=[*names, "__removed"])
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, extended(docs.schema.fields, "__removed boolean"))
