@@ -11,10 +11,16 @@ import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from starload.session import checkpoint_root, materialize
 
 
+def extended(fields: list[T.StructField], ddl: str) -> T.StructType:
+    """Kept fields followed by new ones."""
+    return T.StructType([*fields, *T.StructType.fromDDL(ddl).fields])
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm import _text as tx
+from starload.llm._work import extended
 
 MEMORY = 300_000
 _END = "\ue000"                       # stands for </w> as one symbol
@@ -216,8 +217,7 @@ def word_bpe(path: str) -> WordBpe:
 def encode_documents(docs: DataFrame, path: str, *keep: str, text: str = "text") -> DataFrame:
     """Columns ``keep``, ids and the text decoded from them, one row per row."""
     narrow = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
-                       + ["ids array<int>", "decoded string"])
+    schema = extended(narrow.schema.fields[:-1], "ids array<int>, decoded string")
 
     def run(batches):
         bpe = word_bpe(path)
@@ -238,8 +238,7 @@ def digest_documents(docs: DataFrame, path: str, *keep: str, text: str = "text")
     """Columns ``keep``, n_tokens and the digests of ids and decoded text; ids and
     text stay inside the task."""
     narrow = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
-                       + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"])
+    schema = extended(narrow.schema.fields[:-1], "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
     def run(batches):
         bpe = word_bpe(path)

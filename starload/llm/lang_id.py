@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm import _text as tx
+from starload.llm._work import extended
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -181,11 +182,11 @@ def fit(docs: DataFrame, mod: int = 4, sample: int = SAMPLE_DOCS) -> ByteCnn | N
     return model
 
 
-def predict(docs: DataFrame, model: ByteCnn | None, *keep: str) -> DataFrame:
-    """Columns ``keep`` with lang_pred and score, one row per row."""
+def predict(docs: DataFrame, model: ByteCnn | None, *keep: str,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` with the language and its probability, one row per row."""
     narrow = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
-                       + ["lang_pred string", "score double"])
+    schema = extended(narrow.schema.fields[:-1], f"`{names[0]}` string, `{names[1]}` double")
 
     def run(batches):
         tables = model.tables() if model else None
@@ -201,10 +202,10 @@ def predict(docs: DataFrame, model: ByteCnn | None, *keep: str) -> DataFrame:
                 best, score = prob.argmax(axis=1), prob.max(axis=1)
             else:
                 worded[:] = False
-            names = [model.classes[b] if ok else UND for b, ok in zip(best, worded, strict=True)]
+            langs = [model.classes[b] if ok else UND for b, ok in zip(best, worded, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(part.num_columns - 1)]
-                + [pa.array(names, pa.string()), pa.array(np.where(worded, score, 0.0))],
-                names=[*keep, "lang_pred", "score"])
+                + [pa.array(langs, pa.string()), pa.array(np.where(worded, score, 0.0))],
+                names=[*keep, *names])
 
     return narrow.mapInArrow(run, schema)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starload.llm._work import extended
+
 BLOCK = 1024      # lengths per block of the two-level suffix sum
 
 
@@ -34,8 +36,7 @@ def _encoding(path: str, pattern: str):
 def lengths(docs: DataFrame, path: str, pattern: str, *keep: str, text: str = "text") -> DataFrame:
     """Columns ``keep`` and the encoded length of every row's whole text."""
     narrow = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1]]
-                       + ["n_tokens long"])
+    schema = extended(narrow.schema.fields[:-1], "n_tokens long")
 
     def run(batches):
         enc = _encoding(path, pattern)
