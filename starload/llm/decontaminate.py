@@ -11,7 +11,8 @@
    Sliding windows of every whole document, of a size fitting the item, are
    projected to the whitened latent space; windows whose cosine with an item
    reaches ``COSINE`` are candidates.
-4. A candidate is confirmed on the words around it: it is a copy if the longest
+4. A candidate window must share ``SHARED`` of its idf weight with the item.  It
+   is then confirmed on the words around it: it is a copy if the longest
    common subsequence holds ``COPY`` of the item's terms, and a paraphrase if
    it holds ``PARAPHRASE`` of them and ``ANSWER`` of the answer, the item's
    last quarter.
@@ -37,6 +38,7 @@ SIZES = (8, 16, 24, 32, 48, 64, 96)      # window sizes, multiples of STRIDE
 LEAST, LONGEST = 8, 120
 ITEMS = 2048
 COSINE = 0.45
+SHARED = 0.45
 COPY, PARAPHRASE, ANSWER = 0.75, 0.6, 0.75
 _PAIRS = 1 << 15                         # candidates checked at once
 
@@ -59,6 +61,22 @@ def passages_of(off: np.ndarray, size: int = PASSAGE) -> np.ndarray:
     return first + (np.arange(len(first)) - np.repeat(np.cumsum(per) - per, per)) * size
 
 
+def block_sums(rows: np.ndarray, column: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the terms' rows over blocks of up to ``size`` terms; ``rows`` ends in
+    a row of zeros, which stands for the terms a short block lacks."""
+    none = len(rows) - 1
+    padded = np.append(column.astype(np.int64), np.full(size, none))
+    length = np.diff(np.append(starts, len(column)))
+    out = rows.take(padded[starts], axis=0)
+    for i in range(1, size):
+        out += rows.take(np.where(i < length, padded[starts + i], none), axis=0)
+    return out
+
+
+def zero_ended(rows: np.ndarray) -> np.ndarray:
+    return np.concatenate((rows, np.zeros((1, rows.shape[1]), rows.dtype))).astype(np.float32)
+
+
 def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Passages that hold each term column, and all passages."""
     def run(batches):
@@ -85,23 +103,22 @@ def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 def _gram_times(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndarray:
     """(A'A) omega over all unit-length TF-IDF passages A, from partial sums."""
-    weighted = (omega * idf[:, None]).astype(np.float32)
+    weighted = zero_ended(omega * idf[:, None])
     square = (idf * idf).astype(np.float32)
 
     def run(batches):
-        total = np.zeros((TERMS, RANK))
+        total = np.zeros((RANK, TERMS))
         for _, chunk in tx.chunks(batches):
             _, column, off = terms_of(chunk)
             starts = passages_of(off)
             if not len(starts):
                 continue
-            y = np.add.reduceat(weighted.take(column, axis=0), starts, axis=0)
+            y = block_sums(weighted, column, starts, PASSAGE)
             y /= np.maximum(np.add.reduceat(square[column], starts), 1e-12)[:, None]
             owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(column))))
-            order = np.argsort(column, kind="stable")
-            seen = column[order]
-            edge = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
-            total[seen[edge]] += np.add.reduceat(y.take(owner[order], axis=0), edge, axis=0)
+            for i, values in enumerate(np.ascontiguousarray(y.T)):
+                total[i] += np.bincount(column, values[owner], minlength=TERMS)
+        total = total.T
         used = np.flatnonzero(np.any(total, axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32))] + [pa.array(total[used, i].astype(np.float32)) for i in range(RANK)],
@@ -115,9 +132,10 @@ def _gram_times(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndarr
     return out * idf[:, None]
 
 
-def latent_space(docs: DataFrame, seed: int = 5) -> np.ndarray:
-    """(TERMS, rank) projection of raw term counts: idf, right singular vectors of
-    the TF-IDF passages, each divided by its singular value."""
+def latent_space(docs: DataFrame, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(TERMS + 1, rank) projection of raw term counts, and the idf weights: idf times the
+    right singular vectors of the TF-IDF passages, each divided by its singular
+    value; the last row is zero."""
     counts, n = passage_counts(docs)
     idf = np.log((n + 1) / (counts + 1)) + 1e-3
     omega = np.random.default_rng(seed).normal(size=(TERMS, RANK))
@@ -127,16 +145,17 @@ def latent_space(docs: DataFrame, seed: int = 5) -> np.ndarray:
     keep = values > 1e-9 * max(values.max(), 1e-300)
     factor = image @ (vectors[:, keep] / np.sqrt(values[keep]))
     if not factor.shape[1]:
-        return np.zeros((TERMS, 1), dtype=np.float32)
+        return zero_ended(np.zeros((TERMS, 1))), idf
     right, singular, _ = np.linalg.svd(factor, full_matrices=False)
     keep = singular > 1e-6 * max(singular[0], 1e-300)
-    return (idf[:, None] * right[:, keep] / singular[keep]).astype(np.float32)
+    return zero_ended(idf[:, None] * right[:, keep] / singular[keep]), idf
 
 
 class Items:
     """A block of the query set, as pieces by window size."""
 
-    def __init__(self, rows: list[tuple], space: np.ndarray):
+    def __init__(self, rows: list[tuple], space: np.ndarray, idf: np.ndarray):
+        self.idf = idf.astype(np.float32)
         self.ids, self.hashes, self.columns = [], [], []
         column = pa.array([t or "" for _, t in rows], pa.string())
         hashes, columns, off = terms_of(tx.Chunk(column))
@@ -185,8 +204,8 @@ def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.nda
     blocks = passages_of(off, STRIDE)
     if not len(blocks) or not len(items.ids):
         return found
-    sums = np.add.reduceat(space.take(columns, axis=0), blocks, axis=0)
-    run = np.concatenate((np.zeros((1, sums.shape[1]), dtype=np.float32), np.cumsum(sums, axis=0, dtype=np.float64)))
+    run = np.zeros((len(blocks) + 1, space.shape[1]))
+    np.cumsum(block_sums(space, columns, blocks, STRIDE), axis=0, out=run[1:])
     row = np.searchsorted(off, blocks, side="right") - 1
     end_block = np.searchsorted(blocks, off[1:])          # per row, one past its last block
     checked: set[tuple[int, int, int]] = set()
@@ -195,20 +214,21 @@ def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.nda
         mine = np.flatnonzero(items.size == size)
         last = np.minimum(np.arange(len(blocks)) + size // STRIDE, end_block[row])
         vectors = (run[last] - run[:-1]).astype(np.float32)
-        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+        bar = COSINE * np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         stop = np.minimum(blocks + size, off[row + 1])
         for at in range(0, len(blocks), 8192):
-            cosine = vectors[at:at + 8192] @ items.latent[mine].T
-            w, i = np.nonzero(cosine >= COSINE)
-            near = cosine[w, i]
+            dots = vectors[at:at + 8192] @ items.latent[mine].T
+            w, i = np.nonzero(dots > bar[at:at + 8192, None])
+            near = COSINE * dots[w, i] / bar[at + w]
             w += at
             i = mine[i]
             for part in range(0, len(w), _PAIRS):
                 pw, pi, pc = w[part:part + _PAIRS], i[part:part + _PAIRS], near[part:part + _PAIRS]
                 spots = np.minimum(blocks[pw][:, None] + np.arange(size), stop[pw][:, None] - 1)
-                inside = items.holds[pi[:, None], columns[spots]].sum(axis=1)
-                # a subsequence cannot be longer than the words it may use
-                for k in np.flatnonzero(inside >= PARAPHRASE * 0.75 * size):
+                terms = columns[spots]
+                weight = items.idf[terms]
+                inside = np.einsum("ij,ij->i", weight, items.holds[pi[:, None], terms])
+                for k in np.flatnonzero(inside >= SHARED * weight.sum(axis=1)):
                     window, piece, r = int(blocks[pw[k]]), int(pi[k]), int(row[pw[k]])
                     item = items.hashes[piece]
                     slack = len(item) + len(item) // 4 - int(size) // 2
@@ -216,12 +236,17 @@ def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.nda
                     place = (r, piece, window // max(len(item) // 2, 1))
                     if place in checked:
                         continue
+                    # a subsequence is no longer than the item's words that occur at all
+                    words = hashes[a:b].tolist()
+                    there = set(words)
+                    if sum(h in there for h in item.tolist()) < PARAPHRASE * len(item):
+                        continue
                     if piece not in masks:
                         own: dict[int, int] = {}
                         for j, h in enumerate(item.tolist()):
                             own[h] = own.get(h, 0) | 1 << j
                         masks[piece] = own
-                    share, answer = confirm(item, masks[piece], hashes[a:b].tolist())
+                    share, answer = confirm(item, masks[piece], words)
                     if share >= COPY or share >= PARAPHRASE and answer >= ANSWER:
                         checked.add(place)
                         key, new = (r, items.ids[piece]), (share, answer, a - int(off[r]), b - int(off[r]), float(pc[k]))
@@ -242,12 +267,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n = items.count()
     blocks = max(1, -(-n // ITEMS))
     if n:
-        space = latent_space(docs.select(F.col("text").cast("string").alias("text")))
+        space, idf = latent_space(docs.select(F.col("text").cast("string").alias("text")))
     out = docs.withColumn("__leaks", F.array().cast(f"array<{kind}>"))
     for block in range(blocks if n else 0):
         rows = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
                 .orderBy("item_id", "text").collect()]
-        out = _leaks_of_block(out, Items(rows, space), space)
+        out = _leaks_of_block(out, Items(rows, space, idf), space)
     return out
 
 
