@@ -50,7 +50,14 @@ class Workspace:
         path = self._path(name)
         df.write.parquet(path)
         self.release()
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._staged_at = path
+        return out
+
+    def discard(self, *staged: DataFrame) -> None:
+        """Delete staged tables that nothing reads any more."""
+        for df in staged:
+            self._delete(df._staged_at)
 
     def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
         """A table hash-bucketed and sorted by ``key``: joins and groups on the key

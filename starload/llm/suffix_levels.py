@@ -183,8 +183,6 @@ def _pieces(blocks: DataFrame, ws: Workspace) -> DataFrame:
     place = ["key", "block", "core"]
     counts = ws.stage(blocks.groupBy(*place, "full").agg(F.count("*").alias("n"), F.bool_or("alone").alias("alone")),
                       "block-counts")
-    whole = (blocks.filter("alone").join(counts.filter("n > 1").select(*place, "full"), [*place, "full"], "left_semi")
-             .select("rid", "lo", (F.col("lo") + F.size("windows") - 1 + MATCH).alias("hi")))
     unsure = (counts.groupBy(*place).agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND alone")).alias("open"))
               .filter("kinds > 1 AND open").select(*place))
     windows = (blocks.join(unsure, place, "left_semi")
@@ -193,7 +191,13 @@ def _pieces(blocks: DataFrame, ws: Workspace) -> DataFrame:
     twice = windows.groupBy(*place, "window").count().filter("count > 1").drop("count")
     single = (windows.filter("alone").join(twice, [*place, "window"], "left_semi")
               .select("rid", (F.col("lo") + F.col("i")).alias("lo"), (F.col("lo") + F.col("i") + MATCH).alias("hi")))
-    return whole.unionByName(single)
+    whole = (blocks.filter("alone")
+             .select(*place, "full", "rid", "lo", (F.col("lo") + F.size("windows") - 1 + MATCH).alias("hi"))
+             .join(counts.filter("n > 1").select(*place, "full"), [*place, "full"], "left_semi")
+             .select("rid", "lo", "hi"))
+    whole = ws.stage(whole.unionByName(single), "pieces")
+    ws.discard(blocks, counts, windows)
+    return whole
 
 
 def covered(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -205,16 +209,21 @@ def covered(docs: DataFrame, ws: Workspace) -> DataFrame:
     found = index.candidates()
     spans = ws.stage(found.groupBy("key", "span").agg(F.count("*").alias("n"),
                                                       F.min(F.struct("rid", "at", "lo", "hi")).alias("one")), "spans")
+    whole = ws.stage(found.join(spans.filter("n > 1").select("key", "span"), ["key", "span"], "left_semi")
+                     .select("rid", "lo", "hi"), "whole-spans")
+    ws.discard(found)
     alone = spans.filter("n = 1").select("key").distinct()
     probe = (spans.join(alone, "key", "left_semi")
              .select("one.rid", F.struct("key", "one.at", "one.lo", "one.hi", (F.col("n") == 1).alias("alone")).alias("s"))
              .groupBy("rid").agg(F.collect_list("s").alias("spans")))
     probe = docs.join(probe.hint("merge"), "rid").select("rid", "text", "spans")
-    pieces = _pieces(ws.stage(_blocks(probe), "blocks"), ws)
-    whole = found.join(spans.filter("n > 1").select("key", "span"), ["key", "span"], "left_semi").select(
-        "rid", "lo", "hi")
+    blocks = ws.stage(_blocks(probe), "blocks")
+    ws.discard(spans)
+    pieces = _pieces(blocks, ws)
     longest = pieces.unionByName(whole).groupBy("rid", "lo").agg(F.max("hi").alias("hi"))
-    return ws.stage(longest.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("parts")), "covered")
+    out = ws.stage(longest.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("parts")), "covered")
+    ws.discard(pieces, whole)
+    return out
 
 
 def merged(parts) -> np.ndarray:
