@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval (operator 10).
 
 1. Every whole document is cut into passages of ``PASSAGE`` terms (runs of
-   letters, digits and non-ASCII bytes, A-Z lowered, hashed to ``TERMS``
+   letters, digits and non-ASCII bytes, lowered, hashed to ``TERMS``
    columns).  One pass counts passage frequencies for the idf weights.
 2. A second pass multiplies a random matrix by the Gram matrix of the TF-IDF
    passages, a partial sum per task and one row per term.  The driver gets
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +35,10 @@ from starload.llm import _text as tx
 
 TERMS, RANK, PASSAGE = 1 << 14, 32, 32
 STRIDE = 8
-SIZES = (8, 16, 24, 32, 48, 64, 96)      # window sizes, multiples of STRIDE
+SIZES = (8, 16, 32, 64)                  # window sizes, multiples of STRIDE; windows overlap by half
 LEAST, LONGEST = 8, 120
 ITEMS = 2048
-COSINE = 0.45
+COSINE = 0.47
 SHARED = 0.45
 COPY, PARAPHRASE, ANSWER = 0.75, 0.6, 0.75
 _PAIRS = 1 << 15                         # candidates checked at once
@@ -46,9 +47,9 @@ IS_TERM = np.zeros(256, dtype=bool)
 IS_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def terms_of(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, column, row offsets) of all terms."""
-    w = chunk.words(lower=True, inside=IS_TERM)
+    w = tx.Chunk(pc.utf8_lower(texts)).words(inside=IS_TERM)
     hashes = w.hashes()
     return hashes, (hashes >> np.uint64(50)).astype(np.uint16), w.row_off
 
@@ -81,8 +82,8 @@ def passage_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Passages that hold each term column, and all passages."""
     def run(batches):
         total, n = np.zeros(TERMS, dtype=np.int64), 0
-        for _, chunk in tx.chunks(batches):
-            _, column, off = terms_of(chunk)
+        for part, _ in tx.chunks(batches):
+            _, column, off = terms_of(part.column(0))
             starts = passages_of(off)
             if len(starts):
                 owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(column))))
@@ -108,8 +109,8 @@ def _gram_times(docs: DataFrame, idf: np.ndarray, omega: np.ndarray) -> np.ndarr
 
     def run(batches):
         total = np.zeros((RANK, TERMS))
-        for _, chunk in tx.chunks(batches):
-            _, column, off = terms_of(chunk)
+        for part, _ in tx.chunks(batches):
+            _, column, off = terms_of(part.column(0))
             starts = passages_of(off)
             if not len(starts):
                 continue
@@ -158,7 +159,7 @@ class Items:
         self.idf = idf.astype(np.float32)
         self.ids, self.hashes, self.columns = [], [], []
         column = pa.array([t or "" for _, t in rows], pa.string())
-        hashes, columns, off = terms_of(tx.Chunk(column))
+        hashes, columns, off = terms_of(column)
         for i, (item, _) in enumerate(rows):
             a, n = int(off[i]), int(off[i + 1] - off[i])
             pieces = max(1, -(-n // LONGEST))
@@ -207,29 +208,30 @@ def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.nda
     run = np.zeros((len(blocks) + 1, space.shape[1]))
     np.cumsum(block_sums(space, columns, blocks, STRIDE), axis=0, out=run[1:])
     row = np.searchsorted(off, blocks, side="right") - 1
-    end_block = np.searchsorted(blocks, off[1:])          # per row, one past its last block
+    first_block, end_block = np.searchsorted(blocks, off[:-1]), np.searchsorted(blocks, off[1:])
     checked: set[tuple[int, int, int]] = set()
     masks: dict[int, dict[int, int]] = {}
     for size in np.unique(items.size):
         mine = np.flatnonzero(items.size == size)
-        last = np.minimum(np.arange(len(blocks)) + size // STRIDE, end_block[row])
-        vectors = (run[last] - run[:-1]).astype(np.float32)
+        step = max(size // STRIDE // 2, 1)
+        open_at = np.flatnonzero((np.arange(len(blocks)) - first_block[row]) % step == 0)
+        last = np.minimum(open_at + size // STRIDE, end_block[row[open_at]])
+        vectors = (run[last] - run[open_at]).astype(np.float32)
         bar = COSINE * np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        stop = np.minimum(blocks + size, off[row + 1])
-        for at in range(0, len(blocks), 8192):
+        for at in range(0, len(open_at), 8192):
             dots = vectors[at:at + 8192] @ items.latent[mine].T
             w, i = np.nonzero(dots > bar[at:at + 8192, None])
             near = COSINE * dots[w, i] / bar[at + w]
-            w += at
+            w = open_at[w + at]
             i = mine[i]
             for part in range(0, len(w), _PAIRS):
                 pw, pi, pc = w[part:part + _PAIRS], i[part:part + _PAIRS], near[part:part + _PAIRS]
-                spots = np.minimum(blocks[pw][:, None] + np.arange(size), stop[pw][:, None] - 1)
-                terms = columns[spots]
+                begin, stop = blocks[pw], np.minimum(blocks[pw] + size, off[row[pw] + 1])
+                terms = columns[np.minimum(begin[:, None] + np.arange(size), stop[:, None] - 1)]
                 weight = items.idf[terms]
                 inside = np.einsum("ij,ij->i", weight, items.holds[pi[:, None], terms])
                 for k in np.flatnonzero(inside >= SHARED * weight.sum(axis=1)):
-                    window, piece, r = int(blocks[pw[k]]), int(pi[k]), int(row[pw[k]])
+                    window, piece, r = int(begin[k]), int(pi[k]), int(row[pw[k]])
                     item = items.hashes[piece]
                     slack = len(item) + len(item) // 4 - int(size) // 2
                     a, b = max(window - slack, int(off[r])), min(window + int(size) + slack, int(off[r + 1]))
@@ -278,11 +280,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _leaks_of_block(docs: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
     names = docs.columns
-    at_leaks = names.index("__leaks")
+    at_text, at_leaks = names.index("text"), names.index("__leaks")
 
     def run(batches):
-        for part, chunk in tx.chunks(batches):
-            hashes, columns, off = terms_of(chunk)
+        for part, _ in tx.chunks(batches):
+            hashes, columns, off = terms_of(part.column(at_text))
             found = _search(items, space, hashes, columns, off)
             cols = [part.column(i) for i in range(part.num_columns)]
             if found:
