@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20          # text bytes handled at once in a Python worker
+CHUNK_BYTES = 1 << 20          # text bytes handled at once in a Python worker
 U64 = np.uint64
 
 IS_WORD = np.ones(256, dtype=bool)

@@ -15,7 +15,8 @@ tokenizer's own normaliser and splitter.  Decoding joins the tokens by a space,
 file names no decoder.
 
 Defined cases: null text is empty and gives no tokens; each input row gives one
-result row.  The word memory of a worker is cleared at ``MEMORY`` words.
+result row.  The word memory of a task is cleared at ``MEMORY`` words and at the
+task's end.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from starload.llm import _text as tx
 from starload.llm._work import extended
 
-MEMORY = 300_000
+MEMORY = 100_000
 _END = "\ue000"                       # stands for </w> as one symbol
 
 # The file's classes of white space, letters and numbers inside
@@ -205,6 +206,12 @@ class WordBpe:
             out.append(row)
         return out
 
+    def forget(self) -> None:
+        """Give the memory back; workers live on between tasks."""
+        self._memory.clear()
+        self._whole.clear()
+        self._pairs = np.zeros(0, dtype=np.int64)
+
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.shown[i] for i in ids)
 
@@ -230,6 +237,7 @@ def encode_documents(docs: DataFrame, path: str, *keep: str, text: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(part.num_columns - 1)]
                 + [ids, pa.array([bpe.decode(r) for r in rows], pa.string())], names=[*keep, "ids", "decoded"])
+        bpe.forget()
 
     return narrow.mapInArrow(run, schema)
 
@@ -254,5 +262,6 @@ def digest_documents(docs: DataFrame, path: str, *keep: str, text: str = "text")
                 [part.column(i) for i in range(part.num_columns - 1)]
                 + [pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(text_digest)],
                 names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     return narrow.mapInArrow(run, schema)
