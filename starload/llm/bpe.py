@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from starload.llm import _text as tx
 from starload.llm._work import extended
 
-MEMORY = 100_000
+MEMORY = 300_000
 _END = "\ue000"                       # stands for </w> as one symbol
 
 # The file's classes of white space, letters and numbers inside
@@ -207,10 +207,9 @@ class WordBpe:
         return out
 
     def forget(self) -> None:
-        """Give the memory back; workers live on between tasks."""
+        """Give the word memory back; workers live on between tasks and keep only
+        the bounded tables of tokens and pairs."""
         self._memory.clear()
-        self._whole.clear()
-        self._pairs = np.zeros(0, dtype=np.int64)
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.shown[i] for i in ids)
