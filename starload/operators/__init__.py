@@ -3,8 +3,8 @@
 from starload.operators.dims import build_dimension, date_dim, dedupe_on_key, split_hierarchy
 from starload.operators.keys import assign_surrogate_keys, assign_surrogate_keys_incremental
 from starload.operators.layout import clustered, clustered_write
-from starload.operators.lookup import (anti_members, date_lookup, dim_lookup, join_on_keys, maybe_broadcast,
-                                       missing_dim_default, semi_members, small_enough)
+from starload.operators.lookup import (anti_members, date_lookup, dim_lookup, join_on_keys,
+                                       missing_dim_default, semi_members)
 from starload.operators.mapping import (add_audit_column, conform_schema, default_fill_rules, fill_nulls,
                                         map_columns, schema_differences)
 from starload.operators.nest import collect_set_by_key, listagg_ordered, nest_children

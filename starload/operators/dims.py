@@ -19,7 +19,7 @@ from starload.operators.mapping import add_audit_column, fill_nulls, map_columns
 
 
 def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per business key (defect 2: D_DATE was never de-duplicated).
+    """One row per business key (defect 2: the date dimension was never de-duplicated).
 
     The kept row is the smallest one by its other columns -- deterministic,
     so a stage recomputed after an executor loss yields the same attributes
@@ -94,5 +94,12 @@ def split_hierarchy(df: DataFrame, attributes: Sequence[str], sk: str) -> tuple[
     """
     attrs = list(attributes)
     parent = assign_surrogate_keys(df.select(*attrs).distinct(), attrs, sk=sk, tiebreak=False)
-    child = dim_lookup(df, parent, attrs, attrs, sk=sk)
+    # Null-safe: a row whose attributes are partly null has its parent as well.
+    keys = parent.select(*[F.col(a).alias(f"__p_{a}") for a in attrs], F.col(sk).alias("__p_sk"))
+    same = None
+    for a in attrs:
+        c = F.col(a).eqNullSafe(F.col(f"__p_{a}"))
+        same = c if same is None else same & c
+    child = (df.join(keys, same, "left").withColumn(sk, F.col("__p_sk"))
+             .drop("__p_sk", *attrs, *[f"__p_{a}" for a in attrs]))
     return parent, child

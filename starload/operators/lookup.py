@@ -1,11 +1,9 @@
 """Dimension lookups and membership joins.
 
-Join strategy: a dimension is broadcast only after its row count has been
-checked against ``starload.broadcast.maxRows`` (the lookup side carries just the
-business key and the surrogate key, so the bound is ~16-40 bytes a row).
-Above the bound the join is a plain shuffle join; AQE may still demote it to
-a broadcast from measured shuffle sizes, and splits skewed fact partitions
-(left outer / semi / anti joins keep the large side splittable).
+Join strategy: none is forced.  The lookup side carries just the business key
+and the surrogate key; AQE broadcasts it when its measured size is small, and
+otherwise splits skewed fact partitions (left outer / semi / anti joins keep the
+large side splittable).
 """
 
 from __future__ import annotations
@@ -17,16 +15,6 @@ from pyspark.sql import functions as F
 
 from starload.functions.scalar import UNKNOWN_SK
 
-# Largest dimension (rows) that is broadcast on an explicit hint; a session
-# can override it with ``spark.conf.set("starload.broadcast.maxRows", n)``.
-BROADCAST_MAX_ROWS = 2_000_000
-MAX_ROWS_CONF = "starload.broadcast.maxRows"
-
-
-def broadcast_max_rows(spark) -> int:
-    return int(spark.conf.get(MAX_ROWS_CONF, None) or BROADCAST_MAX_ROWS)
-
-
 # How a foreign key resolved: kept apart although parity mode folds all to -1.
 STATUS_FOUND = "found"
 STATUS_NULL = "null_key"
@@ -38,26 +26,11 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def small_enough(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Row-count check that gates every explicit broadcast.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
-    so the check costs at most ``max_rows`` rows even for a huge frame.
-    """
-    if max_rows is None:
-        max_rows = broadcast_max_rows(df.sparkSession)
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def dim_lookup(df: DataFrame, dim: DataFrame, fk: str | Sequence[str],
                dim_key: str | Sequence[str] | None = None, sk: str = "sk",
                sk_as: str | None = None, unknown: int = UNKNOWN_SK,
                keep_fk: bool = False, status_col: str | None = None,
-               broadcast: bool | None = None) -> DataFrame:
+               broadcast: bool = False) -> DataFrame:
     """Left outer equi-join on the business key, take the surrogate key,
     unknown -> ``-1``, drop the natural key (P4).
 
@@ -66,7 +39,8 @@ def dim_lookup(df: DataFrame, dim: DataFrame, fk: str | Sequence[str],
     pruning reaches the scan).  The dimension must be unique on its key --
     otherwise the lookup multiplies fact rows (checked by ``unique_check``).
     ``status_col`` adds found / null_key / orphan so null and orphan keys stay
-    distinguishable.  ``broadcast=None`` decides by ``small_enough``.
+    distinguishable.  ``broadcast=True`` is for a
+    side whose size the caller has bounded.
     """
     fks = _as_list(fk)
     keys = _as_list(dim_key) if dim_key is not None else fks
@@ -74,9 +48,7 @@ def dim_lookup(df: DataFrame, dim: DataFrame, fk: str | Sequence[str],
     # Aliased key names avoid the ambiguous same-name drop of the reference.
     tmp = [f"__lk_{i}" for i in range(len(keys))]
     lookup = dim.select([F.col(k).alias(t) for k, t in zip(keys, tmp)] + [F.col(sk).alias("__lk_sk")])
-    if broadcast is None:
-        lookup = maybe_broadcast(lookup)
-    elif broadcast:
+    if broadcast:
         lookup = F.broadcast(lookup)
     cond = None
     for f, t in zip(fks, tmp):
@@ -102,7 +74,7 @@ def dim_lookup(df: DataFrame, dim: DataFrame, fk: str | Sequence[str],
 
 def date_lookup(df: DataFrame, date_dim: DataFrame, date_col: str, sk: str = "sk_date",
                 dim_date_col: str = "date_value", sk_as: str | None = None,
-                keep_fk: bool = False, broadcast: bool | None = None) -> DataFrame:
+                keep_fk: bool = False, broadcast: bool = False) -> DataFrame:
     """Lookup on a derived key, ``to_date`` of a timestamp/text column.
     Still a hash equi-join: the key is computed before the join."""
     key = f"__date_{date_col}"
@@ -124,18 +96,14 @@ def missing_dim_default(df: DataFrame, fk: str | Sequence[str], sk_as: str,
 def _distinct_keys(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """The key side of a semi/anti join, pre-aggregated before any shuffle.
 
-    Within the row bound (checked) the distinct keys are broadcast: the big
-    side is never shuffled, so its hot keys cost nothing.  Above it, keys are
-    de-duplicated per (key, input task): map-side partial aggregation still
+    Keys are de-duplicated per (key, input task): map-side partial aggregation
     collapses a hot key to one row per task, and because that grouping is
     not the join key the join gets its own exchange -- which AQE can split
-    when one key holds a large share of the big side.  Duplicate keys left
-    on this side do not change a semi or anti join.
+    when one key holds a large share of the big side, or turn into a broadcast
+    when it measures a small one.  Duplicate keys left on this side do not
+    change a semi or anti join.
     """
     selected = df.select([F.col(k).alias(n) for k, n in zip(keys, names)])
-    distinct = selected.distinct()
-    if small_enough(distinct):
-        return F.broadcast(distinct)
     return (selected.withColumn("__task", F.spark_partition_id())
             .distinct().drop("__task"))
 

@@ -35,8 +35,12 @@ def with_chunks(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
     from starload.operators.keys import assign_surrogate_keys
 
     numbered = assign_surrogate_keys(df, [*group_by, *order_by], sk="__pos")
-    first = numbered.groupBy(*group_by).agg(F.min("__pos").alias("__first"))
-    return (numbered.join(first, list(group_by))
+    first = numbered.groupBy(*[F.col(g).alias(f"__g_{g}") for g in group_by]).agg(F.min("__pos").alias("__first"))
+    same = None
+    for g in group_by:                       # a null parent is a parent
+        c = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+        same = c if same is None else same & c
+    return (numbered.join(first, same).drop(*[f"__g_{g}" for g in group_by])
             .withColumn(chunk_col, ((F.col("__pos") - F.col("__first")) / F.lit(chunk_size)).cast("bigint"))
             .drop("__pos", "__first"))
 
@@ -51,6 +55,7 @@ def listagg_ordered(df: DataFrame, group_by: str | Sequence[str], value: str,
     hold an unbounded share of the rows."""
     groups, order = _cols(group_by), _cols(order_by)
     if chunk_size:
+        df = df.select(*dict.fromkeys([*groups, *order, value]))
         df, groups = with_chunks(df, groups, order, chunk_size), [*groups, "chunk"]
     order_sql = ", ".join(f"`{c}`" for c in order)
     sep_sql = sep.replace("'", "''")
@@ -72,6 +77,7 @@ def nest_children(df: DataFrame, group_by: str | Sequence[str], order_by: str |
     order = _cols(order_by)
     groups = _cols(group_by)
     if chunk_size:
+        df = df.select(*dict.fromkeys([*groups, *order, *fields]))
         df, groups = with_chunks(df, groups, order, chunk_size), [*groups, "chunk"]
     record_fields = list(fields)
     sort_struct = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],

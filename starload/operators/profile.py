@@ -124,7 +124,7 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     wide = df.agg(*aggs)
 
     def share(prefix: str, i: int) -> Column:
-        return (F.col(f"{prefix}{i}") / F.col(f"__nn{i}")).cast("double")
+        return F.try_divide(F.col(f"{prefix}{i}"), F.col(f"__nn{i}")).cast("double")
 
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), share("__i", i).alias("share_int"),
@@ -135,9 +135,9 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def functional_dependency(df: DataFrame, determinant: str | Sequence[str], dependent: str) -> DataFrame:
     """Does ``determinant -> dependent`` hold?  One row: the number of
     determinant groups with more than one dependent value, and the verdict.
-    Distinct (det, dep) pairs first (partial aggregation), then per det."""
+    A null dependent is no value.  Distinct (det, dep) pairs first (partial aggregation), then per det."""
     det = [determinant] if isinstance(determinant, str) else list(determinant)
-    pairs = df.select(*det, dependent).distinct()
+    pairs = df.select(*det, dependent).filter(F.col(dependent).isNotNull()).distinct()
     per_det = pairs.groupBy(*det).agg(F.count(F.lit(1)).alias("__k"))
     return per_det.agg(F.count_if(F.col("__k") > 1).alias("violating_groups")).withColumn(
         "holds", F.col("violating_groups") == 0)
@@ -153,7 +153,7 @@ def fk_containment(child: DataFrame, child_col: str, parent: DataFrame, parent_c
     flagged = values.join(parent_keys, values["__v"] == parent_keys["__p"], "left")
     out = flagged.agg(F.count(F.lit(1)).alias("distinct_child"),
                       F.count_if(F.col("__hit").isNotNull()).alias("contained"))
-    return out.withColumn("ratio", (F.col("contained") / F.col("distinct_child")).cast("double"))
+    return out.withColumn("ratio", F.try_divide(F.col("contained"), F.col("distinct_child")).cast("double"))
 
 
 def numeric_measures(df: DataFrame) -> list[str]:
@@ -168,7 +168,7 @@ def cluster_advice(df: DataFrame, columns: Sequence[str] | None = None, approx:
     cols = list(columns or df.columns)
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
     out = distinct_counts(df, cols, approx=approx).withColumn("rows", rows.scalar())
-    out = out.withColumn("ratio", (F.col("distinct_count") / F.col("rows")).cast("double"))
+    out = out.withColumn("ratio", F.try_divide(F.col("distinct_count"), F.col("rows")).cast("double"))
     # One row per column: the ranking window is bounded by the column count.
     w = Window.orderBy(F.desc("ratio"), F.asc("column_name"))
     return out.withColumn("rnk", F.row_number().over(w).cast("bigint"))

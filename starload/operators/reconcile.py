@@ -16,9 +16,9 @@ MATCH, CHANGED, MISSING, EXTRA = "match", "changed", "missing", "extra"
 
 
 def row_digest(columns: Sequence[str]):
-    # Null-safe: the null marker is inside the struct, so (a, null) and
-    # (null, a) hash differently.
-    return F.xxhash64(F.struct(*[F.col(c) for c in columns]))
+    # xxhash64 skips nulls, so each column goes in with its null marker:
+    # (a, null) and (null, a) hash differently.
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))], F.lit(0))
 
 
 def _fingerprints(df: DataFrame, keys: Sequence[str], cols: Sequence[str], tag: str) -> DataFrame:
@@ -41,12 +41,20 @@ def reconcile_rows(source: DataFrame, target: DataFrame, key: str | Sequence[str
     cols = list(compare) if compare is not None else [c for c in source.columns if c not in keys]
     s = _fingerprints(source, keys, cols, "s")
     t = _fingerprints(target, keys, cols, "t")
-    joined = s.join(t, keys, "full_outer")
+    # Null keys are keys too: reconcile(x, x) is all match.
+    t = t.select([F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)] + ["__nt", "__ht"])
+    same = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        same = c if same is None else same & c
+    joined = s.join(t, same, "full_outer")
+    present = F.col("__ns").isNotNull()
+    keyed = [F.when(present, F.col(k)).otherwise(F.col(f"__k{i}")).alias(k) for i, k in enumerate(keys)]
     status = (F.when(F.col("__nt").isNull(), F.lit(MISSING))
               .when(F.col("__ns").isNull(), F.lit(EXTRA))
               .when((F.col("__ns") == F.col("__nt")) & (F.col("__hs") == F.col("__ht")), F.lit(MATCH))
               .otherwise(F.lit(CHANGED)))
-    return joined.select(*keys, status.alias("status"))
+    return joined.select(*keyed, status.alias("status"))
 
 
 def reconcile(source: DataFrame, target: DataFrame, key: str | Sequence[str],

@@ -30,8 +30,9 @@ BATCH_COL = "load_batch"
 def _batch_id(load_ts: str | None, batch_id: str | None = None) -> F.Column:
     if batch_id is not None:
         return F.lit(str(batch_id))
-    ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts else F.current_timestamp()
-    return F.date_format(ts, "yyyyMMddHHmmss")
+    if not load_ts:
+        raise ValueError("load_ts or batch_id is required: a clock would make every rerun a new batch")
+    return F.date_format(F.lit(load_ts).cast("timestamp_ntz"), "yyyyMMddHHmmss")
 
 
 def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataFrame], target_root: str,
@@ -43,8 +44,10 @@ def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataF
     valid, rejected = build_table(spec, sources, parents, load_ts, audit_col, existing=existing,
                                   materialize_checked=spec.kind != "dimension")
     if rejected is not None:
+        # Like a fact's: a rerun of the batch replaces its own rejects.
         (rejected.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
-         .write.mode("append").parquet(f"{target}_rejected"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL).parquet(f"{target}_rejected"))
     if spec.kind == "dimension":
         append_by_name(valid, target, existing.schema if existing is not None else None,
                        exists=existing is not None)

@@ -245,7 +245,7 @@ ORACLE_SQL: dict[str, str] = {
     # 2.5
     "sort_multi": ("SELECT o_orderkey, o_orderpriority, o_totalprice, CAST(row_number() OVER (ORDER BY "
                    "o_orderpriority, o_totalprice DESC, o_orderkey) AS BIGINT) AS rnk FROM orders "
-                   "ORDER BY rnk LIMIT 100"),
+                   "ORDER BY rnk"),
     "limit_one": "SELECT p_partkey, p_name, p_size FROM part WHERE p_size > 40 ORDER BY p_partkey LIMIT 1",
     "set_equality": (f"WITH l AS (SELECT c_custkey, c_name, c_acctbal FROM customer), "
                      f"r AS (SELECT c_custkey, c_name, c_acctbal FROM ({CUSTOMER_EDITED})), "

@@ -250,9 +250,9 @@ def q_fill_mean(spark, d):
 
 def q_sort_multi(spark, d):
     order = [F.asc("o_orderpriority"), F.desc("o_totalprice"), F.asc("o_orderkey")]
-    top = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(*order).limit(100)
-    # The rank window runs over the 100 kept rows only.
-    return top.withColumn("rnk", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    rows = _t(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    # Every row with its place in the order, numbered without a single task.
+    return assign_surrogate_keys(rows, order, sk="rnk", tiebreak=False, first=False)
 
 
 def q_limit_one(spark, d):

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from starload.functions.scalar import UNKNOWN_SK
 from starload.operators.dims import dedupe_on_key
 from starload.operators.keys import assign_surrogate_keys
-from starload.operators.lookup import broadcast_max_rows, dim_lookup, missing_dim_default
+from starload.operators.lookup import dim_lookup, missing_dim_default
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
 from starload.operators.quality import LoadCheckError, annotate_rejects, count_checks
 from starload.session import materialize
@@ -130,14 +130,6 @@ def _key_null(cols: list[str]) -> Column:
     return cond
 
 
-def _broadcast_choice(spark, dim: str, dim_rows: Mapping[str, int] | None) -> bool | None:
-    """Known dimension size -> decide here; unknown -> ``None`` (the lookup
-    runs the bounded ``small_enough`` count)."""
-    if dim_rows is None or dim not in dim_rows:
-        return None
-    return dim_rows[dim] <= broadcast_max_rows(spark)
-
-
 def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame | None],
                 load_ts: str | None = None, audit_col: str | None = "dt_insert",
                 existing: DataFrame | None = None,
@@ -155,8 +147,8 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     separate check job nor a second evaluation of the joins runs; the later
     write reads the checkpoint.
     ``stats`` receives the row count of a dimension (known from numbering);
-    ``dim_rows`` gives known parent sizes, so broadcast decisions need no
-    count job (unknown sizes are checked by ``small_enough``).
+    ``dim_rows`` (known parent sizes) is accepted for callers that pass it; joins
+    are left to AQE.
     """
     df = map_columns(source_frame(spec, sources), spec.columns)
     if spec.fill:
@@ -205,15 +197,13 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
             dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
             key = f"__date_{lk.sk_as}"
             df = df.withColumn(key, F.to_date(F.col(lk.fk[0])))
-            df = dim_lookup(df, dim, key, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status,
-                            broadcast=_broadcast_choice(df.sparkSession, lk.dim, dim_rows))
+            df = dim_lookup(df, dim, key, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status)
             if lk.fk[0] not in spec.keep_natural:
                 df = df.drop(lk.fk[0])
         else:
             dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
             df = dim_lookup(df, dim, lk.fk, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status,
-                            keep_fk=bool(set(lk.fk) & set(spec.keep_natural)),
-                            broadcast=_broadcast_choice(df.sparkSession, lk.dim, dim_rows))
+                            keep_fk=bool(set(lk.fk) & set(spec.keep_natural)))
         rules[f"unresolved_{lk.sk_as}"] = F.col(status) != F.lit("found")
         modes[f"unresolved_{lk.sk_as}"] = lk.on_missing
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StructType
 
 from starload.operators.lookup import anti_members
@@ -26,7 +27,9 @@ def try_read_back(spark: SparkSession, target: str) -> DataFrame | None:
     if _is_path(target):
         try:
             return spark.read.parquet(target)
-        except Exception:  # AnalysisException: path does not exist
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
     return spark.read.table(target) if spark.catalog.tableExists(target) else None
 

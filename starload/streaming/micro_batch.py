@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starload.plans.load import run_load
 from starload.plans.spec import TableSpec
-from starload.session import staging_path
 
 
 def load_stream(stream: DataFrame, source_name: str, specs: list[TableSpec],
@@ -25,14 +24,14 @@ def load_stream(stream: DataFrame, source_name: str, specs: list[TableSpec],
                 load_ts: str | None = None, checkpoint_location: str | None = None,
                 available_now: bool = True, query_name: str | None = None) -> StreamingQuery:
     """Start a streaming load of ``stream`` (standing in for ``source_name``)."""
-    spark = stream.sparkSession
-    location = checkpoint_location or staging_path(spark, f"stream-{source_name}")
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location is required: a fresh one would restart epoch ids and repeat rows")
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         sources = ChainMap({source_name: batch}, static_sources)
         run_load(batch.sparkSession, specs, sources, target_root, load_ts, batch_id=f"epoch{epoch_id:010d}")
 
-    writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", location)
+    writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

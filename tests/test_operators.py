@@ -14,7 +14,7 @@ from starload.operators import (anti_members, assign_surrogate_keys, assign_surr
                                 dim_lookup, distinct_counts, fill_nulls, fk_orphans, functional_dependency,
                                 listagg_ordered, map_columns, missing_dim_default, nest_children, not_null_check,
                                 reconcile, reject_split, self_fk_orphans, semi_members, set_difference_counts,
-                                small_enough, split_hierarchy, table_profile, unique_check)
+                                split_hierarchy, table_profile, unique_check)
 
 
 def _key(t):
@@ -132,28 +132,16 @@ def test_semi_and_anti_members_null_safe(spark):
     assert rows(anti_members(a, b, "k"), "k") == srt([(2,), (None,)])
 
 
-def test_small_enough_bound(spark):
-    assert small_enough(spark.range(10), 10)
-    assert not small_enough(spark.range(11), 10)
-
-
 # ------------------------------------------------------------------ keys
 
-@pytest.fixture()
-def distributed_keys(spark):
-    spark.conf.set("starload.sk.singleTaskMaxRows", "0")
-    yield
-    spark.conf.unset("starload.sk.singleTaskMaxRows")
-
-
-def test_surrogate_keys_equal_row_number_no_gaps(spark, distributed_keys):
+def test_surrogate_keys_equal_row_number_no_gaps(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5000).alias("k"))
     out = assign_surrogate_keys(df, "k", sk="sk", num_partitions=6)
     got = rows(out, "k", "sk")
     assert got == [(k, k + 1) for k in range(5000)]
 
 
-def test_surrogate_keys_hot_key_spread(spark, distributed_keys):
+def test_surrogate_keys_hot_key_spread(spark):
     # A key held by a third of the rows still numbers 1..n without gaps.
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
                                      F.col("id").alias("v"))
@@ -164,13 +152,10 @@ def test_surrogate_keys_hot_key_spread(spark, distributed_keys):
     assert len(per_part) > 1
 
 
-@pytest.mark.parametrize("bound", ["0", "1000"])
-def test_surrogate_keys_incremental_continue(spark, bound):
-    spark.conf.set("starload.sk.singleTaskMaxRows", bound)
+def test_surrogate_keys_incremental_continue(spark):
     first = assign_surrogate_keys(spark.createDataFrame([(5,), (1,)], "k int"), "k", sk="sk")
     new = assign_surrogate_keys_incremental(spark.createDataFrame([(1,), (3,), (9,)], "k int"), first, "k", sk="sk")
     assert rows(new, "k", "sk") == [(3, 3), (9, 4)]
-    spark.conf.unset("starload.sk.singleTaskMaxRows")
 
 
 def test_split_hierarchy(spark):
@@ -264,7 +249,7 @@ def test_reconcile_repeated_keys_no_pair_blowup(spark):
     assert got["match"] == s.select("k").distinct().count() - 1
 
 
-def test_chunked_nesting_of_hot_parent(spark, distributed_keys):
+def test_chunked_nesting_of_hot_parent(spark):
     # parent 1 holds a third of the rows; chunks keep order and size
     df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 1000).alias("g"),
                                  F.col("id").alias("pos"))
@@ -284,3 +269,33 @@ def test_dedupe_keeps_smallest_row_per_key(spark):
     out = dedupe_on_key(df, ["k"])
     assert out.columns == ["k", "s", "n"]
     assert rows(out) == [(1, "a", 9), (2, None, 1)]
+
+
+# ------------------------------------------------------------------ nulls and empty inputs
+
+def test_reconcile_nulls(spark):
+    a = spark.createDataFrame([(1, 5, None), (None, 1, 2)], "k int, x int, y int")
+    b = spark.createDataFrame([(1, None, 5), (None, 1, 2)], "k int, x int, y int")
+    assert dict(rows(reconcile(a, b, "k"), "status", "n")) == {"match": 1, "changed": 1, "missing": 0, "extra": 0}
+    assert dict(rows(reconcile(a, a, "k"), "status", "n"))["match"] == 2
+
+
+def test_split_hierarchy_null_attribute(spark):
+    df = spark.createDataFrame([("A", None), ("A", "x"), (None, None)], "brand string, kind string")
+    parent, child = split_hierarchy(df, ["brand", "kind"], "sk")
+    back = child.join(parent, "sk").select("brand", "kind")
+    assert rows(back) == srt([("A", None), ("A", "x"), (None, None)])
+
+
+def test_chunked_nesting_keeps_null_parent(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "p int, v int")
+    out = listagg_ordered(df, "p", "v", "v", chunk_size=1)
+    assert rows(out, "p", "chunk", "list") == srt([(None, 0, "1"), (None, 1, "2"), (1, 0, "3")])
+
+
+def test_profiles_of_empty_columns(spark):
+    from starload.operators.profile import fk_containment, infer_types
+
+    nothing = spark.createDataFrame([(None,)], "a string")
+    assert infer_types(nothing).first().share_int is None
+    assert fk_containment(nothing, "a", nothing, "a").first().ratio is None

@@ -14,11 +14,9 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(H
 
 @pytest.fixture()
 def distributed(spark):
-    spark.conf.set("starload.sk.singleTaskMaxRows", "0")
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "37")
     yield
-    spark.conf.unset("starload.sk.singleTaskMaxRows")
     spark.conf.set("spark.sql.shuffle.partitions", old)
 
 

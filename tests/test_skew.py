@@ -16,7 +16,6 @@ from starload.operators import assign_surrogate_keys, dim_lookup, fk_orphans
 from conftest import SF_ORACLE
 
 SKEW_CONF = {
-    "starload.broadcast.maxRows": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",

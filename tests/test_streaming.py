@@ -25,7 +25,8 @@ def test_stream_of_lineitem_files_loads_every_line_once(spark, tmp_path):
     li.filter(F.year("l_shipdate") < 1998).write.parquet(f"{incoming}/drop=1")
     li.filter(F.year("l_shipdate") >= 1998).write.parquet(f"{incoming}/drop=2")
     stream = spark.readStream.schema(li.schema).option("recursiveFileLookup", "true").parquet(incoming)
-    q = load_stream(stream, "lineitem", fact, sources, root, LOAD_TS)
+    q = load_stream(stream, "lineitem", fact, sources, root, LOAD_TS,
+                    checkpoint_location=f"{root}-checkpoint")
     q.awaitTermination(300)
     assert q.exception() is None
     loaded = read_back(spark, f"{root}/fact_lineitem")
