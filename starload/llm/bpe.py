@@ -25,6 +25,8 @@ import hashlib
 import json
 import re
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,9 @@ from starload.llm._work import extended
 
 MEMORY = 300_000
 _END = "\ue000"                       # stands for </w> as one symbol
+_NEVER = 1 << 60                      # rank of a pair that never merges
+_UNKNOWN = 0xFFFFFF                   # a letter without a token; never merges, gives no id
+_SINGLE = (1,)
 
 # The file's classes of white space, letters and numbers inside
 # U+0000-U+024F, and its pattern over them (after lowering).
@@ -65,69 +70,95 @@ class WordBpe:
         own = lambda t: t[:-len(suffix)] + _END if t.endswith(suffix) and t != suffix else t
         self.ids = {own(t): i for t, i in model["vocab"].items()}
         self.shown = {i: t for t, i in model["vocab"].items()}
-        self.ranks = {}
+        self._text = {i: t for t, i in self.ids.items()}
+        self._ranks: dict[int, int] = {}              # left id, right id -> rank
+        self._made: list[int] = []                    # rank -> id of the joined token
         for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[own(a), own(b)] = rank
-        self.longest = max(map(len, self.ids))
+            a, b = map(own, pair if isinstance(pair, list) else pair.split(" "))
+            self._ranks[self.ids[a] << 24 | self.ids[b]] = rank
+            self._made.append(self.ids[a + b])
+        # Tokens that merging their own letters gives back, and the lengths they
+        # have by their first two letters, longest first.
+        self._whole = {t: i for t, i in self.ids.items() if self.merge(self.letters(t)) == [i]}
+        lengths: dict[str, set[int]] = {}
+        for t in self._whole:
+            lengths.setdefault(t[:2], set()).add(len(t))
+        self._lengths = {k: sorted(v | {1}, reverse=True) for k, v in lengths.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.shown |= {i: t for t, i in self.special.items()}
         self._specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str
         self._split = library.pre_tokenizer.pre_tokenize_str
-        self._bytes = {b: s for b, s in _byte_symbols().items()}
-        self._whole: dict[str, bool] = {}
+        self._bytes = _byte_symbols()
         self._pairs = np.zeros(0, dtype=np.int64)     # verified pairs, sorted: code * 2 + stands
-        self._memory: dict[str, tuple[int, str, str]] = {}
+        # Encodings of words given as text and of words given in byte symbols:
+        # count, decimal ids and shown tokens, the latter two joined by a space.
+        self._memory: tuple[dict, dict] = ({}, {})
 
-    def merge(self, symbols: list[str]) -> list[str]:
+    def merge(self, ids: list[int]) -> list[int]:
         """Exact merging: the pair of lowest rank, leftmost first, until none is left."""
-        symbols = list(symbols)
-        while len(symbols) > 1:
-            ranked = [self.ranks.get(p, 1 << 60) for p in zip(symbols, symbols[1:])]
-            best = min(ranked)
-            if best == 1 << 60:
+        if len(ids) > 64:
+            return self._merge_long(ids)
+        get = self._ranks.get
+        ranks = [get(a << 24 | b, _NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NEVER:
                 break
-            first = ranked.index(best)
-            pair = (symbols[first], symbols[first + 1])
-            out, i = symbols[:first], first
-            while i < len(symbols):
-                if i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == pair:
-                    out.append(symbols[i] + symbols[i + 1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return symbols
-
-    @staticmethod
-    def letters(text: str) -> list[str]:
-        """Initial symbols; the end mark belongs to the last one."""
-        return [*text[:-2], text[-2:]] if text.endswith(_END) else list(text)
-
-    def _is_whole(self, token: str) -> bool:
-        """Whether merging the token's own letters gives the token back."""
-        ok = self._whole.get(token)
-        if ok is None:
-            ok = self._whole[token] = self.merge(self.letters(token)) == [token]
-        return ok
-
-    def _propose(self, word: str) -> list[str]:
-        out, i, n, ids, longest = [], 0, len(word), self.ids, self.longest
+            i = ranks.index(best)
+            token = self._made[best]
+            ids[i:i + 2] = [token]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 24 | token, _NEVER)
+            if i < len(ranks):
+                ranks[i] = get(token << 24 | ids[i + 1], _NEVER)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same over a heap of (rank, place), for words of any length."""
+        n, get = len(ids), self._ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(get(a << 24 | b, _NEVER), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+        heap = [entry for entry in heap if entry[0] != _NEVER]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j == n or get(ids[i] << 24 | ids[j]) != rank:
+                continue                  # the pair has changed since
+            ids[i], ids[j], after[i] = self._made[rank], -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n:
+                    again = get(ids[left] << 24 | ids[right], _NEVER)
+                    if again != _NEVER:
+                        heappush(heap, (again, left))
+        return [i for i in ids if i >= 0]
+
+    def letters(self, text: str) -> list[int]:
+        """Initial tokens; the end mark belongs to the last letter."""
+        symbols = [*text[:-2], text[-2:]] if text.endswith(_END) else text
+        return [self.ids.get(s, _UNKNOWN) for s in symbols]
+
+    def _propose(self, word: str) -> list[int]:
+        out, i, n, whole = [], 0, len(word), self._whole
         while i < n:
-            for to in range(min(n, i + longest), i, -1):
-                token = word[i:to]
-                if token in ids and to != n - 1 and self._is_whole(token):
-                    break
+            for size in self._lengths.get(word[i:i + 2], _SINGLE):
+                to = i + size
+                if to <= n and to != n - 1:
+                    token = whole.get(word[i:to])
+                    if token is not None:
+                        break
             else:
                 return []
             out.append(token)
             i = to
         return out
 
-    def _standing(self, codes: np.ndarray, names: dict[int, str]) -> np.ndarray:
+    def _standing(self, codes: np.ndarray) -> np.ndarray:
         """Which pair codes stand; unknown pairs are decided once by merging."""
         distinct = np.unique(codes)
         known = self._pairs >> 1
@@ -137,37 +168,41 @@ class WordBpe:
         if len(new):
             verdicts = []
             for code in new.tolist():
-                pair = [names[code >> 24], names[code & 0xFFFFFF]]
-                verdicts.append(self.merge(self.letters("".join(pair))) == pair)
+                pair = [code >> 24, code & 0xFFFFFF]
+                verdicts.append(self.merge(self.letters(self._text[pair[0]] + self._text[pair[1]])) == pair)
             fresh = new * 2 + np.array(verdicts, dtype=np.int64)
             base = self._pairs if len(self._pairs) < 4_000_000 else np.zeros(0, dtype=np.int64)
             self._pairs = np.sort(np.concatenate((base, fresh)))
             if len(base) < len(known):      # the table was cleared: decide this batch's others again
-                return self._standing(codes, names)
+                return self._standing(codes)
             known = self._pairs >> 1
         return (self._pairs[np.searchsorted(known, codes)] & 1).astype(bool)
 
-    def encode_words(self, words: list[str]) -> list[list[str]]:
-        """Tokens of words given in byte symbols with the end mark."""
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words given in byte symbols with the end mark."""
         proposals = [self._propose(w) for w in words]
-        sizes = np.array([len(p) for p in proposals], dtype=np.int64)
-        flat = np.fromiter((self.ids[t] for p in proposals for t in p), dtype=np.int64, count=int(sizes.sum()))
-        names = {self.ids[t]: t for p in proposals for t in p}
+        sizes = np.fromiter(map(len, proposals), dtype=np.int64, count=len(proposals))
+        flat = np.fromiter(chain.from_iterable(proposals), dtype=np.int64, count=int(sizes.sum()))
         owner = np.repeat(np.arange(len(words)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        stands = self._standing((flat[inner] << 24) | flat[inner + 1], names)
+        stands = self._standing((flat[inner] << 24) | flat[inner + 1])
         failed = sizes == 0
         failed[owner[inner[~stands]]] = True
-        return [self.merge(self.letters(w)) if bad else p
-                for w, p, bad in zip(words, proposals, failed, strict=True)]
+        for i in np.flatnonzero(failed).tolist():
+            proposals[i] = [t for t in self.merge(self.letters(words[i])) if t != _UNKNOWN]
+        return proposals
+
+    def _symbols(self, word: str) -> str:
+        if word.isascii() and word.isprintable():     # printable ASCII stands for itself
+            return word
+        return "".join([self._bytes[b] for b in word.encode()])
 
     def _learn(self, words: list[str], mapped: bool) -> None:
         """Put the encodings of unknown words into the memory."""
-        byte = self._bytes
-        keys = words if mapped else ["".join(byte[b] for b in w.encode()) for w in words]
-        for word, tokens in zip(words, self.encode_words([k + _END for k in keys]), strict=True):
-            ids = [self.ids[t] for t in tokens if t in self.ids]
-            self._memory[(word, mapped)] = (len(ids), ids, " ".join(self.shown[i] for i in ids))
+        keys = words if mapped else map(self._symbols, words)
+        memory, shown = self._memory[mapped], self.shown
+        for word, ids in zip(words, self.encode_words([k + _END for k in keys]), strict=True):
+            memory[word] = (len(ids), " ".join(map(str, ids)), " ".join([shown[i] for i in ids]))
 
     def pieces(self, text: str) -> tuple[list[str], bool]:
         """Words of one stretch without special tokens; whether in byte symbols."""
@@ -175,41 +210,54 @@ class WordBpe:
             return _LATIN.findall(text.lower()), False
         return [w for w, _ in self._split(self._normalize(text))], True
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, list[int], str]]]:
-        """Per text its words' (count, ids, shown tokens), special tokens included."""
-        if len(self._memory) > MEMORY:
-            self._memory.clear()
-        memory, plans = self._memory, []
-        unknown: dict[bool, dict[str, None]] = {False: {}, True: {}}
+    def _words(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
+        """Per text the memory's entries of its words, special tokens included."""
+        if sum(map(len, self._memory)) > MEMORY:
+            self.forget()
+        plans, seen = [], (set(), set())
         for text in texts:
             plan = []
             for i, part in enumerate(self._specials.split(text)):
                 if i % 2:
-                    plan.append(part)
+                    plan.append((part, None))
                 elif part:
                     words, mapped = self.pieces(part)
-                    keys = [(w, mapped) for w in words]
-                    unknown[mapped].update((k[0], None) for k in keys if k not in memory)
-                    plan.append(keys)
+                    seen[mapped].update(words)
+                    plan.append((words, mapped))
             plans.append(plan)
-        for mapped, words in unknown.items():
-            if words:
-                self._learn(list(words), mapped)
+        for mapped in (False, True):
+            unknown = seen[mapped].difference(self._memory[mapped])
+            if unknown:
+                self._learn(list(unknown), mapped)
         out = []
         for plan in plans:
             row = []
-            for part in plan:
-                if isinstance(part, str):
-                    row.append((1, [self.special[part]], part))
+            for part, mapped in plan:
+                if mapped is None:
+                    row.append((1, str(self.special[part]), part))
                 else:
-                    row += [memory[k] for k in part]
+                    row += map(self._memory[mapped].__getitem__, part)
             out.append(row)
         return out
 
+    def encode(self, texts: list[str]) -> list[list[tuple[int, list[int], str]]]:
+        """Per text its words' (count, ids, shown tokens), special tokens included."""
+        return [[(n, [int(i) for i in ids.split()], shown) for n, ids, shown in row] for row in self._words(texts)]
+
+    def encode_joined(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Per text the number of tokens, the decimal ids joined by one space and
+        the text decoded from them."""
+        out = []
+        for row in self._words(texts):
+            counts, ids, shown = zip(*[w for w in row if w[0]]) if row else ((), (), ())
+            out.append((sum(counts), " ".join(ids), " ".join(shown)))
+        return out
+
     def forget(self) -> None:
         """Give the word memory back; workers live on between tasks and keep only
         the bounded tables of tokens and pairs."""
-        self._memory.clear()
+        for memory in self._memory:
+            memory.clear()
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.shown[i] for i in ids)
@@ -229,13 +277,12 @@ def encode_documents(docs: DataFrame, path: str, *keep: str, text: str = "text")
         bpe = word_bpe(path)
         for part, _ in tx.chunks(batches, "__text"):
             texts = [x or "" for x in part.column(part.num_columns - 1).to_pylist()]
-            rows = [[i for _, ids, _ in row for i in ids] for row in bpe.encode(texts)]
-            sizes = np.array([0, *map(len, rows)])
-            flat = np.fromiter((i for r in rows for i in r), dtype=np.int32, count=int(sizes.sum()))
-            ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
+            sizes, ids, decoded = zip(*bpe.encode_joined(texts))
+            flat = np.fromiter(map(int, " ".join(ids).split()), dtype=np.int32, count=sum(sizes))
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(part.num_columns - 1)]
-                + [ids, pa.array([bpe.decode(r) for r in rows], pa.string())], names=[*keep, "ids", "decoded"])
+                + [ids, pa.array(decoded, pa.string())], names=[*keep, "ids", "decoded"])
         bpe.forget()
 
     return narrow.mapInArrow(run, schema)
@@ -251,12 +298,9 @@ def digest_documents(docs: DataFrame, path: str, *keep: str, text: str = "text")
         bpe = word_bpe(path)
         for part, _ in tx.chunks(batches, "__text"):
             texts = [x or "" for x in part.column(part.num_columns - 1).to_pylist()]
-            n, ids_digest, text_digest = [], [], []
-            for row in bpe.encode(texts):
-                ids = [i for _, own, _ in row for i in own]
-                n.append(len(ids))
-                ids_digest.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                text_digest.append(hashlib.sha256(" ".join(s for k, _, s in row if k).encode()).hexdigest())
+            n, ids, decoded = zip(*bpe.encode_joined(texts))
+            ids_digest = [hashlib.sha256(x.encode()).hexdigest() for x in ids]
+            text_digest = [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(part.num_columns - 1)]
                 + [pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(text_digest)],
