@@ -18,6 +18,9 @@ from starload.operators.lookup import dim_lookup, missing_dim_default
 from starload.operators.mapping import add_audit_column, fill_nulls, map_columns
 
 
+COPIES, CONFLICT = "__key_copies", "__key_conflict"
+
+
 def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per business key (defect 2: the date dimension was never de-duplicated).
 
@@ -25,15 +28,24 @@ def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     so a stage recomputed after an executor loss yields the same attributes
     (``dropDuplicates`` keeps whichever row arrives first).  When a consumer
     reads only the key (a lookup), the row aggregate is pruned away.
-    Dimension sources are unique on their key in practice; ``unique_check``
-    reports when not.
+    ``collapse_on_key`` also tells which keys had differing rows.
     """
+    return collapse_on_key(df, key).select(*df.columns)
+
+
+def collapse_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``dedupe_on_key`` with two more columns: ``COPIES``, the rows the key
+    had, and ``CONFLICT``, whether they differ (exact duplicates do not)."""
     keys = list(key)
     others = [c for c in df.columns if c not in keys]
+    copies = F.count(F.lit(1)).alias(COPIES)
     if not others:
-        return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in others])).alias("__row"))
-    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in others]).select(*df.columns)
+        return df.groupBy(*keys).agg(copies).withColumn(CONFLICT, F.lit(False)).select(*df.columns, COPIES, CONFLICT)
+    row = F.struct(*[F.col(c) for c in others])
+    kept = df.groupBy(*keys).agg(copies, F.min(row).alias("__row"), F.max(row).alias("__top"))
+    return (kept.withColumn(CONFLICT, ~F.col("__row").eqNullSafe(F.col("__top")))
+            .select(*keys, *[F.col("__row")[c].alias(c) for c in others], COPIES, CONFLICT)
+            .select(*df.columns, COPIES, CONFLICT))
 
 
 def build_dimension(source: DataFrame, mapping: Sequence[tuple[str, str | Column]], business_key: Sequence[str],

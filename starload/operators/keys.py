@@ -23,7 +23,7 @@ row hash) and needs one shuffle of the data plus the checkpoint write.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +44,8 @@ def _order_columns(df: DataFrame, order_by: Sequence[str | Column], tiebreak: bo
 def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column], sk: str = "sk",
                           start: int | Column = 1, num_partitions: int | None = None,
                           tiebreak: bool = True, first: bool = True,
-                          stats: dict | None = None, null_check: Sequence[str] = ()) -> DataFrame:
+                          stats: dict | None = None, checks: Mapping[str, Column] | None = None,
+                          scratch: Sequence[str] = ()) -> DataFrame:
     """Dense sequential keys ``start, start+1, ...`` in ``order_by`` order.
 
     ``start`` may be a Column (e.g. a scalar subquery ``max(sk) + 1``).
@@ -53,17 +54,17 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
     column; callers whose keys are unique (de-duplicated dimensions) turn it
     off so unused columns can be pruned.
     The output keeps the input columns and puts ``sk`` first when ``first``.
-    ``stats`` (a dict) receives ``rows`` and, for the ``null_check``
-    columns, ``null_keys`` -- both from the per-partition count job that
-    numbering needs anyway, so callers get row counts and null-key checks
-    without another pass.
+    ``stats`` (a dict) receives ``rows`` and the total of every aggregate in
+    ``checks`` (whole numbers) -- from the per-partition count job that
+    numbering needs anyway, so callers get row counts and key checks without
+    another pass.  ``scratch`` columns serve the checks and are dropped.
     """
     order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-    cols = df.columns
+    cols = [c for c in df.columns if c not in scratch]
+    checks = dict(checks or {})
     ordering = _order_columns(df, order, tiebreak)
     out_cols = [sk, *cols] if first else [*cols, sk]
     start_col = start if isinstance(start, Column) else F.lit(start)
-    nulls = _null_count(null_check)
 
     # Without an explicit count the exchange uses spark.sql.shuffle.partitions
     # (sized for the cluster) and AQE merges adjacent small ranges; merged
@@ -76,11 +77,13 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
     ranged = materialize(ranged)
-    per_part = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"), nulls.alias("z")).collect()
+    per_part = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"),
+                                       *[c.alias(f"check_{n}") for n, c in checks.items()]).collect()
     counts = {r[_PID]: r["n"] for r in per_part}
     if stats is not None:
         stats["rows"] = sum(counts.values())
-        stats["null_keys"] = sum(r["z"] for r in per_part)
+        for name in checks:
+            stats[name] = sum(r[f"check_{name}"] or 0 for r in per_part)
     offsets, running = [], 0
     for pid in range(max(counts, default=-1) + 1):
         offsets.append(running)
@@ -91,16 +94,6 @@ def assign_surrogate_keys(df: DataFrame, order_by: str | Sequence[str | Column],
     return keyed.select(*out_cols)
 
 
-def _null_count(columns: Sequence[str]) -> Column:
-    if not columns:
-        return F.lit(0).cast("bigint")
-    any_null = None
-    for c in columns:
-        x = F.col(c).isNull()
-        any_null = x if any_null is None else any_null | x
-    return F.count_if(any_null)
-
-
 def assign_surrogate_keys_incremental(new_rows: DataFrame, existing: DataFrame, business_key: str | Sequence[str],
                                       sk: str = "sk", order_by: Sequence[str] | None = None,
                                       num_partitions: int | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ For each table, parents first: parents are re-read from the warehouse
 (read-after-write, so children reference stored surrogate keys), the table
 is planned by ``build_table``, its fail-mode checks run as one job, rejected
 rows go to ``<table>_rejected`` with their reasons, and valid rows are
-written.  Dimensions append only business keys not yet stored (numbering
+written, range-clustered where the spec names ``cluster_by``.  Dimensions append only business keys not yet stored (numbering
 continues after the stored maximum); facts are written into the partition
 of their load batch with dynamic partition overwrite, so rerunning a batch
 replaces it instead of duplicating it.  The first failing table stops the
@@ -19,6 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.operators.layout import clustered
 from starload.plans.spec import TableSpec, build_table, dependency_levels, run_level, topological_order
 from starload.sources.warehouse import append_by_name, read_back, try_read_back
 
@@ -48,6 +49,8 @@ def load_table(spark: SparkSession, spec: TableSpec, sources: Mapping[str, DataF
         (rejected.withColumn(BATCH_COL, _batch_id(load_ts, batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(f"{target}_rejected"))
+    if spec.cluster_by:
+        valid = clustered(valid, spec.cluster_by)
     if spec.kind == "dimension":
         append_by_name(valid, target, existing.schema if existing is not None else None,
                        exists=existing is not None)

@@ -327,7 +327,7 @@ ORACLE_SQL: dict[str, str] = {
     "dim_part": _audit(DIM_PART),
     "dim_customer": _audit(DIM_CUSTOMER),
     "dim_supplier": _audit(DIM_SUPPLIER),
-    "fact_load": FACT,
+    "fact_load": _audit(FACT),
     "split_hierarchy": ("WITH b AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) AS BIGINT) AS sk_brand "
                         "FROM (SELECT DISTINCT p_brand FROM part)) "
                         "SELECT p.p_partkey, COALESCE(b.sk_brand, -1) AS sk_brand FROM part p "

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starload.functions.scalar import UNKNOWN_SK
-from starload.operators.dims import dedupe_on_key
+from starload.operators.dims import CONFLICT, COPIES, collapse_on_key
 from starload.operators.keys import assign_surrogate_keys
 from starload.operators.lookup import dim_lookup, missing_dim_default
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
@@ -53,6 +53,7 @@ class TableSpec:
     lookups: list[Lookup] = field(default_factory=list)
     checks: dict[str, str] = field(default_factory=dict)   # name -> SQL predicate that must hold
     on_null_key: str = FAIL
+    on_duplicate_key: str = FAIL                 # differing rows of one key: fail / reject all / keep the smallest
     on_check: str = FAIL
     schema: StructType | None = None             # declared target types / column order
     cluster_by: list[str] = field(default_factory=list)
@@ -139,7 +140,8 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
 
     Every fail-mode rule of the spec is counted in ONE aggregate over the
     annotated frame; in reject mode the reasons array splits the frame.
-    Null business keys of a dimension are counted inside the numbering job.
+    A dimension's null business keys and keys with differing rows are counted
+    inside the numbering job; exact duplicates collapse.
     ``existing`` (the target as loaded so far) makes a dimension load append
     only new business keys, numbering them after the stored maximum.
     ``materialize_checked`` checkpoints the frame once and observes the
@@ -155,11 +157,11 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
         df = fill_nulls(df, spec.fill)
     rules: dict[str, Column] = {}
     modes: dict[str, str] = {}
-    null_key_rejects = None
+    key_rejects: list[DataFrame] = []
     is_dim = spec.kind == "dimension" and bool(spec.business_key)
     if is_dim and spec.on_null_key == REJECT:
-        null_key_rejects = df.filter(_key_null(spec.business_key)).withColumn(
-            REASONS, F.array(F.lit("null_business_key")))
+        key_rejects.append(df.filter(_key_null(spec.business_key)).withColumn(
+            REASONS, F.array(F.lit("null_business_key"))))
     elif spec.business_key and not is_dim:
         rules["null_business_key"] = _key_null(spec.business_key)
         modes["null_business_key"] = spec.on_null_key
@@ -172,19 +174,34 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
         # own per-partition job; the load then stops before anything is
         # written.  Reject mode removes them first (they went to the rejects).
         keyed = df.filter(~_key_null(spec.business_key)) if spec.on_null_key == REJECT else df
-        keyed = dedupe_on_key(keyed, spec.business_key)
+        if spec.on_duplicate_key == REJECT:
+            conflicts = collapse_on_key(keyed, spec.business_key).filter(F.col(CONFLICT)).select(*spec.business_key)
+            key_rejects.append(keyed.distinct().join(conflicts, spec.business_key, "left_semi")
+                               .select(*keyed.columns)
+                               .withColumn(REASONS, F.array(F.lit("duplicate_business_key"))))
+        keyed = collapse_on_key(keyed, spec.business_key)
+        if spec.on_duplicate_key == REJECT:
+            keyed = keyed.filter(~F.col(CONFLICT) | _key_null(spec.business_key))
         start: int | Column = 1
         if existing is not None:
             from starload.operators.lookup import anti_members
             keyed = anti_members(keyed, existing, spec.business_key)
             start = F.coalesce(existing.select(F.max(F.col(spec.sk))).scalar(), F.lit(0)) + F.lit(1)
         sk_stats: dict = {}
-        # Unique after de-duplication: no tie breaker, so a lookup that needs
-        # only key + surrogate key prunes every other column of the source.
+        # Counted per source row (nulls) and per key (differing rows); a key
+        # already stored keeps its stored row and is not numbered again.
+        null = _key_null(spec.business_key)
+        key_checks: dict[str, Column] = {}
+        if spec.on_null_key == FAIL:
+            key_checks["null_business_key"] = F.sum(F.when(null, F.col(COPIES)))
+        if spec.on_duplicate_key == FAIL:
+            key_checks["duplicate_business_key"] = F.count_if(F.col(CONFLICT) & ~null)
+        # Unique after de-duplication: no tie breaker needed.
         df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start, stats=sk_stats, tiebreak=False,
-                                   null_check=spec.business_key if spec.on_null_key == FAIL else ())
-        if sk_stats.get("null_keys"):
-            raise LoadCheckError(f"{spec.target}: {{'null_business_key': {sk_stats['null_keys']}}}")
+                                   checks=key_checks, scratch=(COPIES, CONFLICT))
+        bad_keys = {n: sk_stats[n] for n in key_checks if sk_stats[n]}
+        if bad_keys:
+            raise LoadCheckError(f"{spec.target}: {bad_keys}")
         if stats is not None:
             stats["rows"] = sk_stats["rows"]
 
@@ -239,13 +256,12 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     df = df.drop(REASONS, *status_cols)
     if rejected is not None:
         rejected = rejected.drop(*status_cols)
-    if null_key_rejects is not None:
-        rejected = null_key_rejects if rejected is None else rejected.unionByName(
-            null_key_rejects, allowMissingColumns=True)
-    if audit_col:
-        df = add_audit_column(df, load_ts, audit_col)
+    for more in key_rejects:
+        rejected = more if rejected is None else rejected.unionByName(more, allowMissingColumns=True)
     if spec.schema is not None:
         df = conform_schema(df, spec.schema, allow_missing=False)
+    if audit_col:
+        df = add_audit_column(df, load_ts, audit_col)
     return df, rejected
 
 

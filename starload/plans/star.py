@@ -145,9 +145,8 @@ def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = Non
 
     def one(spec: TableSpec) -> tuple[str, DataFrame, dict]:
         parents = {p: built[p] for p in spec.parents}
-        table_audit = None if spec.kind == "fact" else audit_col
         stats: dict = {}
-        df, _ = build_table(spec, sources, parents, load_ts, table_audit, stats=stats, dim_rows=dict(rows),
+        df, _ = build_table(spec, sources, parents, load_ts, audit_col, stats=stats, dim_rows=dict(rows),
                             materialize_checked=materialize_facts and spec.kind == "fact")
         return spec.target, df, stats
 

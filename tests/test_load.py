@@ -111,3 +111,43 @@ def test_verify_gate_passes_and_fails(spark, tmp_target):
     more = _regions(spark, [(1, "EU"), (2, "US"), (3, "X")])
     with pytest.raises(LoadCheckError, match="missing"):
         load_gate(reconcile_load(spark, [spec], more, tmp_target))
+
+
+def _spec(**changes):
+    return TableSpec(**{**REGION_SPEC.__dict__, "fill": {}, **changes})
+
+
+def test_conflicting_keys_fail_reject_or_keep(spark, tmp_target):
+    src = _regions(spark, [(1, "A"), (1, "A"), (7, "p"), (7, "q"), (7, None), (8, None), (8, None)])
+    with pytest.raises(LoadCheckError, match="'duplicate_business_key': 1"):
+        build_table(_spec(), src, {})
+    for _ in range(2):
+        run_load(spark, [_spec(on_duplicate_key=REJECT)], src, tmp_target, LOAD_TS)
+    assert sorted((r.region_id, r.sk_region) for r in read_back(spark, f"{tmp_target}/d_region").collect()) == [
+        (1, 1), (8, 2)]
+    rejects = read_back(spark, f"{tmp_target}/d_region_rejected").collect()
+    assert sorted((r.region_id, r.region_name or "") for r in rejects) == [(7, ""), (7, "p"), (7, "q")]
+    assert {tuple(r.reject_reasons) for r in rejects} == {("duplicate_business_key",)}
+    kept, _ = build_table(_spec(on_duplicate_key=KEEP), src, {})
+    assert sorted(r.region_id for r in kept.collect()) == [1, 7, 8]
+
+
+def test_null_keys_are_counted_before_collapsing(spark):
+    src = _regions(spark, [(1, "A"), (None, "x"), (None, "x"), (None, "y")])
+    with pytest.raises(LoadCheckError, match="'null_business_key': 3") as error:
+        build_table(_spec(), src, {})
+    assert "duplicate" not in str(error.value)
+
+
+def test_load_clusters_files_by_spec(spark, tmp_target):
+    src = {"REGIONS": spark.range(4000).selectExpr("cast(id as int) REGION_ID", "concat('n', id % 97) REGION_NAME")
+           .repartition(4)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_load(spark, [_spec(cluster_by=["region_name"])], src, tmp_target, LOAD_TS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = sorted((r.lo, r.hi) for r in read_back(spark, f"{tmp_target}/d_region")
+                   .groupBy(F.input_file_name()).agg(F.min("region_name").alias("lo"), F.max("region_name").alias("hi"))
+                   .collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
