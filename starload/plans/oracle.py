@@ -332,6 +332,25 @@ ORACLE_SQL: dict[str, str] = {
                         "FROM (SELECT DISTINCT p_brand FROM part)) "
                         "SELECT p.p_partkey, COALESCE(b.sk_brand, -1) AS sk_brand FROM part p "
                         "LEFT JOIN b ON p.p_brand = b.p_brand"),
+    "split_hierarchy_nulls": (
+        "WITH p AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 10 <> 0 THEN p_brand END AS p_brand FROM part), "
+        "k AS (SELECT p_brand, p_type, CAST(row_number() OVER (ORDER BY p_brand NULLS FIRST, p_type NULLS FIRST) "
+        "AS BIGINT) AS sk_kind FROM (SELECT DISTINCT p_brand, p_type FROM p)) "
+        "SELECT 'child' AS side, p_partkey, sk_kind, CAST(NULL AS VARCHAR) AS p_brand, CAST(NULL AS VARCHAR) AS p_type "
+        "FROM p LEFT JOIN k ON p.p_brand IS NOT DISTINCT FROM k.p_brand AND p.p_type IS NOT DISTINCT FROM k.p_type "
+        "UNION ALL SELECT 'parent', NULL, sk_kind, p_brand, p_type FROM k"),
+    "dim_key_verdicts": (
+        "WITH s AS (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS customer_id, c_name AS customer_name "
+        "FROM customer UNION ALL SELECT c_custkey, c_name || ' (2)' FROM customer WHERE c_custkey % 40 = 1 "
+        "UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey % 40 = 3), "
+        "k AS (SELECT customer_id FROM s WHERE customer_id IS NOT NULL GROUP BY customer_id "
+        "HAVING count(DISTINCT customer_name) > 1) "
+        "SELECT customer_id, customer_name, CAST(row_number() OVER (ORDER BY customer_id) AS BIGINT) AS sk_customer, "
+        "'valid' AS verdict FROM (SELECT DISTINCT * FROM s WHERE customer_id IS NOT NULL "
+        "AND customer_id NOT IN (SELECT customer_id FROM k)) "
+        "UNION ALL SELECT DISTINCT customer_id, customer_name, CAST(NULL AS BIGINT), 'duplicate_business_key' FROM s "
+        "WHERE customer_id IN (SELECT customer_id FROM k) "
+        "UNION ALL SELECT customer_id, customer_name, NULL, 'null_business_key' FROM s WHERE customer_id IS NULL"),
     "functional_dependency": _functional_dependency(),
     "infer_types": None,  # filled below
     "fk_containment": _fk_containment(),

@@ -33,7 +33,7 @@ from starload.operators.quality import (annotate_rejects, check_violations, coun
                                         unresolved_fk_check)
 from starload.operators.reconcile import reconcile, set_difference_counts
 from starload.plans.load import run_load
-from starload.plans.spec import KEEP
+from starload.plans.spec import KEEP, REJECT, TableSpec, build_table
 from starload.plans.star import LOAD_TS, build_star, star_sources, star_specs
 from starload.session import staging_path
 from starload.sources.json_io import read_json, write_json
@@ -430,6 +430,30 @@ def q_split_hierarchy(spark, d):
     return child
 
 
+def q_split_hierarchy_nulls(spark, d):
+    """Two attributes, one partly null: the parent dimension and the child."""
+    part = _t(spark, d, "part").select("p_partkey", "p_type", F.when(F.col("p_partkey") % 10 != 0, F.col("p_brand"))
+                                       .alias("p_brand"))
+    parent, child = split_hierarchy(part, ["p_brand", "p_type"], "sk_kind")
+    return child.select(F.lit("child").alias("side"), "p_partkey", "sk_kind").unionByName(
+        parent.withColumn("side", F.lit("parent")), allowMissingColumns=True)
+
+
+def q_dim_key_verdicts(spark, d):
+    """Every source row of a dimension with injected null keys, conflicting rows
+    of one key and exact duplicates: its key, or why it was rejected."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    source = (c.withColumn("c_custkey", F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")))
+              .unionByName(c.filter(F.col("c_custkey") % 40 == 1).withColumn("c_name", F.concat("c_name", F.lit(" (2)"))))
+              .unionByName(c.filter(F.col("c_custkey") % 40 == 3)))
+    spec = TableSpec("dim_customer", "customer", [("customer_id", "c_custkey"), ("customer_name", "c_name")],
+                     business_key=["customer_id"], sk="sk_customer", on_null_key=REJECT, on_duplicate_key=REJECT)
+    valid, rejected = build_table(spec, {"customer": source}, {}, audit_col=None)
+    return valid.withColumn("verdict", F.lit("valid")).unionByName(
+        rejected.withColumn("verdict", F.element_at("reject_reasons", 1)).drop("reject_reasons"),
+        allowMissingColumns=True)
+
+
 FD_PAIRS = [("nation", "n_nationkey", "n_name"), ("nation", "n_regionkey", "n_name"),
             ("part", "p_partkey", "p_name"), ("part", "p_name", "p_brand"), ("part", "p_brand", "p_type")]
 
@@ -532,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "date_dim": q_date_dim, "dim_region": _dim("dim_region"), "dim_nation": _dim("dim_nation"),
     "dim_part": _dim("dim_part"), "dim_customer": _dim("dim_customer"), "dim_supplier": _dim("dim_supplier"),
     "fact_load": q_fact_load, "split_hierarchy": q_split_hierarchy,
+    "split_hierarchy_nulls": q_split_hierarchy_nulls, "dim_key_verdicts": q_dim_key_verdicts,
     "functional_dependency": q_functional_dependency, "infer_types": q_infer_types,
     "fk_containment": q_fk_containment, "fact_candidates": q_fact_candidates, "cluster_advice": q_cluster_advice,
     "clustered_write": q_clustered_write, "run_load": q_run_load,
