@@ -9,7 +9,7 @@ exactly.
 
 Text handling follows the tokenizer file: special tokens are found in the raw
 text, the rest is NFC-normalised and lowered, split by the file's pattern, and
-words end in ``</w>``.  Texts inside the Latin blocks take a direct path with
+words end in ``</w>``.  Texts inside the Latin blocks after lowering take a direct path with
 the same classes written out; other texts are normalised and split by the
 tokenizer's own normaliser and splitter.  Decoding joins the tokens by a space, as the
 file names no decoder.
@@ -206,8 +206,9 @@ class WordBpe:
 
     def pieces(self, text: str) -> tuple[list[str], bool]:
         """Words of one stretch without special tokens; whether in byte symbols."""
-        if _BEYOND.search(text) is None:
-            return _LATIN.findall(text.lower()), False
+        lowered = text.lower()        # some capitals below U+0250 have their small letter above
+        if _BEYOND.search(lowered) is None:
+            return _LATIN.findall(lowered), False
         return [w for w, _ in self._split(self._normalize(text))], True
 
     def _words(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:

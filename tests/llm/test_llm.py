@@ -199,6 +199,17 @@ def test_bpe_equals_library(texts):
         assert ids == want.ids and own.decode(ids) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_bpe_equals_library_on_every_latin_letter():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    letters = [chr(c) for c in range(0x250)]
+    samples = [f"{x}KWAN k{x}wan {x}" for c in letters for x in (c, c.lower(), c.upper())]
+    for text, row, want in zip(samples, own.encode(samples), library.encode_batch(samples, add_special_tokens=False)):
+        assert [i for _, part, _ in row for i in part] == want.ids, ascii(text)
+
+
 def test_token_limits(documents):
     sizes = [r.n_tokens for r in token_counts.lengths(documents, vocabulary("byte_bpe_50k.tiktoken"), pattern()).collect()]
     hist = token_counts.histogram(token_counts.lengths(documents, vocabulary("byte_bpe_50k.tiktoken"), pattern()))
