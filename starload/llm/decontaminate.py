@@ -1,4 +1,4 @@
-"""Benchmark decontamination by latent semantic retrieval (operator 10).
+"""Benchmark decontamination: anchors, subsequences, latent cosine (operator 10).
 
 1. Every whole document is cut into passages of ``PASSAGE`` terms (runs of
    letters, digits and non-ASCII bytes, lowered, hashed to ``TERMS``
@@ -7,15 +7,17 @@
    passages, a partial sum per task and one row per term.  The driver gets
    TERMS x RANK numbers whatever the input, and finishes the randomised SVD
    (Nystroem form).
-3. Benchmark items are the query set, taken in blocks of about ``ITEMS``.
-   Sliding windows of every whole document, of a size fitting the item, are
-   projected to the whitened latent space; windows whose cosine with an item
-   reaches ``COSINE`` are candidates.
-4. A candidate window must share ``SHARED`` of its idf weight with the item.  It
-   is then confirmed on the words around it: it is a copy if the longest
+3. Benchmark items are the query set, taken in blocks of about ``ITEMS``.  A leak
+   holds ``PARAPHRASE`` of an item's terms, so it misses at most the rest and
+   holds some of the item's rarest terms (the anchors, by idf).  Every stretch
+   of a whole document with as many anchors as a leak must hold is a candidate,
+   at any offset; the filter loses no stretch of up to ``reach`` words that step
+   4 confirms.
+4. A candidate is confirmed on the words around it: it is a copy if the longest
    common subsequence holds ``COPY`` of the item's terms, and a paraphrase if
    it holds ``PARAPHRASE`` of them and ``ANSWER`` of the answer, the item's
-   last quarter.
+   last quarter.  Its cosine with the item in the whitened latent space is
+   reported and decides nothing.
 
 Defined cases: null or empty text has no passages and no leaks; items below
 ``LEAST`` terms, null ones included, are not searched; items above ``LONGEST`` terms are searched
@@ -34,14 +36,9 @@ from pyspark.sql import functions as F
 from starload.llm import _text as tx
 
 TERMS, RANK, PASSAGE = 1 << 14, 32, 32
-STRIDE = 8
-SIZES = (8, 16, 32, 64)                  # window sizes, multiples of STRIDE; windows overlap by half
 LEAST, LONGEST = 8, 120
 ITEMS = 2048
-COSINE = 0.47
-SHARED = 0.45
 COPY, PARAPHRASE, ANSWER = 0.75, 0.6, 0.75
-_PAIRS = 1 << 15                         # candidates checked at once
 
 IS_TERM = np.zeros(256, dtype=bool)
 IS_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -152,29 +149,63 @@ def latent_space(docs: DataFrame, seed: int = 5) -> tuple[np.ndarray, np.ndarray
     return zero_ended(idf[:, None] * right[:, keep] / singular[keep]), idf
 
 
+def anchors(item: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, int]:
+    """Places of an item, rarest terms first, and how many of them any leak holds:
+    a leak misses at most ``n - least`` places, so it holds ``need`` of any
+    ``n - least + need``."""
+    n = len(item)
+    least = next(k for k in range(n + 1) if k / n >= PARAPHRASE)
+    need = max(2, n // 6)
+    return np.argsort(-rarity, kind="stable")[:n - least + need], need
+
+
 class Items:
-    """A block of the query set, as pieces by window size."""
+    """A block of the query set, as pieces, with the index from anchor terms to
+    pieces."""
 
     def __init__(self, rows: list[tuple], space: np.ndarray, idf: np.ndarray):
-        self.idf = idf.astype(np.float32)
-        self.ids, self.hashes, self.columns = [], [], []
+        self.ids, self.hashes, self.need = [], [], []
         column = pa.array([t or "" for _, t in rows], pa.string())
         hashes, columns, off = terms_of(column)
+        keys, pieces_of, places, latent = [], [], [], []
         for i, (item, _) in enumerate(rows):
             a, n = int(off[i]), int(off[i + 1] - off[i])
             pieces = max(1, -(-n // LONGEST))
             for p in range(pieces):
                 lo, hi = a + n * p // pieces, a + n * (p + 1) // pieces
-                if hi - lo >= LEAST:
-                    self.ids.append(item)
-                    self.hashes.append(hashes[lo:hi])
-                    self.columns.append(columns[lo:hi])
-        self.size = np.array([max(s for s in SIZES if s <= len(h)) for h in self.hashes], dtype=np.int64)
-        latent = np.array([space[c].sum(axis=0) for c in self.columns], dtype=np.float32).reshape(-1, space.shape[1])
+                if hi - lo < LEAST:
+                    continue
+                own = hashes[lo:hi]
+                at, need = anchors(own, idf[columns[lo:hi]])
+                own_keys, first = np.unique(own[at], return_index=True)
+                keys.append(own_keys)
+                places.append(at[first])
+                pieces_of.append(np.full(len(own_keys), len(self.ids)))
+                latent.append(space[columns[lo:hi]].sum(axis=0))
+                self.ids.append(item)
+                self.hashes.append(own)
+                self.need.append(need)
+        latent = np.array(latent, dtype=np.float32).reshape(-1, space.shape[1])
         self.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-        self.holds = np.zeros((len(self.ids), TERMS), dtype=bool)
-        for i, c in enumerate(self.columns):
-            self.holds[i, c] = True
+        self.length = np.array([len(h) for h in self.hashes], dtype=np.int64)
+        self.need = np.array(self.need, dtype=np.int64)
+        flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
+        order = np.argsort(flat, kind="stable")
+        self.keys, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
+        self.piece = np.concatenate(pieces_of)[order] if keys else np.zeros(0, dtype=np.int64)
+        self.place = np.concatenate(places)[order] if keys else np.zeros(0, dtype=np.int64)
+        self.open = np.zeros(TERMS, dtype=bool)
+        self.open[(self.keys >> np.uint64(50)).astype(np.int64)] = True
+
+    def hits(self, hashes: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, piece, place) of every word that is an anchor term of a piece."""
+        word = np.flatnonzero(self.open[columns])
+        at = np.minimum(np.searchsorted(self.keys, hashes[word]), len(self.keys) - 1)
+        same = self.keys[at] == hashes[word]
+        word, at = word[same], at[same]
+        per = self.count[at]
+        entry = np.repeat(self.first[at] - (np.cumsum(per) - per), per) + np.arange(int(per.sum()))
+        return np.repeat(word, per), self.piece[entry], self.place[entry]
 
 
 def _common_share(masks: dict[int, int], full: int, words: list[int]) -> int:
@@ -197,63 +228,59 @@ def confirm(item: np.ndarray, masks: dict[int, int], words: list[int]) -> tuple[
     return (n - missing) / n, kept / answer
 
 
+def _candidates(items: Items, word: np.ndarray, piece: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, middle word) of stretches that hold as many anchors as a leak must."""
+    order = np.lexsort((word, piece))
+    word, piece = word[order], piece[order]
+    here = np.arange(len(word))
+    end = here + items.need[piece] - 1
+    inside = end < len(word)
+    here, end = here[inside], end[inside]
+    ok = ((piece[here] == piece[end]) & (row[word[here]] == row[word[end]])
+          & (word[end] - word[here] < 2 * reach(items.length[piece[here]])))
+    here, end = here[ok], end[ok]
+    return piece[here], (word[here] + word[end]) // 2
+
+
+def reach(n):
+    """Words a leak of an item of ``n`` terms may stretch over, a quarter inserted."""
+    return n + n // 4
+
+
 def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.ndarray,
             off: np.ndarray) -> dict[tuple[int, object], tuple]:
     """Confirmed leaks of one chunk: (row, item id) to its best (share, answer,
     first word, last word + 1, cosine)."""
     found: dict[tuple[int, object], tuple] = {}
-    blocks = passages_of(off, STRIDE)
-    if not len(blocks) or not len(items.ids):
+    if not len(hashes) or not len(items.ids):
         return found
-    run = np.zeros((len(blocks) + 1, space.shape[1]))
-    np.cumsum(block_sums(space, columns, blocks, STRIDE), axis=0, out=run[1:])
-    row = np.searchsorted(off, blocks, side="right") - 1
-    first_block, end_block = np.searchsorted(blocks, off[:-1]), np.searchsorted(blocks, off[1:])
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    word, piece, _ = items.hits(hashes, columns)
     checked: set[tuple[int, int, int]] = set()
     masks: dict[int, dict[int, int]] = {}
-    for size in np.unique(items.size):
-        mine = np.flatnonzero(items.size == size)
-        step = max(size // STRIDE // 2, 1)
-        open_at = np.flatnonzero((np.arange(len(blocks)) - first_block[row]) % step == 0)
-        last = np.minimum(open_at + size // STRIDE, end_block[row[open_at]])
-        vectors = (run[last] - run[open_at]).astype(np.float32)
-        bar = COSINE * np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        for at in range(0, len(open_at), 8192):
-            dots = vectors[at:at + 8192] @ items.latent[mine].T
-            w, i = np.nonzero(dots > bar[at:at + 8192, None])
-            near = COSINE * dots[w, i] / bar[at + w]
-            w = open_at[w + at]
-            i = mine[i]
-            for part in range(0, len(w), _PAIRS):
-                pw, pi, pc = w[part:part + _PAIRS], i[part:part + _PAIRS], near[part:part + _PAIRS]
-                begin, stop = blocks[pw], np.minimum(blocks[pw] + size, off[row[pw] + 1])
-                terms = columns[np.minimum(begin[:, None] + np.arange(size), stop[:, None] - 1)]
-                weight = items.idf[terms]
-                inside = np.einsum("ij,ij->i", weight, items.holds[pi[:, None], terms])
-                for k in np.flatnonzero(inside >= SHARED * weight.sum(axis=1)):
-                    window, piece, r = int(begin[k]), int(pi[k]), int(row[pw[k]])
-                    item = items.hashes[piece]
-                    slack = len(item) + len(item) // 4 - int(size) // 2
-                    a, b = max(window - slack, int(off[r])), min(window + int(size) + slack, int(off[r + 1]))
-                    place = (r, piece, window // max(len(item) // 2, 1))
-                    if place in checked:
-                        continue
-                    # a subsequence is no longer than the item's words that occur at all
-                    words = hashes[a:b].tolist()
-                    there = set(words)
-                    if sum(h in there for h in item.tolist()) < PARAPHRASE * len(item):
-                        continue
-                    if piece not in masks:
-                        own: dict[int, int] = {}
-                        for j, h in enumerate(item.tolist()):
-                            own[h] = own.get(h, 0) | 1 << j
-                        masks[piece] = own
-                    share, answer = confirm(item, masks[piece], words)
-                    if share >= COPY or share >= PARAPHRASE and answer >= ANSWER:
-                        checked.add(place)
-                        key, new = (r, items.ids[piece]), (share, answer, a - int(off[r]), b - int(off[r]), float(pc[k]))
-                        if key not in found or found[key] < new:
-                            found[key] = new
+    for p, middle in zip(*(x.tolist() for x in _candidates(items, word, piece, row)), strict=True):
+        item, r = items.hashes[p], int(row[middle])
+        place = (r, p, middle // max(len(item) // 2, 1))
+        if place in checked:
+            continue
+        a, b = max(middle - reach(len(item)), int(off[r])), min(middle + reach(len(item)) + 1, int(off[r + 1]))
+        if p not in masks:
+            own: dict[int, int] = {}
+            for j, h in enumerate(item.tolist()):
+                own[h] = own.get(h, 0) | 1 << j
+            masks[p] = own
+        words = [h for h in hashes[a:b].tolist() if h in masks[p]]
+        # a subsequence is no longer than the item's words that occur at all
+        if sum(masks[p][h].bit_count() for h in set(words)) < PARAPHRASE * len(item):
+            continue
+        share, answer = confirm(item, masks[p], words)
+        if share >= COPY or share >= PARAPHRASE and answer >= ANSWER:
+            checked.add(place)
+            seen = space[columns[a:b]].sum(axis=0)
+            cosine = float(seen @ items.latent[p] / max(float(np.linalg.norm(seen)), 1e-12))
+            key, new = (r, items.ids[p]), (share, answer, a - int(off[r]), b - int(off[r]), cosine)
+            if key not in found or found[key] < new:
+                found[key] = new
     return found
 
 
@@ -263,7 +290,7 @@ LEAK = "struct<item_id: {0}, share: double, answer: double, lo: int, hi: int, co
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of ``docs`` and ``__leaks``, the benchmark items found in the row:
     share of the item in common, share of its answer, the word range looked at,
-    and the cosine that led there."""
+    and its cosine with the item."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).distinct()
     kind = LEAK.format(items.schema["item_id"].dataType.simpleString())
     n = items.count()

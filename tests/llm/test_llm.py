@@ -233,6 +233,38 @@ def test_leaks(spark, docs_of):
     assert decontaminate.leaked_pairs(docs, empty(bench)).count() == 0
 
 
+def brute_leak(item, words):
+    """Whether some stretch of 1.25 times the item's length passes confirm()."""
+    masks, n = {}, len(item)
+    for j, h in enumerate(item):
+        masks[h] = masks.get(h, 0) | 1 << j
+    for at in range(max(len(words) - n - n // 4, 0) + 1):
+        share, answer = decontaminate.confirm(np.array(item), masks, words[at:at + n + n // 4])
+        if share >= decontaminate.COPY or share >= decontaminate.PARAPHRASE and answer >= decontaminate.ANSWER:
+            return True
+    return False
+
+
+def test_leaks_at_every_offset_and_share(spark, docs_of):
+    rng, docs, items, want = random.Random(77), [], [], set()
+    for i, n in enumerate([8, 9, 10, 12, 14, 18, 25, 40, 60, 90]):
+        item = prose(700 + i, n, 900).split()
+        items.append((i, " ".join(item)))
+        for offset in range(17):
+            for share in (1.0, 0.75, 0.68, 0.62):
+                front = rng.sample(range(n - max(n // 4, 1)), round(n * (1 - share)))
+                copy = [f"r{rng.randrange(900)}y" if j in front else w for j, w in enumerate(item)]
+                text = prose(rng.random(), 40 + offset, 900).split() + copy + prose(rng.random(), 60, 900).split()
+                docs.append((len(docs), " ".join(text), "en", "s", 0))
+    hashed = [(i, [zlib.crc32(w.encode()) for w in t.split()]) for i, t in items]
+    for doc, text, *_ in docs:
+        words = [zlib.crc32(w.encode()) for w in text.split()]
+        want |= {(doc, i) for i, item in hashed if brute_leak(item, words)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaked_pairs(docs_of(docs), bench).collect()}
+    assert len(want) > 600 and got >= want and all(doc // 68 == item for doc, item in got)
+
+
 def test_pipeline_stages(spark, tmp_path, documents, texts):
     import corpus_pipeline
 
