@@ -1,8 +1,8 @@
 """Benchmark decontamination: anchors, subsequences, latent cosine (operator 10).
 
 1. Every whole document is cut into passages of ``PASSAGE`` terms (runs of
-   letters, digits and non-ASCII bytes, lowered, hashed to ``TERMS``
-   columns).  One pass counts passage frequencies for the idf weights.
+   letters, digits and accents, each character of a script without spaces by
+   itself; lowered, hashed to ``TERMS`` columns).  One pass counts passage frequencies for the idf weights.
 2. A second pass multiplies a random matrix by the Gram matrix of the TF-IDF
    passages, a partial sum per task and one row per term.  The driver gets
    TERMS x RANK numbers whatever the input, and finishes the randomised SVD
@@ -20,8 +20,9 @@
    reported and decides nothing.
 
 Defined cases: null or empty text has no passages and no leaks; items below
-``LEAST`` terms, null ones included, are not searched; items above ``LONGEST`` terms are searched
-in pieces, of which any counts; repeated items report once per item_id; each
+``LEAST`` terms count when all their terms follow each other in a row, one-term
+items too; items without a term, null ones included, are in no row; items above
+``LONGEST`` terms are searched in pieces, of which any counts; repeated items report once per item_id; each
 input row gives one result row.
 """
 
@@ -44,9 +45,36 @@ IS_TERM = np.zeros(256, dtype=bool)
 IS_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+# Scripts written without spaces, whose characters are terms of their own, and
+# what no term holds beyond ASCII.
+UNSPACED = (r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}"
+            r"\x{3005}-\x{3007}\x{3040}-\x{312F}\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}"
+            r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}")
+_MARKS = r"[^\x00-\x7F\pL\pN\pM]+"
+
+
+def spaced(texts: pa.Array) -> pa.Array:
+    """Texts with every character of an unspaced script and every mark that is no
+    letter, digit or accent set apart; only texts that can hold one are rewritten."""
+    chunk = tx.Chunk(texts)
+    data = chunk.data
+    # By lead byte: U+0080-U+00BF, the signs of multiplication and division, accents
+    # without a letter, all beyond U+033F; letters only lie between.
+    odd = (data == 0xC2) | (data == 0xCB) | (data >= 0xCD)
+    odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    odd = np.append(0, np.cumsum(odd))
+    rows = np.diff(odd[chunk.off]) > 0
+    if not rows.any():
+        return texts
+    some = texts.filter(pa.array(rows))
+    some = pc.replace_substring_regex(some, f"([{UNSPACED}])", r" \1 ")
+    some = pc.replace_substring_regex(some, _MARKS, " ")
+    return pc.replace_with_mask(texts, pa.array(rows), some)
+
+
 def terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, column, row offsets) of all terms."""
-    w = tx.Chunk(pc.utf8_lower(texts)).words(inside=IS_TERM)
+    w = tx.Chunk(spaced(pc.utf8_lower(texts))).words(inside=IS_TERM)
     hashes = w.hashes()
     return hashes, (hashes >> np.uint64(50)).astype(np.uint16), w.row_off
 
@@ -152,8 +180,10 @@ def latent_space(docs: DataFrame, seed: int = 5) -> tuple[np.ndarray, np.ndarray
 def anchors(item: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, int]:
     """Places of an item, rarest terms first, and how many of them any leak holds:
     a leak misses at most ``n - least`` places, so it holds ``need`` of any
-    ``n - least + need``."""
+    ``n - least + need``; a short item has its rarest place only."""
     n = len(item)
+    if n < LEAST:
+        return np.argsort(-rarity, kind="stable")[:1], 1
     least = next(k for k in range(n + 1) if k / n >= PARAPHRASE)
     need = max(2, n // 6)
     return np.argsort(-rarity, kind="stable")[:n - least + need], need
@@ -173,7 +203,7 @@ class Items:
             pieces = max(1, -(-n // LONGEST))
             for p in range(pieces):
                 lo, hi = a + n * p // pieces, a + n * (p + 1) // pieces
-                if hi - lo < LEAST:
+                if hi == lo:
                     continue
                 own = hashes[lo:hi]
                 at, need = anchors(own, idf[columns[lo:hi]])
@@ -242,6 +272,25 @@ def _candidates(items: Items, word: np.ndarray, piece: np.ndarray, row: np.ndarr
     return piece[here], (word[here] + word[end]) // 2
 
 
+def _short(items: Items, hashes: np.ndarray, off: np.ndarray, row: np.ndarray, word: np.ndarray,
+           piece: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
+    """(piece, first word) of the exact copies of short pieces, one per row."""
+    start, n = word - place, items.length[piece]
+    ok = (start >= off[row[word]]) & (start + n <= off[row[word] + 1])
+    start, piece, n = start[ok], piece[ok], n[ok]
+    own = np.zeros((len(items.hashes), LEAST), dtype=np.uint64)
+    for p in np.unique(piece).tolist():
+        own[p, :len(items.hashes[p])] = items.hashes[p]
+    same = np.ones(len(start), dtype=bool)
+    for j in range(LEAST):
+        same &= (j >= n) | (hashes[np.minimum(start + j, len(hashes) - 1)] == own[piece, j])
+    start, piece = start[same], piece[same]
+    order = np.lexsort((start, piece, row[start]))
+    start, piece = start[order], piece[order]
+    first = np.append(True, (piece[1:] != piece[:-1]) | (row[start[1:]] != row[start[:-1]]))[:len(start)]
+    return list(zip(piece[first].tolist(), start[first].tolist(), strict=True))
+
+
 def reach(n):
     """Words a leak of an item of ``n`` terms may stretch over, a quarter inserted."""
     return n + n // 4
@@ -255,7 +304,14 @@ def _search(items: Items, space: np.ndarray, hashes: np.ndarray, columns: np.nda
     if not len(hashes) or not len(items.ids):
         return found
     row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    word, piece, _ = items.hits(hashes, columns)
+    word, piece, at = items.hits(hashes, columns)
+    short = items.length[piece] < LEAST
+    for p, start in _short(items, hashes, off, row, word[short], piece[short], at[short]):
+        r, n = int(row[start]), int(items.length[p])
+        seen = space[columns[start:start + n]].sum(axis=0)
+        cosine = float(seen @ items.latent[p] / max(float(np.linalg.norm(seen)), 1e-12))
+        found[r, items.ids[p]] = (1.0, 1.0, start - int(off[r]), start - int(off[r]) + n, cosine)
+    word, piece = word[~short], piece[~short]
     checked: set[tuple[int, int, int]] = set()
     masks: dict[int, dict[int, int]] = {}
     for p, middle in zip(*(x.tolist() for x in _candidates(items, word, piece, row)), strict=True):

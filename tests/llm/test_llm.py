@@ -265,6 +265,18 @@ def test_leaks_at_every_offset_and_share(spark, docs_of):
     assert len(want) > 600 and got >= want and all(doc // 68 == item for doc, item in got)
 
 
+def test_leaks_of_short_items_and_unspaced_scripts(spark, docs_of):
+    han, kana, thai = "北京是中国的首都吗？答案是对的。", "東京タワーの高さは何メートルですか？", "ประเทศไทยมีกี่จังหวัด"
+    items = [(1, "Who wrote Faust?"), (2, "zyzzyva"), (3, han), (4, kana), (5, thai), (6, "？！"), (7, "“Why” — not w5q now")]
+    texts = [prose(1, 30) + " who WROTE faust " + prose(2, 30), prose(3, 9) + " Zyzzyva.", "天気がいいです。" + han[:8] + "，" + han[9:] + "谢谢你",
+             "昨日、" + kana + "と聞いた", "ถาม" + thai + "ครับ", "who faust wrote", "who wrote", "faust? Who wrote",
+             "why not w5q now", "中国的首都", "？！ ？！"]
+    docs = docs_of([(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaked_pairs(
+        docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (8, 7)}
+
+
 def test_pipeline_stages(spark, tmp_path, documents, texts):
     import corpus_pipeline
 
