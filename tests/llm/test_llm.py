@@ -134,6 +134,21 @@ def test_passages(documents, texts):
     assert fuzzy_passages.repeated_passages(empty(documents)).count() == 0
 
 
+def test_passages_with_spread_edits(docs_of):
+    docs, want = [], []
+    for i, (n, share) in enumerate([(55, 0.89), (60, 0.8), (70, 0.9), (100, 0.88), (100, 0.76), (150, 0.85), (400, 0.78)] * 4):
+        passage, rng = prose(900 + i, n).split(), random.Random(i)
+        if i % 2:
+            off = set(rng.sample(range(n), int(n * (1 - share))))
+        else:
+            off = {int((k + 0.5) / (1 - share)) for k in range(int(n * (1 - share)))}
+        near = [f"z{rng.randrange(999)}" if j in off else w for j, w in enumerate(passage)]
+        for k, words in enumerate((passage, near)):
+            docs.append((2 * i + k, prose(f"{i}a{k}", 80) + " " + " ".join(words) + " " + prose(f"{i}b{k}", 70), "en", "s", 0))
+    got = {r.doc_id: r for r in fuzzy_passages.repeated_passages(docs_of(docs)).collect()}
+    assert [i for i, r in got.items() if r.n_links != 1 or r.group_id != i // 2 * 2] == []
+
+
 def test_chains_take_the_ordered_matches():
     a, b = np.array([0, 10, 20, 30]), np.array([5, 15, 2, 35])
     assert [c.tolist() for c in fuzzy_passages.chains(a, b)][0] == [0, 1, 3]
