@@ -149,6 +149,16 @@ def test_passages_with_spread_edits(docs_of):
     assert [i for i, r in got.items() if r.n_links != 1 or r.group_id != i // 2 * 2] == []
 
 
+def test_passages_link_all_holders(docs_of):
+    passage, other = prose(3, 70), prose(4, 60)
+    docs = [(i, f"{prose(f'f{i}', 40)} {passage} {prose(f'g{i}', 20)} {other if i in (4, 5) else ''} {prose(f'h{i}', 9)}",
+             "en", "s", 0) for i in range(10)]
+    docs += [(20, prose(31, 50) + " " + other, "en", "s", 0), (21, passage + " " + prose(32, 90) + " " + passage, "en", "s", 0)]
+    got = {r.doc_id: r for r in fuzzy_passages.repeated_passages(docs_of(docs)).collect()}
+    assert {i: r.n_links for i, r in got.items()} == {i: 11 if i in (4, 5) else 2 if i == 20 else 10 for i in got}
+    assert got[21].n_repeat_words >= 140 and {r.group_id for r in got.values()} == {0}
+
+
 def test_chains_take_the_ordered_matches():
     a, b = np.array([0, 10, 20, 30]), np.array([5, 15, 2, 35])
     assert [c.tolist() for c in fuzzy_passages.chains(a, b)][0] == [0, 1, 3]
