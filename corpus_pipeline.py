@@ -6,8 +6,9 @@ next stage's docs.  All but the last return the columns of ``documents``; an
 input column named like one the last stage adds is replaced.
 
 Decisions: language ID drops documents without a letter or with a top
-probability below ``MIN_SCORE``; near-dedup keeps the smallest doc_id of each
-group; suffix dedup removes every repeated 200-byte string and then documents
+probability below ``MIN_SCORE``, and only those without a letter when no row has
+a language label; near-dedup keeps the smallest doc_id of each
+group, and different texts under one doc_id unless they are near duplicates; suffix dedup removes every repeated 200-byte string and then documents
 left without a word; decontamination drops documents holding a benchmark item;
 BPE adds ids, their count and the decoded text.  Null or empty texts go in the
 first stage, so later stages see texts only.
@@ -26,7 +27,10 @@ MIN_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = lang_id.predict(docs, lang_id.fit(docs), *docs.columns, names=("__lang", "__score"))
+    model = lang_id.fit(docs)
+    if model is None:        # no labelled row: nothing to tell languages apart by
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    marked = lang_id.predict(docs, model, *docs.columns, names=("__lang", "__score"))
     return marked.filter((F.col("__lang") != lang_id.UND) & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
 
 

@@ -240,8 +240,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, one document of each group, one row of each doc_id;
-    rows without a doc_id stay."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(gone.hint("merge"), "doc_id", "left_anti")
-    return named.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """All columns of ``docs``, one document of each group; rows without a doc_id
+    stay.  Different texts under one doc_id are nodes of their own, of which the
+    one of smallest text hash has the doc_id and the others come after all
+    doc_ids below 2**62; rows equal in both count once."""
+    named = docs.filter("doc_id IS NOT NULL").withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
+    several = (named.groupBy("doc_id").agg(F.min("__hash").alias("__lo"), F.max("__hash").alias("__hi"))
+               .filter("__lo <> __hi").select("doc_id", "__lo"))
+    late = F.xxhash64("doc_id", "__hash").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    named = named.join(several, "doc_id", "left").withColumn(
+        "__node", F.when(F.col("__hash") != F.col("__lo"), late).otherwise(F.col("doc_id").cast("long")))
+    found = near_duplicates(named.select(F.col("__node").alias("doc_id"), "text"))
+    gone = found.filter("NOT kept").select(F.col("doc_id").alias("__node")).distinct()
+    left = named.join(gone.hint("merge"), "__node", "left_anti").dropDuplicates(["__node"])
+    return left.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))

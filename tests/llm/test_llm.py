@@ -310,3 +310,14 @@ def test_pipeline_stages(spark, tmp_path, documents, texts):
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert not {0, 1, 2, 6, 7, 8} & set(got) and got[5].text == texts[5] and got[5].n_tokens == len(got[5].ids)
     assert got[9].text == texts[9]
+
+
+def test_pipeline_keeps_texts_of_one_id_and_unlabelled_documents(spark, docs_of):
+    import corpus_pipeline
+
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    docs = docs_of([(1, a, None, "s", 0), (2, b, None, "s", 0), (2, c, None, "s", 0), (2, c, None, "s", 0),
+                    (3, a + " end", None, "s", 0), (3, prose(4, 80), None, "s", 0), (4, "12 34", None, "s", 0), (5, None, None, "s", 0)])
+    assert corpus_pipeline.language_id(spark, docs, "").count() == 6
+    got = sorted((r.doc_id, r.text) for r in corpus_pipeline.minhash_near_dedup(spark, docs.filter("doc_id < 4"), "").collect())
+    assert got == sorted([(1, a), (2, b), (2, c), (3, prose(4, 80))])
