@@ -9,7 +9,7 @@ from starload.plans.spec import FAIL, KEEP, REJECT, Lookup, TableSpec, build_tab
 from starload.plans.star import LOAD_TS, star_sources, star_specs
 from starload.sources.warehouse import append_by_name, append_new_only, read_back
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def _regions(spark, rows):

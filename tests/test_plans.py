@@ -7,7 +7,7 @@ from starload.operators import assign_surrogate_keys, dim_lookup
 from starload.plans.registry import QUERIES
 from starload.plans.star import build_star, star_sources
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def plan_text(df) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starload.operators import assign_surrogate_keys, dim_lookup, fk_orphans
 
-from conftest import SF_ORACLE
+from locations import SF_ORACLE
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",

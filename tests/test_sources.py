@@ -8,7 +8,7 @@ from starload.operators.nest import nest_children
 from starload.sources.jdbc import jdbc_options, read_jdbc
 from starload.sources.json_io import read_json, to_json_column, write_json
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 class _Row(dict):

@@ -7,7 +7,7 @@ from starload.plans.star import LOAD_TS, star_sources, star_specs
 from starload.sources.warehouse import read_back
 from starload.streaming import load_stream
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def test_stream_of_lineitem_files_loads_every_line_once(spark, tmp_path):
