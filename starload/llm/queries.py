@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm import bpe, chat_format, decontaminate, fuzzy_passages, lang_id, lattice_lm, near_dedup, quality_rules, suffix_levels, token_counts
+from starload.llm import (bpe, chat_format, cover_tree, decontaminate, fuzzy_passages, lang_id, lattice_lm, merkle,
+                          near_dedup, quality_rules, suffix_levels, token_counts, vp_tree)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -132,3 +133,115 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return cover_tree.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+#: Vectors that take part, as doubles.
+SQL_VECTORS = """
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+
+ORACLE_SQL["op11_hard_negatives"] = f"""
+WITH vectors AS MATERIALIZED ({SQL_VECTORS}),
+e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(v, lambda x: floor(256 * x)) AS v FROM vectors WHERE label IS NOT NULL),
+positives AS (
+  SELECT a.vec_id AS anchor_id, a.label, a.v, p.vec_id AS positive_id,
+         list_dot_product(a.v, p.v)::BIGINT AS positive_score
+  FROM e a JOIN e p ON a.vec_id % 100 = 0 AND p.vec_id <> a.vec_id AND p.label = a.label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY positive_score DESC, positive_id) <= 5),
+scored AS (
+  SELECT anchor_id, positive_id, positive_score, n.vec_id AS negative_id,
+         list_dot_product(p.v, n.v)::BIGINT AS negative_score
+  FROM positives p JOIN e n ON n.label <> p.label)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id
+         ORDER BY negative_score DESC, negative_id)::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM scored WHERE 80 * positive_score <= 100 * negative_score AND negative_score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_tampering(table(spark, sf_dir, "documents"))
+
+
+def _sql_leaf(text: str) -> str:
+    fields = [f"{c}::VARCHAR" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """Nodes of a tree by level, and the siblings of those that have a parent."""
+    return f"""
+{name}(level, g, pos, n, h) AS (
+  SELECT 0, g, pos, n, h FROM ({leaves})
+  UNION ALL
+  SELECT level + 1, g, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY level, g, n, pos // 8),
+{name}_siblings AS (
+  SELECT level, g, pos, coalesce(string_agg(h, '') OVER before, '') || '|'
+                        || coalesce(string_agg(h, '') OVER after, '') AS s
+  FROM {name} WHERE n > 1
+  WINDOW before AS (PARTITION BY level, g, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (PARTITION BY level, g, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+
+ORACLE_SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE bytes AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, i:
+         CASE WHEN (c & 1) = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+docs AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_sql_leaf('text')} AS leaf,
+         {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+         xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+  FROM documents, bytes),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n,
+         CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END AS found FROM docs),
+{_sql_tree('low', 'SELECT g, pos, n, leaf AS h FROM placed')},
+subroots AS (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS rank, count(*) OVER () AS n FROM low WHERE n = 1),
+{_sql_tree('top', 'SELECT 0 AS g, rank AS pos, n, subroot AS h FROM subroots')},
+steps AS (
+  SELECT p.g, p.pos, 0 AS tree, s.level, s.s FROM placed p JOIN low_siblings s
+    ON s.g = p.g AND s.pos = (p.pos >> (3 * s.level))
+  UNION ALL
+  SELECT p.g, p.pos, 1, s.level, s.s FROM placed p JOIN subroots r ON r.g = p.g
+    JOIN top_siblings s ON s.pos = (r.rank >> (3 * s.level))),
+paths AS (SELECT g, pos, list(s ORDER BY tree, level) AS path FROM steps GROUP BY g, pos),
+folded AS (
+  SELECT p.doc_id, p.leaf, r.subroot, (SELECT h FROM top WHERE n = 1) AS root,
+         sha256(replace(coalesce(array_to_string(path, ''), ''), '|', '')) AS proof_sha256,
+         list_reduce(list_concat([found], coalesce(path, [])), lambda h, s:
+           sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root
+  FROM placed p JOIN subroots r ON r.g = p.g LEFT JOIN paths ON paths.g = p.g AND paths.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE_SQL["op13_nearest"] = f"""
+WITH vectors AS MATERIALIZED ({SQL_VECTORS}),
+e AS MATERIALIZED (SELECT * FROM vectors WHERE len(list_filter(v, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
