@@ -6,6 +6,8 @@ DuckDB's day/month/year are BIGINT and are cast to INTEGER like Spark's.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 INJ = "CASE WHEN {key} % 7 = 0 THEN NULL ELSE {value} END"
 ORPH = "CASE WHEN {key} % 11 = 0 THEN {fk} + 1000000 ELSE {fk} END"
 
@@ -377,3 +379,109 @@ def _infer_types() -> str:
 
 
 ORACLE_SQL["infer_types"] = _infer_types()
+
+
+# Columns of the star's tables by kind, as the files declare them.
+COLUMN_KINDS = {
+    "integer": {"region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"],
+                "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"],
+                "part": ["p_partkey", "p_size"], "orders": ["o_orderkey", "o_custkey"],
+                "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]},
+    "number": {"customer": ["c_acctbal"], "supplier": ["s_acctbal"], "part": ["p_retailprice"],
+               "orders": ["o_totalprice"], "lineitem": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]},
+    "text": {"region": ["r_name"], "nation": ["n_name"], "customer": ["c_name", "c_mktsegment"],
+             "supplier": ["s_name"], "part": ["p_name", "p_brand", "p_type"],
+             "orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus"]},
+    "time": {"orders": ["o_orderdate"], "lineitem": ["l_shipdate"]},
+}
+TABLE_COLUMNS = {
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ORDERS_COLS,
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+}
+
+
+def _inclusion() -> str:
+    """All type-compatible pairs, from the distinct values of every column."""
+    parts, stats = [], []
+    for kind, tables in COLUMN_KINDS.items():
+        columns = [(t, c) for t, cs in tables.items() for c in cs]
+        values = " UNION ALL ".join(f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, {c} AS v FROM {t} WHERE {c} IS NOT NULL"
+                                    for t, c in columns)
+        parts.append(f"SELECT a.t AS ct, a.c AS cc, b.t AS pt, b.c AS pc, count(*) AS contained "
+                     f"FROM ({values}) a JOIN ({values}) b ON a.v = b.v GROUP BY ALL")
+        stats += [f"SELECT '{kind}' AS kind, '{t}' AS t, '{c}' AS c, count(DISTINCT {c}) AS n, count(*) AS rows, "
+                  f"substr('{c}', strpos('{c}', '_') + 1) AS stem FROM {t}" for t, c in columns]
+    return (f"WITH both_ AS ({' UNION ALL '.join(parts)}), "
+            f"stats AS (SELECT *, n = rows AND rows > 0 AS uniq FROM ({' UNION ALL '.join(stats)})), "
+            "pairs AS (SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, "
+            "a.kind, a.n AS distinct_child, COALESCE(x.contained, 0) AS contained, "
+            "CAST(COALESCE(x.contained, 0) AS DOUBLE) / a.n AS ratio, a.uniq AS child_unique, "
+            "b.uniq AS parent_unique, a.stem = b.stem AS name_match, b.n AS parent_values "
+            "FROM stats a JOIN stats b ON a.kind = b.kind AND (a.t, a.c) <> (b.t, b.c) "
+            "LEFT JOIN both_ x ON x.ct = a.t AND x.cc = a.c AND x.pt = b.t AND x.pc = b.c), "
+            "ranked AS (SELECT * EXCLUDE (parent_values), CAST(row_number() OVER (PARTITION BY child_table, "
+            "child_column ORDER BY (contained = distinct_child AND distinct_child > 0 AND parent_unique) DESC, "
+            "name_match DESC, contained DESC, parent_values, parent_table, parent_column) AS BIGINT) AS rnk "
+            "FROM pairs) ")
+
+
+ORACLE_SQL["inclusion_dependencies"] = _inclusion() + "SELECT * FROM ranked"
+ORACLE_SQL["fact_ranking"] = (
+    _inclusion() + ", links AS (SELECT child_table, child_column, parent_table FROM ranked "
+    "WHERE contained = distinct_child AND distinct_child > 0 AND parent_unique AND name_match "
+    "AND child_table <> parent_table "
+    "QUALIFY row_number() OVER (PARTITION BY child_table, child_column ORDER BY rnk) = 1), "
+    "own AS (SELECT s.t AS table_name, count(l.parent_table) AS \"references\", "
+    "count(*) FILTER (WHERE s.kind IN ('integer', 'number') AND l.parent_table IS NULL AND NOT s.uniq) AS measures "
+    "FROM stats s LEFT JOIN links l ON l.child_table = s.t AND l.child_column = s.c GROUP BY s.t), "
+    "counts AS (SELECT o.table_name, \"references\", (SELECT count(*) FROM links l WHERE l.parent_table = o.table_name) "
+    "AS referenced_by, measures FROM own o) "
+    "SELECT *, CAST(row_number() OVER (ORDER BY \"references\" DESC, referenced_by, measures DESC, table_name) "
+    "AS BIGINT) AS rnk FROM counts")
+
+
+def _minimal_keys(tables: list[str], most: int) -> str:
+    """Every combination counted, then those without a smaller key inside."""
+    parts = []
+    for t in tables:
+        for k in range(1, most + 1):
+            for s in combinations(TABLE_COLUMNS[t], k):
+                parts.append(f"SELECT '{t}' AS table_name, {list(s)} AS cols, {k} AS k, count(*) AS rows, "
+                             f"count(*) > 0 AND count(DISTINCT ({', '.join(s)},)) = count(*) "
+                             f"AND {' AND '.join(f'count({c}) = count(*)' for c in s)} AS uniq FROM {t}"
+                             if k > 1 else
+                             f"SELECT '{t}' AS table_name, {list(s)} AS cols, 1 AS k, count(*) AS rows, "
+                             f"count(*) > 0 AND count(DISTINCT {s[0]}) = count(*) AS uniq FROM {t}")
+    return (f"WITH sets AS ({' UNION ALL '.join(parts)}), k AS (SELECT * FROM sets WHERE uniq) "
+            "SELECT table_name, array_to_string(cols, ',') AS key_columns, CAST(k AS INTEGER) AS n_columns, rows "
+            "FROM k a WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.table_name = a.table_name AND b.k < a.k "
+            "AND list_has_all(a.cols, b.cols))")
+
+
+def _minimal_dependencies(tables: list[str], most: int, error: str) -> str:
+    """The rows that a dependency keeps: each determinant's most frequent value."""
+    parts = []
+    for t in tables:
+        for k in range(1, most + 1):
+            for x in combinations(TABLE_COLUMNS[t], k):
+                for a in TABLE_COLUMNS[t]:
+                    if a not in x:
+                        parts.append(f"SELECT '{t}' AS t, {list(x)} AS x, '{a}' AS a, CAST(sum(m) AS BIGINT) AS kept, "
+                                     f"(SELECT count(*) FROM {t}) AS rows FROM (SELECT max(n) AS m FROM (SELECT "
+                                     f"{', '.join(x)}, {a}, count(*) AS n FROM {t} GROUP BY ALL) GROUP BY {', '.join(x)})")
+    return (f"WITH d AS ({' UNION ALL '.join(parts)}), holds AS (SELECT * FROM d WHERE kept = rows) "
+            "SELECT t AS table_name, array_to_string(x, ',') AS determinant, a AS dependent, "
+            "CAST(len(x) AS INTEGER) AS n_columns, rows - kept AS violating_rows, "
+            "CAST(rows - kept AS DOUBLE) / rows AS error FROM d "
+            f"WHERE rows > 0 AND (kept = rows OR len(x) = 1 AND CAST(rows - kept AS DOUBLE) / rows <= {error}) "
+            "AND NOT EXISTS (SELECT 1 FROM holds h WHERE h.t = d.t AND h.a = d.a AND len(h.x) < len(d.x) "
+            "AND list_has_all(d.x, h.x))")
+
+
+ORACLE_SQL["minimal_keys"] = _minimal_keys(["customer", "supplier", "part", "orders", "lineitem"], 3)
+ORACLE_SQL["minimal_dependencies"] = _minimal_dependencies(["part", "customer", "supplier", "nation"], 2, "0.05")

@@ -20,6 +20,7 @@ from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, St
 from starload.functions.scalar import (cast_decimal, cast_strict, cast_try_default, ci_equals, fill_min_date,
                                        fill_text, fill_zero, flag_decode, iso_text, parse_date, split_array)
 from starload.operators.dims import split_hierarchy
+from starload.operators.discovery import fact_ranking, inclusion_dependencies, minimal_dependencies, minimal_keys
 from starload.operators.keys import assign_surrogate_keys, assign_surrogate_keys_incremental
 from starload.operators.layout import clustered_write
 from starload.operators.lookup import (date_lookup, dim_lookup, join_on_keys, missing_dim_default,
@@ -509,6 +510,39 @@ def q_fact_candidates(spark, d):
     return ranked.withColumn("rnk", F.row_number().over(w).cast("bigint"))
 
 
+def _tables(spark, d, names) -> dict[str, DataFrame]:
+    return {t: _t(spark, d, t) for t in names}
+
+
+def q_inclusion_dependencies(spark, d):
+    return inclusion_dependencies(_tables(spark, d, STAR_TABLES))
+
+
+def q_fact_ranking(spark, d):
+    return fact_ranking(_tables(spark, d, STAR_TABLES))
+
+
+KEY_TABLES = ("customer", "supplier", "part", "orders", "lineitem")
+
+
+def q_minimal_keys(spark, d):
+    """Minimal keys of up to three columns; lines are numbered within their
+    order by nothing but the data, so several combinations qualify."""
+    out = None
+    for table in KEY_TABLES:
+        keys = minimal_keys(_t(spark, d, table)).select(F.lit(table).alias("table_name"), "*")
+        out = keys if out is None else out.unionByName(keys)
+    return out
+
+
+def q_minimal_dependencies(spark, d):
+    out = None
+    for table in ("part", "customer", "supplier", "nation"):
+        found = minimal_dependencies(_t(spark, d, table)).select(F.lit(table).alias("table_name"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def q_cluster_advice(spark, d):
     return cluster_advice(_t(spark, d, "orders"))
 
@@ -558,6 +592,8 @@ QUERIES: dict[str, Query] = {
     "fact_load": q_fact_load, "split_hierarchy": q_split_hierarchy,
     "split_hierarchy_nulls": q_split_hierarchy_nulls, "dim_key_verdicts": q_dim_key_verdicts,
     "functional_dependency": q_functional_dependency, "infer_types": q_infer_types,
+    "minimal_dependencies": q_minimal_dependencies, "minimal_keys": q_minimal_keys,
+    "inclusion_dependencies": q_inclusion_dependencies, "fact_ranking": q_fact_ranking,
     "fk_containment": q_fk_containment, "fact_candidates": q_fact_candidates, "cluster_advice": q_cluster_advice,
     "clustered_write": q_clustered_write, "run_load": q_run_load,
 }
