@@ -76,18 +76,25 @@ def _dec(col: str, p: int, s: int) -> str:
     return f"COALESCE(CAST({col} AS DECIMAL({p},{s})), CAST(0 AS DECIMAL({p},{s})))"
 
 
-FACT = (f"SELECT COALESCE(dp.sk_part, -1) AS sk_part, COALESCE(ds.sk_supplier, -1) AS sk_supplier, "
-        f"COALESCE(dc.sk_customer, -1) AS sk_customer, COALESCE(d1.sk_date, -1) AS sk_order_date, "
-        f"COALESCE(d2.sk_date, -1) AS sk_ship_date, "
-        f"{_dec('src.l_quantity', 12, 2)} AS quantity, {_dec('src.l_extendedprice', 12, 2)} AS extended_price, "
-        f"{_dec('src.l_discount', 4, 2)} AS discount, {_dec('src.l_tax', 4, 2)} AS tax "
-        f"FROM (SELECT l.*, o.o_custkey, o.o_orderdate FROM lineitem l LEFT JOIN orders o "
-        f"ON l.l_orderkey = o.o_orderkey) src "
-        f"LEFT JOIN ({DIM_PART}) dp ON src.l_partkey = dp.part_id "
-        f"LEFT JOIN ({DIM_SUPPLIER}) ds ON src.l_suppkey = ds.supplier_id "
-        f"LEFT JOIN ({DIM_CUSTOMER}) dc ON src.o_custkey = dc.customer_id "
-        f"LEFT JOIN ({DIM_DATE}) d1 ON CAST(src.o_orderdate AS DATE) = d1.date_value "
-        f"LEFT JOIN ({DIM_DATE}) d2 ON CAST(src.l_shipdate AS DATE) = d2.date_value")
+def fact(lineitem: str = "lineitem") -> str:
+    return (f"SELECT COALESCE(dp.sk_part, -1) AS sk_part, COALESCE(ds.sk_supplier, -1) AS sk_supplier, "
+            f"COALESCE(dc.sk_customer, -1) AS sk_customer, COALESCE(d1.sk_date, -1) AS sk_order_date, "
+            f"COALESCE(d2.sk_date, -1) AS sk_ship_date, "
+            f"{_dec('src.l_quantity', 12, 2)} AS quantity, {_dec('src.l_extendedprice', 12, 2)} AS extended_price, "
+            f"{_dec('src.l_discount', 4, 2)} AS discount, {_dec('src.l_tax', 4, 2)} AS tax "
+            f"FROM (SELECT l.*, o.o_custkey, o.o_orderdate FROM {lineitem} l LEFT JOIN orders o "
+            f"ON l.l_orderkey = o.o_orderkey) src "
+            f"LEFT JOIN ({DIM_PART}) dp ON src.l_partkey = dp.part_id "
+            f"LEFT JOIN ({DIM_SUPPLIER}) ds ON src.l_suppkey = ds.supplier_id "
+            f"LEFT JOIN ({DIM_CUSTOMER}) dc ON src.o_custkey = dc.customer_id "
+            f"LEFT JOIN ({DIM_DATE}) d1 ON CAST(src.o_orderdate AS DATE) = d1.date_value "
+            f"LEFT JOIN ({DIM_DATE}) d2 ON CAST(src.l_shipdate AS DATE) = d2.date_value")
+
+
+FACT = fact()
+FACT_TWICE = fact("(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 50 = 0)")
+FACT_BROKEN = fact(f"(SELECT * REPLACE ({orph('l_orderkey', 'l_partkey')} AS l_partkey, "
+                   f"{inj('l_orderkey', 'l_suppkey')} AS l_suppkey) FROM lineitem)")
 
 NATION_SK = "SELECT n_nationkey, CAST(row_number() OVER (ORDER BY n_nationkey) AS BIGINT) AS sk_nation FROM nation"
 
@@ -284,7 +291,7 @@ ORACLE_SQL: dict[str, str] = {
                        f"count(*) FILTER (WHERE sk_ship_date = -1) AS unresolved_sk_ship_date, "
                        f"count(*) FILTER (WHERE quantity <= 0) AS nonpositive_quantity, "
                        f"count(*) FILTER (WHERE sk_ship_date < sk_order_date) AS ship_before_order, "
-                       f"count(*) AS rows FROM ({FACT})"),
+                       f"count(*) AS rows FROM ({FACT_BROKEN})"),
     "reject_split": (f"SELECT c_custkey, CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS verdict, reasons "
                      f"FROM (SELECT s.c_custkey, concat_ws(',', CASE WHEN s.c_name IS NULL THEN 'null_name' END, "
                      f"CASE WHEN n.n_nationkey IS NULL THEN 'unknown_nation' END) AS reasons FROM "
@@ -300,7 +307,7 @@ ORACLE_SQL: dict[str, str] = {
     "check_violations": ("SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, o.o_orderdate FROM lineitem l "
                          "JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE NOT (l.l_shipdate >= o.o_orderdate)"),
     "fact_key_unique": (f"SELECT sk_part, sk_supplier, sk_customer, sk_order_date, sk_ship_date, count(*) AS n "
-                        f"FROM ({FACT}) GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1"),
+                        f"FROM ({FACT_TWICE}) GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1"),
     "self_fk_orphans": ("SELECT c_custkey, c_custkey + 100 AS manager_id FROM customer c1 WHERE NOT EXISTS "
                         "(SELECT 1 FROM customer c2 WHERE c2.c_custkey = c1.c_custkey + 100)"),
     "reconcile": (f"WITH s AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer), "
@@ -485,3 +492,11 @@ def _minimal_dependencies(tables: list[str], most: int, error: str) -> str:
 
 ORACLE_SQL["minimal_keys"] = _minimal_keys(["customer", "supplier", "part", "orders", "lineitem"], 3)
 ORACLE_SQL["minimal_dependencies"] = _minimal_dependencies(["part", "customer", "supplier", "nation"], 2, "0.05")
+
+ORACLE_SQL["reject_replay"] = (
+    "WITH k AS (SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey % 3 = 0, c_custkey) AS BIGINT) AS sk "
+    f"FROM customer), o AS (SELECT o_orderkey, {orph('o_orderkey', 'o_custkey')} AS o_custkey, "
+    "CAST(o_totalprice AS DECIMAL(12,2)) AS total, CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'b1' "
+    "ELSE 'b2' END AS load_batch FROM orders) "
+    "SELECT o_orderkey AS order_id, COALESCE(sk, -1) AS sk_buyer, total, load_batch, "
+    "CASE WHEN sk IS NULL THEN 'waiting' ELSE 'loaded' END AS state FROM o LEFT JOIN k ON o_custkey = c_custkey")

@@ -33,11 +33,12 @@ from starload.operators.quality import (annotate_rejects, check_violations, coun
                                         not_null_check, null_key_check, self_fk_orphans, unique_check,
                                         unresolved_fk_check)
 from starload.operators.reconcile import reconcile, set_difference_counts
-from starload.plans.load import run_load
-from starload.plans.spec import KEEP, REJECT, TableSpec, build_table
+from starload.plans.load import open_rejects, run_load
+from starload.plans.spec import KEEP, REJECT, Lookup, TableSpec, build_table
 from starload.plans.star import LOAD_TS, build_star, star_sources, star_specs
 from starload.session import staging_path
 from starload.sources.json_io import read_json, write_json
+from starload.sources.published import Warehouse
 from starload.sources.tables import read_table
 from starload.sources.warehouse import append_by_name, append_new_only, read_back, write_table
 
@@ -332,12 +333,18 @@ def q_unresolved_fk_check(spark, d):
     return unresolved_fk_check(q_dim_lookup(spark, d), ["sk_nation"])
 
 
-def _fact(spark, d, on_missing: str = KEEP) -> DataFrame:
-    return build_star(star_sources(spark, d), ["fact_lineitem"], on_missing=on_missing)["fact_lineitem"]
+def _fact(sources, on_missing: str = KEEP) -> DataFrame:
+    # No fail-mode rule: nothing to observe, so nothing is materialised.
+    return build_star(sources, ["fact_lineitem"], on_missing=on_missing, materialize_facts=False)["fact_lineitem"]
 
 
 def q_qc_single_pass(spark, d):
-    fact = _fact(spark, d)
+    """Parts beyond the part table and suppliers without a key are injected, so
+    that the unresolved counts have something to count."""
+    sources = dict(star_sources(spark, d))
+    sources["lineitem"] = (sources["lineitem"].withColumn("l_partkey", orph("l_orderkey", "l_partkey"))
+                           .withColumn("l_suppkey", inj("l_orderkey", "l_suppkey")))
+    fact = _fact(sources)
     sks = ["sk_part", "sk_supplier", "sk_customer", "sk_order_date", "sk_ship_date"]
     checks = {f"unresolved_{c}": F.col(c) == -1 for c in sks}
     checks["nonpositive_quantity"] = F.col("quantity") <= 0
@@ -380,7 +387,11 @@ def q_check_violations(spark, d):
 
 
 def q_fact_key_unique(spark, d):
-    return unique_check(_fact(spark, d), ["sk_part", "sk_supplier", "sk_customer", "sk_order_date", "sk_ship_date"])
+    """Every fiftieth order's lines come twice."""
+    sources = dict(star_sources(spark, d))
+    li = sources["lineitem"]
+    sources["lineitem"] = li.unionByName(li.filter(F.col("l_orderkey") % 50 == 0))
+    return unique_check(_fact(sources), ["sk_part", "sk_supplier", "sk_customer", "sk_order_date", "sk_ship_date"])
 
 
 def q_self_fk_orphans(spark, d):
@@ -560,6 +571,34 @@ def q_run_load(spark, d):
     return run_load(spark, star_specs(), sources, root, LOAD_TS)
 
 
+def _replay_specs() -> list[TableSpec]:
+    return [
+        TableSpec("dim_buyer", "customer", [("customer_id", "c_custkey")], business_key=["customer_id"], sk="sk_buyer"),
+        TableSpec("fact_order", "orders", [("order_id", "o_orderkey"), ("customer_id", "o_custkey"),
+                                           ("total", cast_decimal("o_totalprice", 12, 2))], kind="fact",
+                  lookups=[Lookup(["customer_id"], "dim_buyer", ["customer_id"], "sk_buyer", on_missing=REJECT)])]
+
+
+def q_reject_replay(spark, d):
+    """Two batches of orders and customers and the first batch again: an order
+    whose customer comes later waits among the rejects and is then loaded; an
+    order of a customer that never comes stays there."""
+    root, specs = staging_path(spark, "replay"), _replay_specs()
+    customer = _t(spark, d, "customer")
+    orders = _t(spark, d, "orders").withColumn("o_custkey", orph("o_orderkey", "o_custkey"))
+    early = F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    first = {"customer": customer.filter(F.col("c_custkey") % 3 != 0), "orders": orders.filter(early)}
+    second = {"customer": customer.filter(F.col("c_custkey") % 3 == 0), "orders": orders.filter(~early)}
+    for batch, sources in (("b1", first), ("b2", second), ("b1", first)):
+        run_load(spark, specs, sources, root, audit_col=None, batch_id=batch)
+    loaded = read_back(spark, f"{root}/fact_order").select(
+        "order_id", "sk_buyer", "total", "load_batch", F.lit("loaded").alias("state"))
+    waiting = open_rejects(Warehouse(spark, root), specs[1])
+    return loaded.unionByName(waiting.select(
+        F.col("source_row.order_id").alias("order_id"), F.lit(-1).cast("bigint").alias("sk_buyer"),
+        F.col("source_row.total").alias("total"), "load_batch", F.lit("waiting").alias("state")))
+
+
 QUERIES: dict[str, Query] = {
     # 2.1
     "dim_readback": q_dim_readback, "append_by_name": q_append_by_name, "snowflaked_chain": q_snowflaked_chain,
@@ -595,5 +634,5 @@ QUERIES: dict[str, Query] = {
     "minimal_dependencies": q_minimal_dependencies, "minimal_keys": q_minimal_keys,
     "inclusion_dependencies": q_inclusion_dependencies, "fact_ranking": q_fact_ranking,
     "fk_containment": q_fk_containment, "fact_candidates": q_fact_candidates, "cluster_advice": q_cluster_advice,
-    "clustered_write": q_clustered_write, "run_load": q_run_load,
+    "clustered_write": q_clustered_write, "run_load": q_run_load, "reject_replay": q_reject_replay,
 }

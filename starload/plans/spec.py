@@ -131,34 +131,44 @@ def _key_null(cols: list[str]) -> Column:
     return cond
 
 
-def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame | None],
-                load_ts: str | None = None, audit_col: str | None = "dt_insert",
-                existing: DataFrame | None = None,
-                materialize_checked: bool = False, stats: dict | None = None,
-                dim_rows: Mapping[str, int] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Plan one target table.  Returns ``(valid, rejected_or_None)``.
+def mapped_rows(spec: TableSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """The spec's columns from its source, nulls filled."""
+    df = map_columns(source_frame(spec, sources), spec.columns)
+    return fill_nulls(df, spec.fill) if spec.fill else df
 
-    Every fail-mode rule of the spec is counted in ONE aggregate over the
-    annotated frame; in reject mode the reasons array splits the frame.
-    A dimension's null business keys and keys with differing rows are counted
-    inside the numbering job; exact duplicates collapse.
-    ``existing`` (the target as loaded so far) makes a dimension load append
-    only new business keys, numbering them after the stored maximum.
-    ``materialize_checked`` checkpoints the frame once and observes the
-    fail-mode counts during that same pass (``Observation``), so neither a
-    separate check job nor a second evaluation of the joins runs; the later
-    write reads the checkpoint.
-    ``stats`` receives the row count of a dimension (known from numbering);
-    ``dim_rows`` (known parent sizes) is accepted for callers that pass it; joins
-    are left to AQE.
+
+def any_of(reasons: list[str]) -> Column:
+    """Whether a row has one of these reasons."""
+    return F.exists(F.col(REASONS), lambda r: r.isin(reasons)) if reasons else F.lit(False)
+
+
+@dataclass
+class Planned:
+    """A table's rows with their reasons, before valid and rejected part."""
+    df: DataFrame                                   # with REASONS; a dimension is numbered already
+    fail: dict[str, Column]                         # rules that stop the load, still to be counted
+    rejecting: list[str]                            # reasons that reject a row
+    key_rejects: list[DataFrame] = field(default_factory=list)
+
+
+def plan_table(spec: TableSpec, mapped: DataFrame, dims: Mapping[str, DataFrame | None],
+               existing: DataFrame | None = None, stats: dict | None = None,
+               source_col: str | None = None) -> Planned:
+    """Look up and judge every mapped row; number a dimension's valid rows.
+
+    A dimension's keys are numbered after all rejects, so stored keys are dense:
+    rejected rows are ordered behind the valid ones in the same numbering.  That
+    numbering is the one evaluation of the plan; every fail-mode rule is counted in
+    its per-partition job, and the load stops before anything is written.
+    ``source_col`` keeps the mapped row as a struct (columns named ``__...`` are
+    carried through, but are no part of it).
     """
-    df = map_columns(source_frame(spec, sources), spec.columns)
-    if spec.fill:
-        df = fill_nulls(df, spec.fill)
+    df = mapped
     rules: dict[str, Column] = {}
     modes: dict[str, str] = {}
     key_rejects: list[DataFrame] = []
     is_dim = spec.kind == "dimension" and bool(spec.business_key)
+    source = F.struct(*[c for c in mapped.columns if not c.startswith("__")])
     if is_dim and spec.on_null_key == REJECT:
         key_rejects.append(df.filter(_key_null(spec.business_key)).withColumn(
             REASONS, F.array(F.lit("null_business_key"))))
@@ -169,11 +179,12 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
         rules[f"check_{name}"] = ~F.expr(predicate)
         modes[f"check_{name}"] = spec.on_check
 
+    null = _key_null(spec.business_key) if spec.business_key else None
+    start: int | Column = 1
     if is_dim:
-        # Fail mode numbers null keys too and counts them in the numbering's
-        # own per-partition job; the load then stops before anything is
-        # written.  Reject mode removes them first (they went to the rejects).
-        keyed = df.filter(~_key_null(spec.business_key)) if spec.on_null_key == REJECT else df
+        # Fail mode numbers null keys too and counts them there; reject mode
+        # removes them first (they went to the rejects).
+        keyed = df.filter(~null) if spec.on_null_key == REJECT else df
         if spec.on_duplicate_key == REJECT:
             conflicts = collapse_on_key(keyed, spec.business_key).filter(F.col(CONFLICT)).select(*spec.business_key)
             key_rejects.append(keyed.distinct().join(conflicts, spec.business_key, "left_semi")
@@ -181,29 +192,15 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
                                .withColumn(REASONS, F.array(F.lit("duplicate_business_key"))))
         keyed = collapse_on_key(keyed, spec.business_key)
         if spec.on_duplicate_key == REJECT:
-            keyed = keyed.filter(~F.col(CONFLICT) | _key_null(spec.business_key))
-        start: int | Column = 1
+            keyed = keyed.filter(~F.col(CONFLICT) | null)
         if existing is not None:
             from starload.operators.lookup import anti_members
             keyed = anti_members(keyed, existing, spec.business_key)
             start = F.coalesce(existing.select(F.max(F.col(spec.sk))).scalar(), F.lit(0)) + F.lit(1)
-        sk_stats: dict = {}
-        # Counted per source row (nulls) and per key (differing rows); a key
-        # already stored keeps its stored row and is not numbered again.
-        null = _key_null(spec.business_key)
-        key_checks: dict[str, Column] = {}
-        if spec.on_null_key == FAIL:
-            key_checks["null_business_key"] = F.sum(F.when(null, F.col(COPIES)))
-        if spec.on_duplicate_key == FAIL:
-            key_checks["duplicate_business_key"] = F.count_if(F.col(CONFLICT) & ~null)
-        # Unique after de-duplication: no tie breaker needed.
-        df = assign_surrogate_keys(keyed, spec.business_key, sk=spec.sk, start=start, stats=sk_stats, tiebreak=False,
-                                   checks=key_checks, scratch=(COPIES, CONFLICT))
-        bad_keys = {n: sk_stats[n] for n in key_checks if sk_stats[n]}
-        if bad_keys:
-            raise LoadCheckError(f"{spec.target}: {bad_keys}")
-        if stats is not None:
-            stats["rows"] = sk_stats["rows"]
+        df = keyed
+    if source_col:
+        df = df.withColumn(source_col, source)
+        key_rejects = [r.withColumn(source_col, source) for r in key_rejects]
 
     for lk in spec.lookups:
         dim = dims.get(lk.dim)
@@ -225,46 +222,86 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
         modes[f"unresolved_{lk.sk_as}"] = lk.on_missing
 
     df = annotate_rejects(df, rules, REASONS) if rules else df.withColumn(REASONS, F.array().cast("array<string>"))
-    fail_rules = {n: F.array_contains(F.col(REASONS), n) for n, m in modes.items() if m == FAIL}
-    reject_names = [n for n, m in modes.items() if m == REJECT]
-    status_cols = [c for c in df.columns if c.startswith("__st_")]
-    # Annotation columns stored only when reject mode needs the reasons.
-    stored = [c for c in df.columns if c not in status_cols and (c != REASONS or reject_names)]
-    if materialize_checked:
-        # Fail-mode checks ride on the materialising pass (observed metrics
-        # of the checkpoint action): one evaluation, no separate check job.
-        if fail_rules:
+    df = df.drop(*[c for c in df.columns if c.startswith("__st_")])
+    fail = {n: F.array_contains(F.col(REASONS), n) for n, m in modes.items() if m == FAIL}
+    rejecting = [n for n, m in modes.items() if m == REJECT]
+    if not is_dim:
+        return Planned(df, fail, rejecting, key_rejects)
+
+    # Counted per source row (nulls) and per key (differing rows); a key already
+    # stored keeps its stored row and is not numbered again.
+    checks = {n: F.count_if(c) for n, c in fail.items()}
+    if spec.on_null_key == FAIL:
+        checks["null_business_key"] = F.sum(F.when(null, F.col(COPIES)))
+    if spec.on_duplicate_key == FAIL:
+        checks["duplicate_business_key"] = F.count_if(F.col(CONFLICT) & ~null)
+    refused = any_of(rejecting)
+    sk_stats: dict = {}
+    # Unique after de-duplication: no tie breaker needed.
+    df = assign_surrogate_keys(df, [*([refused] if rejecting else []), *spec.business_key], sk=spec.sk, start=start,
+                               stats=sk_stats, tiebreak=False,
+                               checks={**checks, "refused": F.count_if(refused)}, scratch=(COPIES, CONFLICT))
+    bad = {n: sk_stats[n] for n in checks if sk_stats[n]}
+    if bad:
+        raise LoadCheckError(f"{spec.target}: {bad}")
+    if stats is not None:
+        stats["rows"] = sk_stats["rows"] - sk_stats["refused"]
+    return Planned(df, {}, rejecting, key_rejects)
+
+
+def split_rejected(spec: TableSpec, plan: Planned, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Valid and rejected rows of a planned table."""
+    rejected = None
+    if plan.rejecting:
+        refused = any_of(plan.rejecting)
+        rejected = df.filter(refused)
+        if spec.sk and spec.sk in df.columns:
+            rejected = rejected.drop(spec.sk)
+        df = df.filter(~refused)
+    for more in plan.key_rejects:
+        rejected = more if rejected is None else rejected.unionByName(more, allowMissingColumns=True)
+    return df.drop(REASONS), rejected
+
+
+def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame | None],
+                load_ts: str | None = None, audit_col: str | None = "dt_insert",
+                existing: DataFrame | None = None,
+                materialize_checked: bool = False, stats: dict | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Plan one target table.  Returns ``(valid, rejected_or_None)``.
+
+    ``existing`` (the target as loaded so far) makes a dimension load append
+    only new business keys, numbering them after the stored maximum.
+    ``materialize_checked`` checkpoints a fact once and observes the fail-mode
+    counts during that same pass (``Observation``); otherwise they are counted
+    in ONE aggregate.  ``stats`` receives a dimension's row count.
+    """
+    plan = plan_table(spec, mapped_rows(spec, sources), dims, existing, stats)
+    df, summary = plan.df, {}
+    stored = df.columns if plan.rejecting else [c for c in df.columns if c != REASONS]
+    if spec.kind != "dimension" and materialize_checked:
+        if plan.fail:
             observed = Observation(f"checks_{spec.target}")
-            df = materialize(df.observe(observed, *[F.count_if(c).alias(n) for n, c in fail_rules.items()])
+            df = materialize(df.observe(observed, *[F.count_if(c).alias(n) for n, c in plan.fail.items()])
                              .select(*stored))
             summary = observed.get
         else:
             df = materialize(df.select(*stored))
-            summary = {}
-    elif fail_rules:
-        summary = count_checks(df, fail_rules, rows_col=None).first().asDict()
-    else:
-        summary = {}
+    elif plan.fail:
+        summary = count_checks(df, plan.fail, rows_col=None).first().asDict()
     bad = {k: v for k, v in summary.items() if v}
     if bad:
         raise LoadCheckError(f"{spec.target}: {bad}")
-    rejected = None
-    if reject_names:
-        is_rej = F.exists(F.col(REASONS), lambda r: r.isin(reject_names))
-        rejected = df.filter(is_rej)
-        df = df.filter(~is_rej)
-    df = df.drop(REASONS, *status_cols)
-    if rejected is not None:
-        rejected = rejected.drop(*status_cols)
-    for more in key_rejects:
-        rejected = more if rejected is None else rejected.unionByName(more, allowMissingColumns=True)
+    valid, rejected = split_rejected(spec, plan, df)
+    return finished(spec, valid, load_ts, audit_col), rejected
+
+
+def finished(spec: TableSpec, valid: DataFrame, load_ts: str | None, audit_col: str | None) -> DataFrame:
+    """Declared types and column order, and the audit column."""
     if spec.schema is not None:
-        df = conform_schema(df, spec.schema, allow_missing=False)
-    if audit_col:
-        df = add_audit_column(df, load_ts, audit_col)
-    return df, rejected
+        valid = conform_schema(valid, spec.schema, allow_missing=False)
+    return add_audit_column(valid, load_ts, audit_col) if audit_col else valid
 
 
 __all__ = ["Lookup", "TableSpec", "topological_order", "dependency_levels", "run_level", "build_table",
-           "source_frame",
+           "source_frame", "mapped_rows", "plan_table", "Planned", "split_rejected", "finished", "any_of",
            "FAIL", "REJECT", "KEEP", "UNKNOWN_SK"]

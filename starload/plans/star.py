@@ -141,19 +141,14 @@ def build_star(sources: Mapping[str, DataFrame], targets: list[str] | None = Non
     for t in targets or list(specs):
         need(t)
     built: dict[str, DataFrame] = {}
-    rows: dict[str, int] = {}
 
-    def one(spec: TableSpec) -> tuple[str, DataFrame, dict]:
+    def one(spec: TableSpec) -> tuple[str, DataFrame]:
         parents = {p: built[p] for p in spec.parents}
-        stats: dict = {}
-        df, _ = build_table(spec, sources, parents, load_ts, audit_col, stats=stats, dim_rows=dict(rows),
+        df, _ = build_table(spec, sources, parents, load_ts, audit_col,
                             materialize_checked=materialize_facts and spec.kind == "fact")
-        return spec.target, df, stats
+        return spec.target, df
 
     # Independent tables of a level are built on concurrent driver threads.
     for level in dependency_levels([specs[n] for n in wanted]):
-        for name, df, stats in run_level(one, level, parallelism):
-            built[name] = df
-            if "rows" in stats:
-                rows[name] = stats["rows"]
+        built.update(run_level(one, level, parallelism))
     return built

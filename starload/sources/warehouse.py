@@ -1,7 +1,8 @@
 """Warehouse sinks and read-back (S2, S3, S4, D2 append-new-only).
 
 A warehouse table is a parquet directory (or a catalog table when a name
-without '/' is given).  Appends match columns by NAME: the frame is first
+without '/' is given); below a root that loads publish to, it is the folders
+that the load log names (``published.py``).  Appends match columns by NAME: the frame is first
 conformed to the target's schema -- reordered, extra columns dropped,
 missing ones null -- so positional writers cannot shift values.
 """
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from starload.operators.lookup import anti_members
 from starload.operators.mapping import conform_schema
+from starload.sources.published import read_published
 
 
 def _is_path(target: str) -> bool:
@@ -25,6 +27,9 @@ def _is_path(target: str) -> bool:
 def try_read_back(spark: SparkSession, target: str) -> DataFrame | None:
     """The table, or ``None`` when it does not exist yet (one footer read)."""
     if _is_path(target):
+        loaded = read_published(spark, target)
+        if loaded is not None:
+            return loaded
         try:
             return spark.read.parquet(target)
         except AnalysisException as error:
@@ -41,7 +46,10 @@ def table_exists(spark: SparkSession, target: str) -> bool:
 def read_back(spark: SparkSession, target: str) -> DataFrame:
     """Read a loaded table (children re-read parents so stored
     surrogate keys are the ones they reference)."""
-    return spark.read.parquet(target) if _is_path(target) else spark.read.table(target)
+    if not _is_path(target):
+        return spark.read.table(target)
+    loaded = read_published(spark, target)
+    return loaded if loaded is not None else spark.read.parquet(target)
 
 
 def write_table(df: DataFrame, target: str, mode: str = "errorifexists") -> None:
