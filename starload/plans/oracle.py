@@ -500,3 +500,11 @@ ORACLE_SQL["reject_replay"] = (
     "ELSE 'b2' END AS load_batch FROM orders) "
     "SELECT o_orderkey AS order_id, COALESCE(sk, -1) AS sk_buyer, total, load_batch, "
     "CASE WHEN sk IS NULL THEN 'waiting' ELSE 'loaded' END AS state FROM o LEFT JOIN k ON o_custkey = c_custkey")
+
+ORACLE_SQL["reconcile_ranges"] = ORACLE_SQL["reconcile"]
+ORACLE_SQL["reconcile_ranges_few"] = (
+    "WITH r AS (SELECT o_orderkey BETWEEN 1000 AND 1200 AND o_orderkey % 5 = 0 AS gone, "
+    "o_orderkey BETWEEN 1000 AND 1200 AND o_orderkey % 5 = 1 AS edited FROM orders) "
+    "SELECT 'match' AS status, count(*) FILTER (WHERE NOT gone AND NOT edited) AS n FROM r "
+    "UNION ALL SELECT 'changed', count(*) FILTER (WHERE edited) FROM r "
+    "UNION ALL SELECT 'missing', count(*) FILTER (WHERE gone) FROM r UNION ALL SELECT 'extra', 0")

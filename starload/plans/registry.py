@@ -32,7 +32,7 @@ from starload.operators.profile import (cluster_advice, fk_containment, function
 from starload.operators.quality import (annotate_rejects, check_violations, count_checks, fk_orphans,
                                         not_null_check, null_key_check, self_fk_orphans, unique_check,
                                         unresolved_fk_check)
-from starload.operators.reconcile import reconcile, set_difference_counts
+from starload.operators.reconcile import reconcile, reconcile_ranges, set_difference_counts
 from starload.plans.load import open_rejects, run_load
 from starload.plans.spec import KEEP, REJECT, Lookup, TableSpec, build_table
 from starload.plans.star import LOAD_TS, build_star, star_sources, star_specs
@@ -399,12 +399,30 @@ def q_self_fk_orphans(spark, d):
     return self_fk_orphans(c, "c_custkey", "manager_id")
 
 
-def q_reconcile(spark, d):
+def _customer_sides(spark, d) -> tuple[DataFrame, DataFrame]:
     cols = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
     c = _t(spark, d, "customer")
     extra = c.filter(F.col("c_nationkey") == 5).withColumn("c_custkey", F.col("c_custkey") + 10000000)
-    target = _customer_edited(spark, d).select(cols).unionByName(extra.select(cols))
-    return reconcile(c.select(cols), target, "c_custkey")
+    return c.select(cols), _customer_edited(spark, d).select(cols).unionByName(extra.select(cols))
+
+
+def q_reconcile(spark, d):
+    return reconcile(*_customer_sides(spark, d), "c_custkey")
+
+
+def q_reconcile_ranges(spark, d):
+    return reconcile_ranges(*_customer_sides(spark, d), "c_custkey")
+
+
+def q_reconcile_ranges_few(spark, d):
+    """Orders against a copy in which a short run of keys changed: most ranges agree."""
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    orders = _t(spark, d, "orders").select(cols)
+    run = F.col("o_orderkey").between(1000, 1200)
+    target = (orders.filter(~(run & (F.col("o_orderkey") % 5 == 0)))
+              .withColumn("o_totalprice", F.when(run & (F.col("o_orderkey") % 5 == 1), F.col("o_totalprice") + 1)
+                          .otherwise(F.col("o_totalprice"))))
+    return reconcile_ranges(orders, target, "o_orderkey")
 
 
 # ---------------------------------------------------------------- 2.8 modelling and load
@@ -624,6 +642,7 @@ QUERIES: dict[str, Query] = {
     "qc_single_pass": q_qc_single_pass, "reject_split": q_reject_split, "unique_check": q_unique_check,
     "not_null_check": q_not_null_check, "fk_orphans": q_fk_orphans, "check_violations": q_check_violations,
     "fact_key_unique": q_fact_key_unique, "self_fk_orphans": q_self_fk_orphans, "reconcile": q_reconcile,
+    "reconcile_ranges": q_reconcile_ranges, "reconcile_ranges_few": q_reconcile_ranges_few,
     # 2.8
     "surrogate_key": q_surrogate_key, "surrogate_key_incremental": q_surrogate_key_incremental,
     "date_dim": q_date_dim, "dim_region": _dim("dim_region"), "dim_nation": _dim("dim_nation"),
