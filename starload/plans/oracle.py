@@ -508,3 +508,39 @@ ORACLE_SQL["reconcile_ranges_few"] = (
     "SELECT 'match' AS status, count(*) FILTER (WHERE NOT gone AND NOT edited) AS n FROM r "
     "UNION ALL SELECT 'changed', count(*) FILTER (WHERE edited) FROM r "
     "UNION ALL SELECT 'missing', count(*) FILTER (WHERE gone) FROM r UNION ALL SELECT 'extra', 0")
+
+
+ORDERS_NULLS = (f"(SELECT o_orderkey, o_custkey, {inj('o_orderkey', 'o_orderstatus')} AS o_orderstatus, "
+                f"{inj('o_orderkey', 'o_totalprice')} AS o_totalprice, o_orderdate, o_orderpriority FROM orders)")
+
+
+def _statistics() -> str:
+    parts = []
+    for c in ORDERS_COLS:
+        number = c in ("o_orderkey", "o_custkey", "o_totalprice")
+        text = c in ("o_orderstatus", "o_orderpriority")
+        size = f"strlen({c})" if text else "8"
+        ends = (f"min({c})::DOUBLE AS least, max({c})::DOUBLE AS largest, NULL::VARCHAR AS first_text, "
+                "NULL::VARCHAR AS last_text" if number else
+                f"NULL::DOUBLE AS least, NULL::DOUBLE AS largest, min({c})::VARCHAR AS first_text, "
+                f"max({c})::VARCHAR AS last_text" if text else
+                "NULL::DOUBLE AS least, NULL::DOUBLE AS largest, "
+                f"strftime(min({c}), '%Y-%m-%d %H:%M:%S.%f') AS first_text, "
+                f"strftime(max({c}), '%Y-%m-%d %H:%M:%S.%f') AS last_text")
+        parts.append(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
+            f"CAST(sum(CASE WHEN {c} IS NULL THEN 0 ELSE {size} END) AS BIGINT) AS bytes, {ends}, "
+            f"{'TRUE' if number else 'NULL::BOOLEAN'} AS median_within, "
+            f"(SELECT {{'v': {c}::VARCHAR, 'n': count(*)}} FROM {ORDERS_NULLS} WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY count(*) DESC LIMIT 1) AS top FROM {ORDERS_NULLS}")
+    return (f"SELECT column_name, rows, nulls, bytes, bytes / rows::DOUBLE AS average_length, least, largest, "
+            "first_text, last_text, TRUE AS distinct_within, median_within, "
+            "CASE WHEN top.n > rows / 100.0 THEN top.v END AS top_value, "
+            f"CASE WHEN top.n > rows / 100.0 THEN top.n END AS top_count FROM ({' UNION ALL '.join(parts)})")
+
+
+ORACLE_SQL["merged_statistics"] = _statistics()
+ORACLE_SQL["row_length"] = (
+    f"SELECT max(rows) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes, "
+    f"CAST(sum(bytes) AS DOUBLE) / max(rows) AS average_row_length, CAST(ceil(sum(bytes) / 8192) AS BIGINT) AS blocks "
+    f"FROM ({_statistics()})")

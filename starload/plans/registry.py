@@ -27,12 +27,13 @@ from starload.operators.lookup import (date_lookup, dim_lookup, join_on_keys, mi
                                        semi_members)
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
 from starload.operators.nest import collect_set_by_key, listagg_ordered, nest_children
-from starload.operators.profile import (cluster_advice, fk_containment, functional_dependency, infer_types,
+from starload.operators.profile import (cluster_advice, distinct_counts, fk_containment, functional_dependency, infer_types,
                                         numeric_measures, table_profile)
 from starload.operators.quality import (annotate_rejects, check_violations, count_checks, fk_orphans,
                                         not_null_check, null_key_check, self_fk_orphans, unique_check,
                                         unresolved_fk_check)
 from starload.operators.reconcile import reconcile, reconcile_ranges, set_difference_counts
+from starload.operators.statistics import batch_statistics, merge_statistics, report, row_length
 from starload.plans.load import open_rejects, run_load
 from starload.plans.spec import KEEP, REJECT, Lookup, TableSpec, build_table
 from starload.plans.star import LOAD_TS, build_star, star_sources, star_specs
@@ -243,6 +244,44 @@ def q_table_profile(spark, d):
     return table_profile(_customer_injected(spark, d))
 
 
+def _orders_with_nulls(spark, d) -> DataFrame:
+    return _t(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", inj("o_orderkey", "o_orderstatus").alias("o_orderstatus"),
+        inj("o_orderkey", "o_totalprice").alias("o_totalprice"), "o_orderdate", "o_orderpriority")
+
+
+def _stored_statistics(spark, d) -> DataFrame:
+    """Three batches of orders, each read once, their statistics stored."""
+    path, orders = staging_path(spark, "statistics"), _orders_with_nulls(spark, d)
+    for batch in range(3):
+        batch_statistics(orders.filter(F.col("o_custkey") % 3 == batch)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_merged_statistics(spark, d):
+    """Merged statistics: the exact ones, and whether the estimates keep their bounds."""
+    orders = _orders_with_nulls(spark, d)
+    found = report(merge_statistics(_stored_statistics(spark, d)), quantiles=(0.5,), heavy=1)
+    exact = distinct_counts(orders)
+    medians = {r.column_name: r.quantiles[0] for r in found.filter(F.col("quantiles").isNotNull())
+               .select("column_name", "quantiles").collect()}                 # one number per column
+    below = orders.agg(*[F.try_divide(F.count_if(F.col(c) <= F.lit(m)), F.count(c)).alias(c)
+                         for c, m in medians.items()]).unpivot([], list(medians), "column_name", "share")
+    heavy, often = F.get("heavy_values", F.lit(0)), F.col("rows") / 100
+    return (found.join(exact, "column_name").join(below, "column_name", "left")
+            .withColumn("is_heavy", F.coalesce(heavy["count"] > often, F.lit(False))).select(
+        "column_name", "rows", "nulls", "bytes", "average_length", "least", "largest", "first_text", "last_text",
+        (F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= F.col("distinct_count") * 0.05)
+        .alias("distinct_within"),
+        (F.abs(F.col("share") - 0.5) <= 0.02).alias("median_within"),
+        F.when(F.col("is_heavy"), heavy["item"]).alias("top_value"),
+        F.when(F.col("is_heavy"), heavy["count"]).alias("top_count")))
+
+
+def q_row_length(spark, d):
+    return row_length(merge_statistics(_stored_statistics(spark, d)))
+
+
 def q_fill_mean(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", inj("c_custkey", "c_acctbal").alias("acctbal"))
     return fill_nulls(c, {"acctbal": "mean"}).select("c_custkey", cast_decimal("acctbal", 12, 2).alias("acctbal"))
@@ -630,7 +669,8 @@ QUERIES: dict[str, Query] = {
     "join_multiway_self": q_join_multiway_self, "semi_members": q_semi_members, "append_new_only": q_append_new_only,
     # 2.4
     "listagg_ordered": q_listagg_ordered, "nest_children": q_nest_children,
-    "collect_set_by_key": q_collect_set_by_key, "table_profile": q_table_profile, "fill_mean": q_fill_mean,
+    "collect_set_by_key": q_collect_set_by_key, "table_profile": q_table_profile,
+    "merged_statistics": q_merged_statistics, "row_length": q_row_length, "fill_mean": q_fill_mean,
     # 2.5
     "sort_multi": q_sort_multi, "limit_one": q_limit_one, "set_equality": q_set_equality,
     # 2.6
