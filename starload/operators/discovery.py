@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType, StringType, TimestampNTZType, TimestampType)
 
-from starload.session import materialize
-
 #: Values of one kind are compared with each other, as this type.
 KINDS: dict[str, tuple[str, tuple[type[DataType], ...]]] = {
     "integer": ("bigint", (ByteType, ShortType, IntegerType, LongType)),
@@ -31,7 +29,8 @@ KINDS: dict[str, tuple[str, tuple[type[DataType], ...]]] = {
 NUMERIC = ("integer", "number")
 BITS = 60            # columns in one mask word
 SAMPLE_ROWS = 20_000
-SETS_PER_JOB = 32
+SETS_PER_JOB = 64
+VALUES_PER_CLASS = 20
 
 
 def kind_of(data_type: DataType) -> str | None:
@@ -172,51 +171,77 @@ def fact_ranking(tables: Mapping[str, DataFrame], pairs: DataFrame | None = None
 ColumnSet = tuple[str, ...]
 
 
-def set_counts(df: DataFrame, sets: Iterable[ColumnSet]) -> dict[ColumnSet, int]:
-    """Distinct rows of each set of columns (a null is a value), several sets to a
-    job and one number each."""
+def set_counts(df: DataFrame, sets: Iterable[ColumnSet]) -> tuple[int, dict[ColumnSet, int]]:
+    """Rows, and distinct rows of each set of columns (a null is a value), several
+    sets to a job and one number each.
+
+    A row becomes (set, 128-bit digest) pairs, so whatever the columns' types one
+    hash aggregate over three numbers counts them all.
+    """
     sets, out = list(dict.fromkeys(sets)), {}
+
+    def digest(s: ColumnSet, seed: int) -> Column:
+        cells = [x for c in s for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+        return F.xxhash64(F.lit(seed), *cells) if seed else F.xxhash64(*reversed(cells), F.lit(1))
+
+    rows = df.count() if not sets else 0
     for at in range(0, len(sets), SETS_PER_JOB):
         some = sets[at:at + SETS_PER_JOB]
-        row = df.agg(*[F.count_distinct(F.struct(*[F.col(f"`{c}`") for c in s])).alias(f"n{i}")
-                       for i, s in enumerate(some)]).first()
-        out.update({s: row[i] for i, s in enumerate(some)})
-    return out
+        pairs = df.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("s"), digest(x, 0).alias("a"), digest(x, 7).alias("b"))
+            for i, x in enumerate(some)])))
+        found = {r.s: r for r in pairs.groupBy("s", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("s").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()}
+        rows = found[0].rows if found else 0
+        out.update({x: found[i]["values"] if found else 0 for i, x in enumerate(some)})
+    return rows, out
 
 
 class _Counter:
-    """Row and distinct counts of a table and of a bounded sample of it.
+    """Row and distinct counts of a table and of bounded samples of it.
 
-    The sample holds every row whose digest falls into one residue class, so all
-    copies of a row are in it together.  It only ever refutes: two sampled rows
-    that agree on a set of columns agree in the table as well.
+    A sample only ever refutes: two sampled rows that agree on a set of columns
+    agree in the table as well.  It holds the rows whose value in one column of the
+    set falls into one residue class, so rows that agree on the set are in it
+    together and a witness survives with the sampling share; where that column has
+    few values, the class is of whole rows.
     """
 
     def __init__(self, df: DataFrame, columns: Sequence[str], sample_rows: int):
+        self.columns = list(columns)
         self.df = df.select([F.col(f"`{c}`") for c in columns])
         counts = self.df.agg(F.count(F.lit(1)).alias("rows"),
                              *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
         self.rows = counts[0]
         self.filled = {c: counts[i + 1] == self.rows for i, c in enumerate(columns)}
-        share = max(1, -(-self.rows // sample_rows))
-        self.whole = share == 1
-        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(share)) == 0
-        self.sample = None if self.whole else materialize(self.df.filter(part))
-        self.sample_rows = self.rows if self.whole else self.sample.count()
+        self.share = max(1, -(-self.rows // sample_rows))
         self._known: dict[ColumnSet, int] = {}
-        self._sampled: dict[ColumnSet, int] = {}
+        self.distinct((c,) for c in columns)
 
     def distinct(self, sets: Iterable[ColumnSet]) -> dict[ColumnSet, int]:
         sets = list(sets)
-        self._known.update(set_counts(self.df, [s for s in sets if s not in self._known]))
+        self._known.update(set_counts(self.df, [s for s in sets if s not in self._known])[1])
         return {s: self._known[s] for s in sets}
 
-    def sampled(self, sets: Iterable[ColumnSet]) -> dict[ColumnSet, int]:
-        if self.whole:
-            return self.distinct(sets)
-        sets = list(sets)
-        self._sampled.update(set_counts(self.sample, [s for s in sets if s not in self._sampled]))
-        return {s: self._sampled[s] for s in sets}
+    def _anchor(self, s: ColumnSet) -> str | None:
+        best = max(s, key=lambda c: self._known[(c,)])
+        return best if self._known[(best,)] >= VALUES_PER_CLASS * self.share else None
+
+    def sampled(self, groups: Mapping[ColumnSet, Sequence[ColumnSet]]) -> dict[ColumnSet, tuple[int, list[int]]]:
+        """For each set, sampled rows and, in the same sample, the distinct rows of
+        the sets named with it (which hold its columns)."""
+        if self.share == 1:
+            return {s: (self.rows, [n for _, n in self.distinct(own).items()]) for s, own in groups.items()}
+        by_anchor: dict[str | None, list[ColumnSet]] = {}
+        for s in groups:
+            by_anchor.setdefault(self._anchor(s), []).append(s)
+        out = {}
+        for anchor, mine in by_anchor.items():
+            dealt = F.xxhash64(*[F.col(f"`{c}`") for c in ([anchor] if anchor else self.columns)])
+            rows, counts = set_counts(self.df.filter(F.pmod(dealt, F.lit(self.share)) == 0),
+                                      [x for s in mine for x in groups[s]])
+            out.update({s: (rows, [counts[x] for x in groups[s]]) for s in mine})
+        return out
 
 
 def _comparable(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -250,8 +275,8 @@ def minimal_keys(df: DataFrame, max_size: int = 3, columns: Sequence[str] | None
                        for c in s for rest in [tuple(x for x in s if x != c)])
 
         cells = [s for s in cells if may_be_unique(s)]
-        sampled = counter.sampled(cells)
-        cells = [s for s in cells if sampled[s] == counter.sample_rows]
+        sampled = counter.sampled({s: [s] for s in cells})
+        cells = [s for s in cells if sampled[s][1][0] == sampled[s][0]]
         size.update(counter.distinct(cells))
         keys += [s for s in cells if size[s] == counter.rows]
     return df.sparkSession.createDataFrame([(",".join(s), len(s), counter.rows) for s in keys],
@@ -298,8 +323,10 @@ def minimal_dependencies(df: DataFrame, max_size: int = 2, max_error: float = 0.
     for k in range(1, max_size + 1):
         open_ = [(x, a) for x in combinations(columns, k) for a in columns if a not in x
                  and not any(b == a and set(y) <= set(x) for y, b in found)]
-        sampled = counter.sampled(s for x, a in open_ for s in (x, joined(x, a)))
-        open_ = [(x, a) for x, a in open_ if sampled[x] == sampled[joined(x, a)]]
+        dependents = {x: [a for y, a in open_ if y == x] for x, _ in open_}
+        sampled = counter.sampled({x: [x, *[joined(x, a) for a in own]] for x, own in dependents.items()})
+        open_ = [(x, a) for x, own in dependents.items()
+                 for a, n in zip(own, sampled[x][1][1:]) if n == sampled[x][1][0]]
         counts = counter.distinct(s for x, a in open_ for s in (x, joined(x, a)))
         found += [(x, a) for x, a in open_ if counts[x] == counts[joined(x, a)]]
     out = spark.createDataFrame([(",".join(x), a, len(x), 0, 0.0) for x, a in found], schema)

@@ -490,7 +490,7 @@ def _minimal_dependencies(tables: list[str], most: int, error: str) -> str:
             "AND list_has_all(d.x, h.x))")
 
 
-ORACLE_SQL["minimal_keys"] = _minimal_keys(["customer", "supplier", "part", "orders", "lineitem"], 3)
+ORACLE_SQL["minimal_keys"] = _minimal_keys(["customer", "part", "lineitem"], 3)
 ORACLE_SQL["minimal_dependencies"] = _minimal_dependencies(["part", "customer", "supplier", "nation"], 2, "0.05")
 
 ORACLE_SQL["reject_replay"] = (

@@ -77,7 +77,7 @@ def test_minimal_dependencies_equal_brute_force(table):
 
 def test_counts_treat_a_null_as_a_value(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, None), (2, "x")], "a int, b string")
-    assert set_counts(df, [("a",), ("b",), ("a", "b")]) == {("a",): 2, ("b",): 2, ("a", "b"): 3}
+    assert set_counts(df, [("a",), ("b",), ("a", "b")]) == (4, {("a",): 2, ("b",): 2, ("a", "b"): 3})
 
 
 def test_empty_tables_have_no_keys_and_no_dependencies(table):
