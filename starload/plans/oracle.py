@@ -544,3 +544,32 @@ ORACLE_SQL["row_length"] = (
     f"SELECT max(rows) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes, "
     f"CAST(sum(bytes) AS DOUBLE) / max(rows) AS average_row_length, CAST(ceil(sum(bytes) / 8192) AS BIGINT) AS blocks "
     f"FROM ({_statistics()})")
+
+ORACLE_SQL["curve_write"] = "SELECT * FROM lineitem"
+
+
+def _layout_advice(files: int = 64, probes: int = 20, bits: int = 6) -> str:
+    """The three layouts by ntile, the curve from the bits of both columns' ranks;
+    then the share of files whose ends miss each of the equally frequent ranges."""
+    curve = " | ".join(f"(((a >> {k}) & 1) << {2 * k + 1}) | (((b >> {k}) & 1) << {2 * k})" for k in range(bits))
+    laid = " UNION ALL ".join(
+        f"SELECT '{name}' AS layout, ntile({files}) OVER (ORDER BY {order}) AS f, s, p FROM r"
+        for name, order in (("l_shipdate", "s"), ("l_partkey", "p"), ("l_shipdate,l_partkey", curve)))
+    cuts = " UNION ALL ".join(
+        f"SELECT {'quantile_disc(s, %s)' % (i / probes) if i else 'NULL'} AS slo, "
+        f"{'quantile_disc(s, %s)' % ((i + 1) / probes) if i + 1 < probes else 'NULL'} AS shi, "
+        f"{'quantile_disc(p, %s)' % (i / probes) if i else 'NULL'} AS plo, "
+        f"{'quantile_disc(p, %s)' % ((i + 1) / probes) if i + 1 < probes else 'NULL'} AS phi FROM r"
+        for i in range(probes))
+    shares = " UNION ALL ".join(
+        f"SELECT layout, '{column}' AS column_name, avg(CASE WHEN max_{v} < {v}lo OR min_{v} > {v}hi THEN 1.0 "
+        "ELSE 0.0 END) AS share FROM ends, cuts GROUP BY layout" for column, v in (("l_shipdate", "s"), ("l_partkey", "p")))
+    return (f"WITH r AS (SELECT epoch(l_shipdate) AS s, l_partkey AS p, ntile({1 << bits}) OVER (ORDER BY l_shipdate) - 1 "
+            f"AS a, ntile({1 << bits}) OVER (ORDER BY l_partkey) - 1 AS b FROM lineitem), cuts AS ({cuts}), "
+            "ends AS (SELECT layout, f, min(s) AS min_s, max(s) AS max_s, min(p) AS min_p, max(p) AS max_p "
+            f"FROM ({laid}) GROUP BY layout, f), shares AS ({shares}), "
+            "ranked AS (SELECT *, avg(share) OVER (PARTITION BY layout) AS mean FROM shares) "
+            "SELECT layout, column_name, share >= 0.5 AS skips_half, mean = max(mean) OVER () AS advised FROM ranked")
+
+
+ORACLE_SQL["layout_advice"] = _layout_advice()

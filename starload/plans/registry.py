@@ -22,7 +22,7 @@ from starload.functions.scalar import (cast_decimal, cast_strict, cast_try_defau
 from starload.operators.dims import split_hierarchy
 from starload.operators.discovery import fact_ranking, inclusion_dependencies, minimal_dependencies, minimal_keys
 from starload.operators.keys import assign_surrogate_keys, assign_surrogate_keys_incremental
-from starload.operators.layout import clustered_write
+from starload.operators.layout import clustered_by_curve, clustered_write, layout_advice
 from starload.operators.lookup import (date_lookup, dim_lookup, join_on_keys, missing_dim_default,
                                        semi_members)
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
@@ -621,6 +621,25 @@ def q_clustered_write(spark, d):
     return spark.read.parquet(path)
 
 
+CURVE = ("l_shipdate", "l_partkey")
+
+
+def q_curve_write(spark, d):
+    """Lines stored along the curve, as many rows as before."""
+    path = staging_path(spark, "lineitem_by_curve")
+    clustered_by_curve(_t(spark, d, "lineitem"), CURVE, 32).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_layout_advice(spark, d):
+    """One column each, and both along the curve: which filters skip half of the
+    files at least, and which layout comes first."""
+    li = _t(spark, d, "lineitem")
+    found = layout_advice(li, [[CURVE[0]], [CURVE[1]], CURVE], CURVE)
+    return found.select("layout", "column_name", (F.col("skipped_share") >= 0.5).alias("skips_half"),
+                        (F.col("rnk") == 1).alias("advised"))
+
+
 def q_run_load(spark, d):
     root = staging_path(spark, "warehouse")
     sources = star_sources(spark, d)
@@ -693,5 +712,6 @@ QUERIES: dict[str, Query] = {
     "minimal_dependencies": q_minimal_dependencies, "minimal_keys": q_minimal_keys,
     "inclusion_dependencies": q_inclusion_dependencies, "fact_ranking": q_fact_ranking,
     "fk_containment": q_fk_containment, "fact_candidates": q_fact_candidates, "cluster_advice": q_cluster_advice,
+    "curve_write": q_curve_write, "layout_advice": q_layout_advice,
     "clustered_write": q_clustered_write, "run_load": q_run_load, "reject_replay": q_reject_replay,
 }
