@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,18 +29,24 @@ def with_chunks(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str],
 
     Global positions in (parent, order keys) order come from the
     distributed surrogate-key numbering (range partitioning splits a hot
-    parent over many tasks); a parent's first position is a partial ``min``
-    aggregate.  ``chunk = (position - first) div chunk_size``.
+    parent over many tasks).  A parent's first position is taken per (parent,
+    task) and then over the few tasks that hold the parent; the join back is on
+    (parent, task), so no key of it holds more rows than one task does.
+    ``chunk = (position - first) div chunk_size``.
     """
     from starload.operators.keys import assign_surrogate_keys
 
-    numbered = assign_surrogate_keys(df, [*group_by, *order_by], sk="__pos")
-    first = numbered.groupBy(*[F.col(g).alias(f"__g_{g}") for g in group_by]).agg(F.min("__pos").alias("__first"))
-    same = None
-    for g in group_by:                       # a null parent is a parent
-        c = F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-        same = c if same is None else same & c
-    return (numbered.join(first, same).drop(*[f"__g_{g}" for g in group_by])
+    # The numbered frame reads a checkpoint: its partitions are the same in both branches.
+    numbered = assign_surrogate_keys(df, [*group_by, *order_by], sk="__pos").withColumn("__task", F.spark_partition_id())
+    names = [f"__g_{g}" for g in group_by]
+    parent = Window.partitionBy(*names)
+    first = (numbered.groupBy(*[F.col(g).alias(n) for g, n in zip(group_by, names)],
+                              F.col("__task").alias("__t")).agg(F.min("__pos").alias("__p"))
+             .withColumn("__first", F.min("__p").over(parent)).drop("__p"))
+    same = F.col("__task") == F.col("__t")
+    for g, n in zip(group_by, names):        # a null parent is a parent
+        same = same & F.col(g).eqNullSafe(F.col(n))
+    return (numbered.join(first, same).drop(*names, "__task", "__t")
             .withColumn(chunk_col, ((F.col("__pos") - F.col("__first")) / F.lit(chunk_size)).cast("bigint"))
             .drop("__pos", "__first"))
 

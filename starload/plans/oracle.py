@@ -573,3 +573,8 @@ def _layout_advice(files: int = 64, probes: int = 20, bits: int = 6) -> str:
 
 
 ORACLE_SQL["layout_advice"] = _layout_advice()
+
+ORACLE_SQL["document_relations"] = (
+    "SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST((row_number() OVER (PARTITION BY l_orderkey "
+    "ORDER BY l_linenumber, l_partkey) - 1) % 10000 AS INTEGER) AS position, l_linenumber AS line, "
+    "l_partkey AS part_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey")

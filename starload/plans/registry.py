@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from starload.functions.scalar import (cast_decimal, cast_strict, cast_try_default, ci_equals, fill_min_date,
                                        fill_text, fill_zero, flag_decode, iso_text, parse_date, split_array)
@@ -38,6 +38,7 @@ from starload.plans.load import open_rejects, run_load
 from starload.plans.spec import KEEP, REJECT, Lookup, TableSpec, build_table
 from starload.plans.star import LOAD_TS, build_star, star_sources, star_specs
 from starload.session import staging_path
+from starload.sources.documents import read_documents, relations
 from starload.sources.json_io import read_json, write_json
 from starload.sources.published import Warehouse
 from starload.sources.tables import read_table
@@ -124,6 +125,35 @@ def q_json_roundtrip(spark, d):
     return read_json(spark, path, CUSTOMER_SCHEMA)
 
 
+CATALOG = StructType([
+    StructField("table_name", StringType()), StructField("batch", IntegerType()),
+    StructField("rows", ArrayType(StructType([
+        StructField("order_id", LongType()), StructField("customer", StructType([StructField("id", LongType())])),
+        StructField("lines", ArrayType(StructType([
+            StructField("line", IntegerType()), StructField("part_id", LongType())])))])))])
+
+
+def q_document_relations(spark, d):
+    """Orders with their lines as nested documents over many lines, a bounded
+    number of orders to a document, read back and taken apart into relations."""
+    path = staging_path(spark, "documents")
+    fields = ["l_linenumber", "l_partkey"]
+    lines = nest_children(_t(spark, d, "lineitem"), "l_orderkey", fields, fields, alias="lines", chunk_size=NEST_CHUNK)
+    orders = (_t(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+              .select(F.floor(F.col("o_orderkey") / 5000).cast("int").alias("batch"), F.struct(
+                  F.col("o_orderkey").alias("order_id"), F.struct(F.col("o_custkey").alias("id")).alias("customer"),
+                  F.transform("lines", lambda x: F.struct(x["l_linenumber"].alias("line"), x["l_partkey"].alias("part_id")))
+                  .alias("lines")).alias("r")))
+    documents = orders.groupBy("batch").agg(F.array_sort(F.collect_list("r")).alias("rows")).select(
+        "batch", F.to_json(F.struct(F.lit("orders").alias("table_name"), "batch", "rows"), {"pretty": "true"}).alias("text"))
+    documents.write.option("lineSep", "\n").partitionBy("batch").text(path)      # one document to a folder
+    read, _ = read_documents(spark, f"{path}/*", CATALOG)
+    found = relations(read, ["batch"], "orders")
+    parents = found["orders.rows"].select("batch", "rows_pos", "order_id", F.col("customer.id").alias("customer_id"))
+    return found["orders.rows.lines"].join(parents, ["batch", "rows_pos"]).select(
+        "order_id", "customer_id", F.col("lines_pos").alias("position"), "line", "part_id")
+
+
 # ---------------------------------------------------------------- 2.2 projection, filter
 
 def q_map_columns(spark, d):
@@ -679,6 +709,7 @@ QUERIES: dict[str, Query] = {
     # 2.1
     "dim_readback": q_dim_readback, "append_by_name": q_append_by_name, "snowflaked_chain": q_snowflaked_chain,
     "nested_json": q_nested_json, "json_roundtrip": q_json_roundtrip,
+    "document_relations": q_document_relations,
     # 2.2
     "map_columns": q_map_columns, "audit_column": q_audit_column, "conform_schema": q_conform_schema,
     "missing_dim_default": q_missing_dim_default, "filter_not_like": q_filter_not_like,
