@@ -22,10 +22,12 @@ def read_documents(spark: SparkSession, path: str, schema: StructType) -> tuple[
     """(documents, unreadable): the documents below ``path``, and (file, text) of
     those that the schema does not fit."""
     declared = StructType([*schema.fields, StructField(BAD, StringType())])
-    read = (spark.read.schema(declared).option("multiLine", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", BAD).json(path).withColumn("_file", F.input_file_name()))
-    good = read.filter(F.col(BAD).isNull()).drop(BAD, "_file")
-    return good, read.filter(F.col(BAD).isNotNull()).select(F.col("_file").alias("file"), F.col(BAD).alias("text"))
+    text = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    parsed = F.from_json("value", declared, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+    read = text.withColumn("doc", parsed)
+    good = F.col(f"doc.{BAD}").isNull() & F.col("doc").isNotNull()
+    return (read.filter(good).select(*[F.col("doc")[f.name].alias(f.name) for f in schema.fields]),
+            read.filter(~good).select("file", F.col("value").alias("text")))
 
 
 def relations(documents: DataFrame, keys: Sequence[str], name: str = "document") -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from starload.operators.nest import with_chunks
 from starload.sources.documents import read_documents, relations
 from pyspark.sql.types import StructType
 
-SCHEMA = StructType.fromDDL(
+SCHEMA = (
     "schema string, tables array<struct<name: string, owner: struct<id: int>, "
     "columns: array<struct<name: string, tags: array<string>>>>>")
 
@@ -23,7 +23,7 @@ def test_documents_become_relations(spark, tmp_path):
     for i, doc in enumerate(catalog):
         (tmp_path / f"{i}.json").write_text(json.dumps(doc, indent=2, ensure_ascii=False))
     (tmp_path / "broken.json").write_text('{\n "schema": "hr",\n "tables": [')
-    docs, bad = read_documents(spark, str(tmp_path), SCHEMA)
+    docs, bad = read_documents(spark, str(tmp_path), StructType.fromDDL(SCHEMA))
     assert docs.columns == ["schema", "tables"] and docs.count() == 3
     row = bad.first()
     assert row.file.endswith("broken.json") and row.text.startswith("{") and bad.count() == 1
