@@ -1,9 +1,8 @@
 """Nested JSON documents as relations.
 
 A document is one JSON value over many lines, a file each; a folder of them is
-read side by side, one task per document.  The schema is declared, so nothing is
-inferred; a document that does not fit it is kept, with its text, apart from the
-rest.  ``relations`` turns nested arrays into tables: the parent's columns, and
+read side by side.  The schema is declared, so nothing is inferred; a file that
+is no JSON is kept, with its text, apart from the rest.  ``relations`` turns nested arrays into tables: the parent's columns, and
 per array one row per element with the parent's keys and the element's position.
 """
 
@@ -13,21 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
-
-BAD = "_unreadable"
+from pyspark.sql.types import ArrayType, StructType
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """(documents, unreadable): the documents below ``path``, and (file, text) of
-    those that the schema does not fit."""
-    declared = StructType([*schema.fields, StructField(BAD, StringType())])
-    text = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
-    parsed = F.from_json("value", declared, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
-    read = text.withColumn("doc", parsed)
-    good = F.col(f"doc.{BAD}").isNull() & F.col("doc").isNotNull()
-    return (read.filter(good).select(*[F.col("doc")[f.name].alias(f.name) for f in schema.fields]),
-            read.filter(~good).select("file", F.col("value").alias("text")))
+    the files that hold no JSON.  A field of another type than declared is null."""
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    good = F.try_parse_json("value").isNotNull()
+    documents = text.filter(good).select(F.from_json("value", schema).alias("doc"))
+    return (documents.select(*[F.col("doc")[f.name].alias(f.name) for f in schema.fields]),
+            text.filter(~good).select("file", F.col("value").alias("text")))
 
 
 def relations(documents: DataFrame, keys: Sequence[str], name: str = "document") -> dict[str, DataFrame]:
