@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 from starload.operators.layout import clustered
 from starload.operators.lookup import anti_members
 from starload.operators.mapping import add_audit_column, conform_schema
-from starload.operators.quality import LoadCheckError
+from starload.operators.quality import LoadCheckError, count_checks
 from starload.plans.spec import (REASONS, REJECT, TableSpec, any_of, dependency_levels, finished, mapped_rows,
                                  plan_table, run_level, split_rejected, topological_order)
 from starload.sources.published import Warehouse
@@ -93,6 +93,10 @@ def _load_dimension(wh: Warehouse, spec: TableSpec, sources: Mapping[str, DataFr
         mapped = mapped.unionByName(waiting.select(f"{SOURCE}.*"))
     parents = {p: _parent(wh, p) for p in spec.parents}
     plan = plan_table(spec, mapped, parents, existing, source_col=SOURCE if _rejects(spec) else None)
+    if plan.fail:
+        bad = {n: v for n, v in count_checks(plan.df, plan.fail, rows_col=None).first().asDict().items() if v}
+        if bad:
+            raise LoadCheckError(f"{spec.target}: {bad}")
     valid, rejected = split_rejected(spec, plan, plan.df)
     if rejected is not None:
         if waiting is not None:       # still waiting: noted already

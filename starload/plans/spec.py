@@ -156,10 +156,10 @@ def plan_table(spec: TableSpec, mapped: DataFrame, dims: Mapping[str, DataFrame
                source_col: str | None = None) -> Planned:
     """Look up and judge every mapped row; number a dimension's valid rows.
 
-    A dimension's keys are numbered after all rejects, so stored keys are dense:
-    rejected rows are ordered behind the valid ones in the same numbering.  That
-    numbering is the one evaluation of the plan; every fail-mode rule is counted in
-    its per-partition job, and the load stops before anything is written.
+    Where lookups or checks can reject, a dimension is numbered after them, so
+    stored keys are dense: rejected rows are ordered behind the valid ones in the
+    same numbering, and fail-mode rules are counted in its per-partition job.
+    Otherwise it is numbered first, which spares the range sampling the lookups.
     ``source_col`` keeps the mapped row as a struct (columns named ``__...`` are
     carried through, but are no part of it).
     """
@@ -198,6 +198,31 @@ def plan_table(spec: TableSpec, mapped: DataFrame, dims: Mapping[str, DataFrame
             keyed = anti_members(keyed, existing, spec.business_key)
             start = F.coalesce(existing.select(F.max(F.col(spec.sk))).scalar(), F.lit(0)) + F.lit(1)
         df = keyed
+    late = is_dim and (any(lk.on_missing == REJECT for lk in spec.lookups)
+                       or bool(spec.checks) and spec.on_check == REJECT)
+
+    def number(df: DataFrame, checks: dict[str, Column], refused: Column | None) -> DataFrame:
+        # Counted per source row (nulls) and per key (differing rows); a key already
+        # stored keeps its stored row and is not numbered again.
+        if spec.on_null_key == FAIL:
+            checks["null_business_key"] = F.sum(F.when(null, F.col(COPIES)))
+        if spec.on_duplicate_key == FAIL:
+            checks["duplicate_business_key"] = F.count_if(F.col(CONFLICT) & ~null)
+        apart = {} if refused is None else {"refused": F.count_if(refused)}
+        sk_stats: dict = {}
+        # Unique after de-duplication: no tie breaker needed.
+        df = assign_surrogate_keys(df, [*([] if refused is None else [refused]), *spec.business_key], sk=spec.sk,
+                                   start=start, stats=sk_stats, tiebreak=False, checks={**checks, **apart},
+                                   scratch=(COPIES, CONFLICT))
+        bad = {n: sk_stats[n] for n in checks if sk_stats[n]}
+        if bad:
+            raise LoadCheckError(f"{spec.target}: {bad}")
+        if stats is not None:
+            stats["rows"] = sk_stats["rows"] - sk_stats.get("refused", 0)
+        return df
+
+    if is_dim and not late:
+        df = number(df, {}, None)
     if source_col:
         df = df.withColumn(source_col, source)
         key_rejects = [r.withColumn(source_col, source) for r in key_rejects]
@@ -225,27 +250,9 @@ def plan_table(spec: TableSpec, mapped: DataFrame, dims: Mapping[str, DataFrame
     df = df.drop(*[c for c in df.columns if c.startswith("__st_")])
     fail = {n: F.array_contains(F.col(REASONS), n) for n, m in modes.items() if m == FAIL}
     rejecting = [n for n, m in modes.items() if m == REJECT]
-    if not is_dim:
+    if not late:
         return Planned(df, fail, rejecting, key_rejects)
-
-    # Counted per source row (nulls) and per key (differing rows); a key already
-    # stored keeps its stored row and is not numbered again.
-    checks = {n: F.count_if(c) for n, c in fail.items()}
-    if spec.on_null_key == FAIL:
-        checks["null_business_key"] = F.sum(F.when(null, F.col(COPIES)))
-    if spec.on_duplicate_key == FAIL:
-        checks["duplicate_business_key"] = F.count_if(F.col(CONFLICT) & ~null)
-    refused = any_of(rejecting)
-    sk_stats: dict = {}
-    # Unique after de-duplication: no tie breaker needed.
-    df = assign_surrogate_keys(df, [*([refused] if rejecting else []), *spec.business_key], sk=spec.sk, start=start,
-                               stats=sk_stats, tiebreak=False,
-                               checks={**checks, "refused": F.count_if(refused)}, scratch=(COPIES, CONFLICT))
-    bad = {n: sk_stats[n] for n in checks if sk_stats[n]}
-    if bad:
-        raise LoadCheckError(f"{spec.target}: {bad}")
-    if stats is not None:
-        stats["rows"] = sk_stats["rows"] - sk_stats["refused"]
+    df = number(df, {n: F.count_if(c) for n, c in fail.items()}, any_of(rejecting))
     return Planned(df, {}, rejecting, key_rejects)
 
 
