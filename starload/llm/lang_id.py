@@ -9,14 +9,18 @@ weighted by their bytes.
 
 The training sample is at most about ``SAMPLE_DOCS`` documents, the same number
 per language, chosen by a hash of doc_id, with up to ``WINDOWS_PER_DOC`` evenly
-spaced windows each.
+spaced windows each.  The languages are the ``MAX_LANGUAGES`` most frequent labels
+of the whole table, equal counts in the order of the labels; rarer ones are not
+learned, and their documents are predicted as any others.
 
 For prediction the filters are expanded to tables over byte pairs, so a
 position costs two table rows instead of nine.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0,
-as does everything if nothing is labelled; null lang or doc_id is not learned
-from; each input row gives one result row.
+as does everything if nothing is labelled, or a table without rows; null lang or
+doc_id is not learned from; equal probabilities give the first language in the
+order of the labels; very long texts are cut into windows over their whole length;
+each input row gives one result row, repeated rows the same one.
 """
 
 from __future__ import annotations
@@ -146,14 +150,13 @@ def held_out(mod: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, mod: int = 4, sample: int = SAMPLE_DOCS) -> ByteCnn | None:
-    """Train on a bounded sample of the labelled documents that are not held out."""
+def fit(docs: DataFrame, mod: int = 4, sample: int = SAMPLE_DOCS, languages: int = MAX_LANGUAGES) -> ByteCnn | None:
+    """Train on a bounded sample of the labelled documents that are not held out, in
+    the most frequent ``languages`` labels."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                            & F.col("doc_id").isNotNull() & ~held_out(mod))
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-              .limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+              .orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not counts:
         return None
     quota = max(sample // len(counts), 1)
