@@ -159,11 +159,57 @@ def test_passages_link_all_holders(docs_of):
     assert got[21].n_repeat_words >= 140 and {r.group_id for r in got.values()} == {0}
 
 
+def test_passages_whose_runs_occur_elsewhere(docs_of):
+    passage = prose(3, 66).split()
+
+    def around(name):
+        # every run of three words of the passage alone, nine times on either side
+        runs = [passage[i:i + 3] for i in range(64) for _ in range(9)]
+        random.Random(name).shuffle(runs)
+        return " ".join(w for k, r in enumerate(runs) for w in (*r, f"{name}{k}"))
+
+    docs = [(i, f"{around(f'l{i}')} {' '.join(passage)} {around(f'r{i}')}", "en", "s", 0) for i in (1, 2)]
+    got = {r.doc_id: r for r in fuzzy_passages.repeated_passages(docs_of(docs)).collect()}
+    assert [got[i].n_links for i in (1, 2)] == [1, 1]
+    assert all(any(s.lo <= 64 * 9 * 4 and s.hi >= 64 * 9 * 4 + 66 for s in got[i].spans) for i in (1, 2))
+
+
+def test_matches_are_all_of_them(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, y = (rng.integers(0, 3, 90).astype(np.uint64) * np.uint64(77777) for _ in range(2))
+    y[20:60] = x[10:50]
+    runs = {(i, j) for i in range(88) for j in range(88) if (x[i:i + 3] == y[j:j + 3]).all()}
+    monkeypatch.setattr(fuzzy_passages, "THIN", 1)
+    monkeypatch.setattr(fuzzy_passages, "BLOCK", 37)
+    assert [tuple(m) for m in fuzzy_passages.matches(x, y).tolist()] == sorted(runs)
+    monkeypatch.undo()
+    ends = {(i, j) for i, j in runs if (i - 1, j - 1) not in runs or (i + 1, j + 1) not in runs}
+    assert ends <= {tuple(m) for m in fuzzy_passages.matches(x, y).tolist()} <= runs
+    word = np.full(20_000, 5, dtype=np.uint64)
+    assert len(fuzzy_passages.matches(word, word)) < 40 * len(word)
+
+
+def test_extension_has_no_end_of_its_own():
+    x = np.arange(10_000, dtype=np.uint64)
+    assert fuzzy_passages.align(x, x, np.array([0]), np.array([0])) == (0, 10_000, 0, 10_000, 10_000)
+
+
 def test_chains_take_the_ordered_matches():
     a, b = np.array([0, 10, 20, 30]), np.array([5, 15, 2, 35])
     assert [c.tolist() for c in fuzzy_passages.chains(a, b)][0] == [0, 1, 3]
 
 
+def test_rare_labels_are_not_learned(docs_of):
+    rows = [(i, f"text of number {i}", lang, "s", 0)
+            for i, lang in enumerate(["aa"] * 40 + ["bb"] * 30 + ["cc"] * 20 + [f"x{j}" for j in range(600)])]
+    docs = docs_of(rows)
+    assert lang_id.fit(docs, languages=2).classes == ["aa", "bb"]
+    model = lang_id.fit(docs)
+    assert len(model.classes) <= lang_id.MAX_LANGUAGES and {"aa", "bb", "cc"} <= set(model.classes)
+    got = lang_id.predict(docs, lang_id.fit(docs, languages=2), "doc_id").collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got} <= {"aa", "bb"}
+
+
 def test_language(spark, docs_of):
     rng = random.Random(0)
     make = lambda words: " ".join(rng.choice(words) for _ in range(60))
@@ -175,6 +221,7 @@ def test_language(spark, docs_of):
     odd = docs_of([(1, None, None, None, None), (2, "123 ²", None, None, None)])
     assert [(r.lang_pred, r.score) for r in lang_id.predict(odd, model, "doc_id").collect()] == [("und", 0.0)] * 2
     assert lang_id.fit(empty(docs)) is None
+    assert lang_id.predict(empty(docs), model, "doc_id").count() == 0
 
 
 def test_lattice(documents, rows):
