@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -337,6 +338,50 @@ def test_leaks_at_every_offset_and_share(spark, docs_of):
     assert len(want) > 600 and got >= want and all(doc // 68 == item for doc, item in got)
 
 
+def subsequence(x, y):
+    """Length of the longest common subsequence, by its table."""
+    t = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, a in enumerate(x):
+        for j, b in enumerate(y):
+            t[i + 1][j + 1] = t[i][j] + 1 if a == b else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
+def test_latent_cosine_finds_paraphrases_by_itself(spark, docs_of, monkeypatch):
+    """Recall of the cosine search alone, against a scan that shares no code with it."""
+    rng, docs, items, want = random.Random(5), [], [], set()
+    for i, n in enumerate([16, 20, 30, 45, 60, 100]):
+        item = prose(300 + i, n, 900).split()
+        items.append((i, " ".join(item)))
+        for offset in range(12):
+            for share in (1.0, 0.7, 0.62):
+                front = set(rng.sample(range(n - max(n // 4, 1)), round(n * (1 - share))))
+                copy = [prose(rng.random(), 1, 900) if j in front else w for j, w in enumerate(item)]
+                text = prose(rng.random(), 40 + offset, 900).split() + copy + prose(rng.random(), 60, 900).split()
+                docs.append((len(docs), " ".join(text), "en", "s", 0))
+    for doc, text, *_ in docs:
+        item = items[doc // 36][1].split()
+        n, words = len(item), text.split()
+        for at in range(0, len(words) - n + 1):
+            part = words[at:at + n]
+            if sum(w in part for w in item) >= 0.6 * n:
+                share, answer = subsequence(item, part) / n, subsequence(item[n - n // 4:], part) / (n // 4)
+                if share >= 0.75 or share >= 0.6 and answer >= 0.75:
+                    want.add((doc, doc // 36))
+                    break
+    none = np.zeros(0, dtype=np.int64)
+    monkeypatch.setattr(decontaminate, "_candidates", lambda *_: (none, none))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    space, idf = decontaminate.latent_space(docs_of(docs).select("text"))
+    block = decontaminate.Items(items, space, idf)
+    hashes, columns, off = decontaminate.terms_of(pa.array([d[1] for d in docs]))
+    got = {(r, i) for r, i in decontaminate._search(block, space, hashes, columns, off)}
+    assert len(want) > 200 and len(got & want) >= 0.9 * len(want) and all(d // 36 == i for d, i in got)
+    # without the space there is nothing to find, so the cosine is what found them
+    assert not decontaminate._search(decontaminate.Items(items, space * 0, idf), space * 0, hashes, columns, off)
+    assert decontaminate.leaked_pairs(empty(docs_of(docs)), bench).count() == 0
+
+
 def test_leaks_of_short_items_and_unspaced_scripts(spark, docs_of):
     han, kana, thai = "北京是中国的首都吗？答案是对的。", "東京タワーの高さは何メートルですか？", "ประเทศไทยมีกี่จังหวัด"
     items = [(1, "Who wrote Faust?"), (2, "zyzzyva"), (3, han), (4, kana), (5, thai), (6, "？！"), (7, "“Why” — not w5q now")]
