@@ -46,9 +46,9 @@ TERMS, RANK, PASSAGE = 1 << 14, 32, 32
 LEAST, LONGEST = 8, 120
 ITEMS = 2048
 COPY, PARAPHRASE, ANSWER = 0.75, 0.6, 0.75
-WINDOWS = (8, 12, 16, 24, 32, 44, 64, 88, 120)   # terms; an item takes the nearest by ratio
-COSINE, SHARED = 0.5, 0.4     # of a window with an item in the latent space, and of its terms
-STRETCH = 1 << 16              # terms whose windows are compared at once
+WINDOWS = (8, 12, 16, 24, 32, 48, 64, 96, 128)   # terms, 4 or 6 blocks; an item takes the nearest by ratio
+COSINE, SHARED = 0.5, 0.45    # of a window with an item in the latent space, and of its terms
+STRETCH = 1 << 13              # terms whose windows are compared at once
 
 IS_TERM = np.zeros(256, dtype=bool)
 IS_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -198,6 +198,11 @@ def anchors(item: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, int]:
     return np.argsort(-rarity, kind="stable")[:n - least + need], need
 
 
+def window_of(n: int) -> int:
+    """Size of the windows an item of ``n`` terms is compared with; 0 for short ones."""
+    return 0 if n < LEAST else min(WINDOWS, key=lambda size: abs(np.log(n / size)))
+
+
 class Items:
     """A block of the query set, as pieces, with the index from anchor terms to
     pieces."""
@@ -206,14 +211,13 @@ class Items:
         self.ids, self.hashes, self.need = [], [], []
         column = pa.array([t or "" for _, t in rows], pa.string())
         hashes, columns, off = terms_of(column)
-        keys, pieces_of, places, latent = [], [], [], []
+        keys, pieces_of, places, latent, parts = [], [], [], [], []
         for i, (item, _) in enumerate(rows):
             a, n = int(off[i]), int(off[i + 1] - off[i])
             pieces = max(1, -(-n // LONGEST))
-            for p in range(pieces):
-                lo, hi = a + n * p // pieces, a + n * (p + 1) // pieces
-                if hi == lo:
-                    continue
+            parts += [(item, a + n * p // pieces, a + n * (p + 1) // pieces) for p in range(pieces)]
+        for item, lo, hi in sorted(parts, key=lambda x: window_of(x[2] - x[1])):
+            if hi > lo:
                 own = hashes[lo:hi]
                 at, need = anchors(own, idf[columns[lo:hi]])
                 own_keys, first = np.unique(own[at], return_index=True)
@@ -233,16 +237,18 @@ class Items:
         self.keys, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.piece = np.concatenate(pieces_of)[order] if keys else np.zeros(0, dtype=np.int64)
         self.place = np.concatenate(places)[order] if keys else np.zeros(0, dtype=np.int64)
-        ratio = np.abs(np.log(np.maximum(self.length, 1)[:, None] / np.array(WINDOWS)))
-        nearest = ratio.argmin(axis=1) if len(self.ids) else np.zeros(0, dtype=np.int64)
-        self.by_window = {size: np.flatnonzero((nearest == k) & (self.length >= LEAST))
-                          for k, size in enumerate(WINDOWS)}
-        # by window size, which items hold a term: counts of at most 120 fit a byte
-        self.member = {}
-        for size, own in self.by_window.items():
-            self.member[size] = np.zeros((TERMS + 1, len(own)), dtype=np.uint8)
-            for i, piece in enumerate(own):
-                self.member[size][(self.hashes[piece] >> np.uint64(50)).astype(np.int64), i] = 1
+        # Pieces ascend by their window, so a window's pieces are a slice; which of them
+        # hold a term is counted in bytes, as no window is beyond 255 terms.
+        self.member = np.zeros((TERMS + 1, len(self.ids)), dtype=np.uint8)
+        for i, own in enumerate(self.hashes):
+            self.member[(own >> np.uint64(50)).astype(np.int64), i] = 1
+        kind = np.array([window_of(n) for n in self.length.tolist()], dtype=np.int64)
+        self.by_window = []
+        for size in WINDOWS:
+            own = slice(*np.searchsorted(kind, (size, size + 1)).tolist())
+            if own.stop > own.start:
+                need = np.ceil(SHARED * self.length[own]).astype(np.uint8)
+                self.by_window.append((size, own, need))
         self.open = np.zeros(TERMS, dtype=bool)
         self.open[(self.keys >> np.uint64(50)).astype(np.int64)] = True
 
@@ -291,31 +297,40 @@ def _candidates(items: Items, word: np.ndarray, piece: np.ndarray, row: np.ndarr
     return piece[here], (word[here] + word[end]) // 2
 
 
-def _window_sums(rows: np.ndarray, hop: int) -> np.ndarray:
-    """Sums over every four neighbouring blocks of ``hop`` rows."""
-    blocks = rows.reshape(-1, hop, rows.shape[1]).sum(axis=1, dtype=rows.dtype)
-    return blocks[:-3] + blocks[1:-2] + blocks[2:-1] + blocks[3:]
+def _paired(rows: np.ndarray) -> np.ndarray:
+    return rows[0::2] + rows[1::2]
+
+
+def _windows(blocks: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Sums over ``size`` neighbouring blocks, for the first ``n`` starts."""
+    out = blocks[:n] + blocks[1:n + 1]
+    for i in range(2, size):
+        out += blocks[i:n + i]
+    return out
 
 
 def latent_candidates(items: Items, space: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(piece, middle word) of the windows near an item in the latent space.  Windows
-    lie on one grid over all rows; the row of its middle is the one looked at."""
+    lie on one grid over all rows; the row of its middle is the one looked at.
+    Blocks of neighbouring terms are summed once and paired for the larger windows."""
     pieces, middles = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    used = [(size, own) for size, own in items.by_window.items() if len(own)]
-    for lo in range(0, len(columns), STRETCH):
-        part = columns[lo:lo + STRETCH + WINDOWS[-1]].astype(np.int64)
+    beyond = -(-(STRETCH + 2 * WINDOWS[-1]) // 64) * 64
+    for lo in range(0, len(columns) if items.by_window else 0, STRETCH):
+        part = columns[lo:lo + beyond].astype(np.int64)
         n = min(len(part), STRETCH)
-        for size, own in used:
-            hop = size // 4
+        whole = -(-(n + 2 * WINDOWS[-1]) // 64) * 64         # zero rows stand beyond the end
+        part = np.append(part, np.full(max(whole - len(part), 0), TERMS))[:whole]
+        seen, held, hop = _paired(space.take(part, axis=0)), _paired(items.member.take(part, axis=0)), 2
+        for size, own, need in items.by_window:
+            while 4 * hop < size and 6 * hop < size:
+                seen, held, hop = _paired(seen), _paired(held), 2 * hop
             starts = -(-n // hop)
-            none = np.full(max((starts + 3) * hop - len(part), 0), TERMS)
-            words = np.append(part, none)[:(starts + 3) * hop]
-            seen = _window_sums(space.take(words, axis=0), hop)
-            seen /= np.maximum(np.linalg.norm(seen, axis=1, keepdims=True), 1e-12)
-            held = _window_sums(items.member[size].take(words, axis=0), hop)
-            near = (seen @ items.latent[own].T >= COSINE) & (held >= np.ceil(SHARED * items.length[own]))
-            at, which = np.nonzero(near)
-            pieces.append(own[which])
+            sums = _windows(seen, size // hop, starts)
+            bar = COSINE * np.sqrt(np.maximum(np.einsum("ij,ij->i", sums, sums), 1e-12))
+            near = sums @ items.latent[own].T >= bar[:, None]
+            near &= _windows(held[:, own], size // hop, starts) >= need
+            at, which = np.divmod(np.flatnonzero(near), len(need))
+            pieces.append(own.start + which)
             middles.append(lo + np.minimum(at * hop + size // 2, n - 1))
     return np.concatenate(pieces), np.concatenate(middles)
 
