@@ -138,8 +138,15 @@ def anti_members(df: DataFrame, other: DataFrame, on: str | Sequence[str],
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                 right_keys: Sequence[str] | None = None, how: str = "inner") -> DataFrame:
-    """Equi-join on a composite key given as two aligned column lists."""
+                 right_keys: Sequence[str] | None = None, how: str = "inner", split_hot: bool = False) -> DataFrame:
+    """Equi-join on a composite key given as two aligned column lists.
+
+    A right side that is already distributed by the key, as an aggregate on it,
+    has no exchange in the join, and without one AQE cannot split a hot key of the
+    left side.  ``split_hot=True`` distributes the right side anew (its rows travel
+    twice), so both sides have their own exchange."""
+    if split_hot:
+        right = right.hint("rebalance")
     right_keys = list(right_keys) if right_keys is not None else list(left_keys)
     cond = None
     for lk, rk in zip(left_keys, right_keys):

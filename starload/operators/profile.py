@@ -1,10 +1,13 @@
 """Table profiling and model discovery measured on data.
 
-Exact distinct counts for many columns come from the unpivoted
-(column, value-as-text) pairs: a Generate (no shuffle) and a hash aggregate
-with map-side partial de-duplication, so a hot value collapses before the
-shuffle.  ``approx=True`` uses HyperLogLog++ sketches instead (one pass,
-fixed memory per column) for very wide or very large tables.
+Rows, nulls, minimum and maximum of all columns are one typed aggregate, which
+shuffles one row per task.  Exact distinct counts come apart from them, from the
+unpivoted (column number, value) cells: a Generate (no shuffle) and a hash
+aggregate with map-side partial de-duplication, so a hot value collapses before
+the shuffle.  A cell holds its value typed: whole numbers, dates and times as a
+long, floating numbers as a double, the rest as text.  ``approx=True`` uses
+HyperLogLog++ sketches instead (one pass, fixed memory per column) for very wide
+or very large tables.
 """
 
 from __future__ import annotations
@@ -13,8 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, NumericType, ShortType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, NumericType, ShortType, TimestampNTZType, TimestampType)
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
@@ -33,14 +36,25 @@ def _display_text(df: DataFrame, name: str) -> Column:
     return c.cast("string")
 
 
-def _identity_text(df: DataFrame, name: str) -> Column:
-    """Injective text of a value, for exact distinct counting across columns
-    of different types (-0.0 folded into 0.0 as Spark's grouping does)."""
+def _cell(df: DataFrame, number: int, name: str) -> Column:
+    """(column number, value) of one column, injective within the column."""
     dt = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dt, (DoubleType, FloatType)):
-        c = F.when(c == 0, F.lit(0.0).cast(dt)).otherwise(c)
-    return c.cast("string")
+    whole, real, text = F.lit(None).cast("long"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(dt, (*_INTEGRAL, BooleanType)):
+        whole = c.cast("long")
+    elif isinstance(dt, DateType):
+        whole = F.unix_date(c).cast("long")
+    elif isinstance(dt, TimestampType):
+        whole = F.unix_micros(c)
+    elif isinstance(dt, (DoubleType, FloatType)):
+        real = c.cast("double")
+    elif isinstance(dt, BinaryType):
+        text = F.hex(c)
+    else:
+        text = c.cast("string")
+    return F.struct(F.lit(number).cast("short").alias("k"), c.isNotNull().alias("there"),
+                    whole.alias("whole"), real.alias("real"), text.alias("text"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
@@ -50,64 +64,37 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approx:
     if approx:
         wide = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols])
     else:
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("k"), _identity_text(df, c).alias("v")) for c in cols])).alias("p")
-        ).select("p.k", "p.v").filter(F.col("v").isNotNull()).distinct()
+        cells = (df.select(F.inline(F.array(*[_cell(df, i, c) for i, c in enumerate(cols)])))
+                 .filter("there").select("k", "whole", "real", "text").distinct())
         # Back to one wide row so every column appears, even with 0 values.
-        wide = pairs.agg(*[F.count_if(F.col("k") == F.lit(c)).alias(c) for c in cols])
+        wide = cells.agg(*[F.count_if(F.col("k") == i).alias(c) for i, c in enumerate(cols)])
     return wide.unpivot([], cols, "column_name", "distinct_count").select(
         "column_name", F.col("distinct_count").cast("bigint").alias("distinct_count"))
 
 
 def table_profile(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """A5: one row per column: rows, nulls, distinct, min and max as text.
-
-    One scan: every row is unpivoted to (column, value-as-text) pairs and
-    counted per distinct pair (map-side partial counts, so repeated values
-    -- nulls included -- collapse before the shuffle).  From the pairs one
-    aggregate gives, per column, rows (sum of counts), nulls, distinct
-    values and the typed min/max (the text is cast back to the column type,
-    so 10 sorts after 9).  ``approx=True`` uses sketches instead (one pass,
-    no pair shuffle).
-    """
+    ``approx=True`` counts distinct values by sketches in the same pass; exact
+    counts are an aggregate of their own and meet the rest by column name."""
     cols = list(columns or df.columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if approx:
-        return _table_profile_approx(df, cols)
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), _identity_text(df, c).alias("v")) for c in cols])).alias("p")
-    ).groupBy("p.k", "p.v").agg(F.count(F.lit(1)).alias("n"))
-    aggs = []
-    for i, c in enumerate(cols):
-        mine = F.col("k") == F.lit(c)
-        typed = F.when(mine, F.col("v").cast(types[c]))
-        aggs += [F.sum(F.when(mine, F.col("n"))).alias(f"__r{i}"),
-                 F.sum(F.when(mine & F.col("v").isNull(), F.col("n"))).alias(f"__n{i}"),
-                 F.count_if(mine & F.col("v").isNotNull()).alias(f"__d{i}"),
-                 F.min(typed).alias(f"__lo{i}"), F.max(typed).alias(f"__hi{i}")]
-    wide = pairs.agg(*aggs)
-    return _profile_rows(wide, cols)
-
-
-def _profile_rows(wide: DataFrame, cols: Sequence[str]) -> DataFrame:
-    def nz(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
-
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), nz(f"__r{i}").alias("rows"), nz(f"__n{i}").alias("nulls"),
-                 nz(f"__d{i}").alias("distinct_count"),
-                 _display_text(wide, f"__lo{i}").alias("min_value"),
-                 _display_text(wide, f"__hi{i}").alias("max_value"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.*")
-
-
-def _table_profile_approx(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(F.lit(1)).alias(f"__r{i}"), F.count_if(F.col(c).isNull()).alias(f"__n{i}"),
-                 F.approx_count_distinct(F.col(c)).alias(f"__d{i}"),
                  F.min(F.col(c)).alias(f"__lo{i}"), F.max(F.col(c)).alias(f"__hi{i}")]
-    return _profile_rows(df.agg(*aggs), cols)
+        if approx:
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"__d{i}"))
+    wide = df.agg(*aggs)
+    rows = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"__r{i}").cast("bigint").alias("rows"),
+                 F.col(f"__n{i}").cast("bigint").alias("nulls"),
+                 F.col(f"__d{i}").cast("bigint").alias("distinct_count") if approx else F.lit(0).alias("distinct_count"),
+                 _display_text(wide, f"__lo{i}").alias("min_value"),
+                 _display_text(wide, f"__hi{i}").alias("max_value"))
+        for i, c in enumerate(cols)])))
+    if approx:
+        return rows
+    return (rows.drop("distinct_count").join(distinct_counts(df, cols), "column_name")
+            .select("column_name", "rows", "nulls", "distinct_count", "min_value", "max_value"))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -218,7 +218,7 @@ def q_join_composite(spark, d):
         F.count(F.lit(1)).alias("lines_in_group"),
         F.sum(cast_decimal("l_quantity", 12, 2)).cast(DecimalType(18, 2)).alias("group_quantity"))
     joined = join_on_keys(li.select("l_orderkey", "l_linenumber", "l_partkey"), groups,
-                          ["l_orderkey", "l_linenumber"], ["g_orderkey", "g_linenumber"])
+                          ["l_orderkey", "l_linenumber"], ["g_orderkey", "g_linenumber"], split_hot=True)
     return joined.select("l_orderkey", "l_linenumber", "l_partkey", "lines_in_group", "group_quantity")
 
 

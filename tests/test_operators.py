@@ -233,6 +233,22 @@ def test_profile_and_distincts(spark):
     assert rows(distinct_counts(empty)) == [("v", 0)]
 
 
+def test_profile_of_every_type(spark):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1S, 10L, 0.0D, 1.50BD, true, DATE'2024-01-02', TIMESTAMP'2024-01-02 03:04:05.000001', X'00FF', 'b', 1),
+        (2S, 9L, -0.0D, 1.5BD, true, DATE'2024-01-02', TIMESTAMP'2024-01-02 03:04:05.000002', X'00FE', 'B', 1),
+        (1S, 9L, double('NaN'), null, false, null, null, X'00FF', '', 1),
+        (1S, null, double('NaN'), -2BD, null, DATE'0001-01-01', null, null, null, 1)
+        AS t(small, whole, real, exact, flag, day, at, raw, k, there)""")
+    got = {r.column_name: tuple(r)[1:] for r in table_profile(df).collect()}
+    assert {c: v[2] for c, v in got.items()} == {"small": 2, "whole": 2, "real": 2, "exact": 2, "flag": 2, "day": 2,
+                                                 "at": 2, "raw": 2, "k": 3, "there": 1}
+    assert got["whole"] == (4, 1, 2, "9", "10") and got["day"] == (4, 1, 2, "0001-01-01", "2024-01-02")
+    assert got["exact"] == (4, 1, 2, "-2.00", "1.50") and got["k"] == (4, 1, 3, "", "b")
+    nothing = {r.column_name: tuple(r)[1:] for r in table_profile(df.limit(0)).collect()}
+    assert len(nothing) == 10 and set(nothing.values()) == {(0, 0, 0, None, None)}
+
+
 def test_functional_dependency(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     r = functional_dependency(df, "k", "v").first()

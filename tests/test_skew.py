@@ -11,7 +11,7 @@ the input has many files and row groups).
 import pytest
 from pyspark.sql import functions as F
 
-from starload.operators import assign_surrogate_keys, dim_lookup, fk_orphans
+from starload.operators import assign_surrogate_keys, dim_lookup, fk_orphans, join_on_keys
 
 from locations import SF_ORACLE
 
@@ -63,3 +63,14 @@ def test_fk_orphans_with_hot_key_is_exact_and_split(spark, skewed):
     rows = out.collect()
     assert "skew=true" in final_plan(out)
     assert len(rows) == child.filter(F.col("l_partkey") >= 10**6).count()
+
+
+@pytest.mark.parametrize("split_hot", [True, False])
+def test_join_with_own_aggregate_splits_a_hot_group(skewed, split_hot):
+    """Without an exchange of its own on the aggregate side AQE cannot split."""
+    groups = skewed.groupBy(F.col("l_partkey").alias("g")).agg(F.count("*").alias("n"))
+    out = join_on_keys(skewed, groups, ["l_partkey"], ["g"], split_hot=split_hot)
+    rows = out.collect()
+    assert ("skew=true" in final_plan(out)) == split_hot
+    want = {r.l_partkey: r["count"] for r in skewed.groupBy("l_partkey").count().collect()}
+    assert len(rows) == sum(want.values()) and all(r.n == want[r.l_partkey] for r in rows)
