@@ -44,6 +44,7 @@ MATCH = 200
 SEED = 80
 BATCHES = 4
 _POSITION = np.uint64((1 << 28) - 1)
+STRETCH = 1 << 27              # windows whose anchors are sought at once; their positions fit _POSITION
 
 BLOCK = 16
 
@@ -54,6 +55,19 @@ def row_id() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def smallest(seeds: np.ndarray, width: int) -> np.ndarray:
+    """Position of the smallest of every ``width`` consecutive hashes, leftmost first.
+
+    Hashes are compared by the bits above a position within the stretch, so a text
+    has no greatest length."""
+    out = np.empty(max(len(seeds) - width + 1, 0), dtype=np.int64)
+    for lo in range(0, len(out), STRETCH):
+        part = seeds[lo:lo + STRETCH + width - 1]
+        ranked = (part & ~_POSITION) | np.arange(len(part), dtype=np.uint64)
+        out[lo:lo + STRETCH] = (tx.window_min(ranked, width) & _POSITION).astype(np.int64) + lo
+    return out
+
+
 def anchors(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, tx.PrefixHash, np.ndarray]:
     """Spans of windows with one anchor: (row, first window, last window), the
     prefix hash and the anchor positions, all flat."""
@@ -61,9 +75,7 @@ def anchors(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, tx.Pre
     none = np.zeros(0, dtype=np.int64)
     if len(chunk.data) < MATCH:
         return none, none, none, prefix, none
-    seeds = prefix.windows(SEED)
-    ranked = (seeds & ~_POSITION) | np.arange(len(seeds), dtype=np.uint64)
-    anchor = (tx.window_min(ranked, MATCH - SEED + 1) & _POSITION).astype(np.int64)
+    anchor = smallest(prefix.windows(SEED), MATCH - SEED + 1)
     per = np.maximum(chunk.lengths() - MATCH + 1, 0)
     row = np.repeat(np.arange(chunk.n), per)
     start = np.repeat(chunk.off[:-1] - (np.cumsum(per) - per), per) + np.arange(len(row))
