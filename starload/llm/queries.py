@@ -125,9 +125,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = token_counts.lengths(table(spark, sf_dir, "documents"),
-                                 vocabulary("byte_bpe_50k.tiktoken"), pattern())
-    return token_counts.limits(token_counts.histogram(sizes))
+    return token_counts.answers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
 
 
 @query

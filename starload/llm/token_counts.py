@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.llm._work import extended
+from starload.llm._work import Workspace, extended
 
 BLOCK = 1024      # lengths per block of the two-level suffix sum
 
@@ -81,3 +81,10 @@ def limits(hist: DataFrame) -> DataFrame:
             .withColumn("tokens_cut", F.col("total_tokens") - F.col("tokens_kept"))
             .withColumn("quantile", (F.col("all_docs") - F.col("n_docs_cut")) / F.col("all_docs"))
             .drop("over_tokens"))
+
+
+def answers(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``limits`` of the whole table; the histogram is written once, so every
+    document is encoded once."""
+    with Workspace(docs.sparkSession, "tokens") as ws:
+        return ws.finish(limits(ws.stage(histogram(lengths(docs, path, pattern, text=text)), "histogram")))
