@@ -127,6 +127,24 @@ def test_suffix_removal(documents, rows):
     assert suffix_levels.removal(empty(documents)).count() == 0
 
 
+def test_anchors_do_not_depend_on_the_stretch(monkeypatch):
+    rng = np.random.default_rng(3)
+    seeds = rng.integers(0, 2**64, size=5000, dtype=np.uint64)
+    seeds[1000:1400] = seeds[999]                                  # ties: the leftmost
+    high = seeds >> np.uint64(28)
+    want = [j + int(high[j:j + 121].argmin()) for j in range(5000 - 120)]
+    assert suffix_levels.smallest(seeds, 121).tolist() == want
+    for stretch in (1, 7, 121, 4879, 4880):
+        monkeypatch.setattr(suffix_levels, "STRETCH", stretch)
+        assert suffix_levels.smallest(seeds, 121).tolist() == want
+    assert len(suffix_levels.smallest(seeds[:120], 121)) == 0
+    monkeypatch.undo()
+    monkeypatch.setattr(suffix_levels, "STRETCH", 50)
+    half = np.tile(seeds[:300], 2)                                 # equal windows have equal anchors
+    at = suffix_levels.smallest(half, 121)
+    assert (at[:180] + 300 == at[300:480]).all()
+
+
 def test_passages(documents, texts):
     got = {r.doc_id: r for r in fuzzy_passages.repeated_passages(documents).collect() if r.doc_id is not None}
     assert got[10].group_id == got[11].group_id and got[10].n_links == 1 and got[11].n_repeat_words >= 70
@@ -150,6 +168,16 @@ def test_passages_with_spread_edits(docs_of):
     assert [i for i, r in got.items() if r.n_links != 1 or r.group_id != i // 2 * 2] == []
 
 
+def test_passages_of_copies_come_from_one_document(docs_of):
+    shared = prose(80, 70)
+    first, second = prose(81, 40) + " " + shared, shared + " " + prose(82, 40)
+    docs = [(7, first), (-1, first), (None, first), (-1, first), (9, second), (8, second), (None, prose(83, 70))]
+    got = fuzzy_passages.repeated_passages(docs_of([(i, t, "en", "s", 0) for i, t in docs])).collect()
+    assert sorted((r.class_id, r.copies, r.n_links, r.group_id) for r in got if r.class_id is not None) == (
+        [(-1, 4, 1, -1)] * 4 + [(8, 2, 1, -1)] * 2)
+    assert [(r.doc_id, r.n_links) for r in got if r.class_id is None] == [(None, 0)]
+
+
 def test_passages_link_all_holders(docs_of):
     passage, other = prose(3, 70), prose(4, 60)
     docs = [(i, f"{prose(f'f{i}', 40)} {passage} {prose(f'g{i}', 20)} {other if i in (4, 5) else ''} {prose(f'h{i}', 9)}",
@@ -283,6 +311,32 @@ def test_bpe_equals_library_on_every_latin_letter():
         assert [i for _, part, _ in row for i in part] == want.ids, ascii(text)
 
 
+def test_token_lengths_equal_plain_merging(documents, texts):
+    """Lengths against merging pair by pair, lowest rank first, without the library."""
+    import base64
+
+    import regex
+
+    with open(vocabulary("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+
+    def merged(piece):
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        while len(parts) > 1 and piece not in ranks:
+            best = min((ranks.get(a + b, math.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if best[0] == math.inf:
+                break
+            parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        return 1 if piece in ranks else len(parts)
+
+    want = Counter(sum(merged(p.encode()) for p in regex.findall(pattern(), t or "")) for t in
+                   [r.text for r in documents.collect()])
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    got = token_counts.answers(documents.withColumn("__text", documents.text), path, pattern()).collect()
+    assert {r.context_limit: r.n_docs for r in got} == want
+    assert token_counts.answers(empty(documents), path, pattern()).count() == 0
+
+
 def test_token_limits(documents):
     sizes = [r.n_tokens for r in token_counts.lengths(documents, vocabulary("byte_bpe_50k.tiktoken"), pattern()).collect()]
     hist = token_counts.histogram(token_counts.lengths(documents, vocabulary("byte_bpe_50k.tiktoken"), pattern()))
