@@ -10,8 +10,10 @@ task.  Columns of arrays, structs or maps take no part.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import combinations
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +31,9 @@ KINDS: dict[str, tuple[str, tuple[type[DataType], ...]]] = {
 NUMERIC = ("integer", "number")
 BITS = 60            # columns in one mask word
 SAMPLE_ROWS = 20_000
+SAMPLE_SHARE = 32    # of the rows, one in so many in the largest sample
 SETS_PER_JOB = 64
+DIGESTS_PER_JOB = 1 << 25
 VALUES_PER_CLASS = 20
 
 
@@ -171,9 +175,25 @@ def fact_ranking(tables: Mapping[str, DataFrame], pairs: DataFrame | None = None
 ColumnSet = tuple[str, ...]
 
 
-def set_counts(df: DataFrame, sets: Iterable[ColumnSet]) -> tuple[int, dict[ColumnSet, int]]:
+def _per_job(sets: Sequence[ColumnSet], rows: int | None) -> Iterable[list[ColumnSet]]:
+    """The sets in portions: few to a job where the rows are many, and the shuffle
+    files of one job are let go before the next, so the disk holds a few digests a
+    row however many sets there are."""
+    size = SETS_PER_JOB if rows is None else max(2, min(SETS_PER_JOB, DIGESTS_PER_JOB // max(rows, 1)))
+    for at in range(0, len(sets), size):
+        yield list(sets[at:at + size])
+
+
+def _release(df: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffle files of a finished job."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def set_counts(df: DataFrame, sets: Iterable[ColumnSet],
+               about: int | None = None) -> tuple[int, dict[ColumnSet, int]]:
     """Rows, and distinct rows of each set of columns (a null is a value), several
-    sets to a job and one number each.
+    sets to a job and one number each.  ``about``: the rows, where they are known.
 
     A row becomes (set, 128-bit digest) pairs, so whatever the columns' types one
     hash aggregate over three numbers counts them all.
@@ -185,8 +205,7 @@ def set_counts(df: DataFrame, sets: Iterable[ColumnSet]) -> tuple[int, dict[Colu
         return F.xxhash64(F.lit(seed), *cells) if seed else F.xxhash64(*reversed(cells), F.lit(1))
 
     rows = df.count() if not sets else 0
-    for at in range(0, len(sets), SETS_PER_JOB):
-        some = sets[at:at + SETS_PER_JOB]
+    for some in _per_job(sets, about):
         pairs = df.select(F.inline(F.array(*[
             F.struct(F.lit(i).alias("s"), digest(x, 0).alias("a"), digest(x, 7).alias("b"))
             for i, x in enumerate(some)])))
@@ -194,9 +213,41 @@ def set_counts(df: DataFrame, sets: Iterable[ColumnSet]) -> tuple[int, dict[Colu
                  .groupBy("s").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()}
         rows = found[0].rows if found else 0
         out.update({x: found[i]["values"] if found else 0 for i, x in enumerate(some)})
+        if len(some) < len(sets):
+            _release(df)
     return rows, out
 
 
+def _repeated(df: DataFrame, s: ColumnSet) -> bool:
+    """Whether two rows agree on the columns, by their values."""
+    cells = [F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(s)]
+    return not df.groupBy(*cells).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def unique_sets(df: DataFrame, sets: Iterable[ColumnSet], about: int | None = None) -> set[ColumnSet]:
+    """The sets of null-free columns on which no two rows agree, judged on all rows.
+
+    Rows with different 64-bit digests differ, so a set whose digests are all
+    different is unique and one number a row is all that is shuffled.  A digest met
+    twice is looked up: the rows that have it are compared by value, and should they
+    differ, all rows are.  For sets that samples did not refute: their digests hardly
+    repeat, so they are dealt out by digest first and grouped only then; grouping
+    before the shuffle would fill memory and save nothing.
+    """
+    sets, out = list(dict.fromkeys(sets)), set()
+    for some in _per_job(sets, about):
+        digest = {x: F.xxhash64(*[F.col(f"`{c}`") for c in x]) for x in some}
+        one = df.select(F.inline(F.array(*[F.struct(F.lit(i).cast("short").alias("s"), digest[x].alias("h"))
+                                           for i, x in enumerate(some)])))
+        twice = {r.s: r.h for r in one.repartition("s", "h").groupBy("s", "h").agg(F.count(F.lit(1)).alias("n"))
+                 .filter("n > 1").groupBy("s").agg(F.min("h").alias("h")).collect()}
+        for i, x in enumerate(some):
+            if i not in twice or not (_repeated(df.filter(digest[x] == F.lit(twice[i])), x) or _repeated(df, x)):
+                out.add(x)
+        _release(df)
+    return out
+
+
 class _Counter:
     """Row and distinct counts of a table and of bounded samples of it.
 
@@ -220,29 +271,50 @@ class _Counter:
 
     def distinct(self, sets: Iterable[ColumnSet]) -> dict[ColumnSet, int]:
         sets = list(sets)
-        self._known.update(set_counts(self.df, [s for s in sets if s not in self._known])[1])
+        self._known.update(set_counts(self.df, [s for s in sets if s not in self._known], self.rows)[1])
         return {s: self._known[s] for s in sets}
 
-    def _anchor(self, s: ColumnSet) -> str | None:
+    def _anchor(self, s: ColumnSet, share: int) -> str | None:
         best = max(s, key=lambda c: self._known[(c,)])
-        return best if self._known[(best,)] >= VALUES_PER_CLASS * self.share else None
+        return best if self._known[(best,)] >= VALUES_PER_CLASS * share else None
 
-    def sampled(self, groups: Mapping[ColumnSet, Sequence[ColumnSet]]) -> dict[ColumnSet, tuple[int, list[int]]]:
+    def sampled(self, groups: Mapping[ColumnSet, Sequence[ColumnSet]],
+                share: int | None = None) -> dict[ColumnSet, tuple[int, list[int]]]:
         """For each set, sampled rows and, in the same sample, the distinct rows of
         the sets named with it (which hold its columns)."""
-        if self.share == 1:
+        share = share or self.share
+        if share == 1:
             return {s: (self.rows, [n for _, n in self.distinct(own).items()]) for s, own in groups.items()}
         by_anchor: dict[str | None, list[ColumnSet]] = {}
         for s in groups:
-            by_anchor.setdefault(self._anchor(s), []).append(s)
+            by_anchor.setdefault(self._anchor(s, share), []).append(s)
         out = {}
         for anchor, mine in by_anchor.items():
-            dealt = F.xxhash64(*[F.col(f"`{c}`") for c in ([anchor] if anchor else self.columns)])
-            rows, counts = set_counts(self.df.filter(F.pmod(dealt, F.lit(self.share)) == 0),
-                                      [x for s in mine for x in groups[s]])
+            rows, counts = self._in_class(anchor, share, [x for s in mine for x in groups[s]])
             out.update({s: (rows, [counts[x] for x in groups[s]]) for s in mine})
         return out
 
+    def _in_class(self, anchor: str | None, share: int, sets: Sequence[ColumnSet]) -> tuple[int, dict[ColumnSet, int]]:
+        dealt = F.xxhash64(*[F.col(f"`{c}`") for c in ([anchor] if anchor else self.columns)])
+        return set_counts(self.df.filter(F.pmod(dealt, F.lit(share)) == 0), sets, self.rows // share)
+
+    def unique(self, sets: Sequence[ColumnSet]) -> list[ColumnSet]:
+        """Those of the sets of null-free columns on which no two rows agree.
+
+        Samples refute first: the bounded one, then a fixed share of the rows, so that
+        sets with few witnesses do not reach the count of all rows.  A class of whole
+        rows finds what many rows have in common, whatever class its value is in.
+        """
+        left = list(sets)
+        for share in [self.share, *([SAMPLE_SHARE] if self.share > SAMPLE_SHARE else [])] if self.share > 1 else []:
+            found = self.sampled({s: [s] for s in left}, share)
+            left = [s for s in left if found[s][1][0] == found[s][0]]
+        if left and self.share > 1:
+            rows, counts = self._in_class(None, self.share, left)
+            left = [s for s in left if counts[s] == rows]
+        held = unique_sets(self.df, left, self.rows)
+        return [s for s in left if s in held]
+
 
 def _comparable(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     return [f.name for f in df.schema.fields if kind_of(f.dataType) and (columns is None or f.name in columns)]
@@ -254,10 +326,9 @@ def minimal_keys(df: DataFrame, max_size: int = 3, columns: Sequence[str] | None
     as (key_columns, n_columns, rows), columns in schema order.
 
     Level by level; a combination is left out when it holds a key (not minimal),
-    when a column has a null, when the distinct counts of a part and the column
-    added to it multiply to less than the rows, and when two rows of the sample
-    agree on it.  What remains is counted on all rows.  A table without rows has
-    no keys.
+    when a column has a null, when the distinct counts of its columns multiply to
+    less than the rows, and when two rows of a sample agree on it.  What remains is
+    judged on all rows.  A table without rows has no keys.
     """
     columns = _comparable(df, columns)
     counter = _Counter(df, columns, sample_rows)
@@ -269,16 +340,7 @@ def minimal_keys(df: DataFrame, max_size: int = 3, columns: Sequence[str] | None
         keys = [s for s in size if size[s] == counter.rows]
     for k in range(2, max_size + 1 if counter.rows else 0):
         cells = [s for s in combinations(usable, k) if not any(set(key) <= set(s) for key in keys)]
-
-        def may_be_unique(s: ColumnSet) -> bool:
-            return all(size.get(rest, counter.rows) * size[(c,)] >= counter.rows
-                       for c in s for rest in [tuple(x for x in s if x != c)])
-
-        cells = [s for s in cells if may_be_unique(s)]
-        sampled = counter.sampled({s: [s] for s in cells})
-        cells = [s for s in cells if sampled[s][1][0] == sampled[s][0]]
-        size.update(counter.distinct(cells))
-        keys += [s for s in cells if size[s] == counter.rows]
+        keys += counter.unique([s for s in cells if prod(size[(c,)] for c in s) >= counter.rows])
     return df.sparkSession.createDataFrame([(",".join(s), len(s), counter.rows) for s in keys],
                                            "key_columns string, n_columns int, rows long")
 
