@@ -118,13 +118,16 @@ def _load_dimension(wh: Warehouse, spec: TableSpec, sources: Mapping[str, DataFr
 def _load_fact(wh: Warehouse, spec: TableSpec, sources: Mapping[str, DataFrame], load_ts: str | None,
                audit_col: str | None, batch: str) -> None:
     """One write: valid, rejected and resolved rows part by folder."""
-    rows = mapped_rows(spec, sources).withColumn(_BATCH, F.lit(batch)).withColumn(_AGAIN, F.lit(None).cast("string"))
     waiting = open_rejects(wh, spec, batch) if _replayable(spec) else None
+    parents = {p: _parent(wh, p) for p in spec.parents}
+    # Rejects that are tried again have only the mapped row: with them, every key is looked up there.
+    rows = (mapped_rows(spec, sources, parents if waiting is None else None)
+            .withColumn(_BATCH, F.lit(batch)).withColumn(_AGAIN, F.lit(None).cast("string")))
     if waiting is not None:
         rows = rows.unionByName(waiting.select(f"{SOURCE}.*", F.col(BATCH_COL).alias(_BATCH),
                                                F.col(REJECT_ID).alias(_AGAIN)))
     splits = _rejects(spec)
-    plan = plan_table(spec, rows, {p: _parent(wh, p) for p in spec.parents}, source_col=SOURCE if splits else None)
+    plan = plan_table(spec, rows, parents, source_col=SOURCE if splits else None)
     df, observed = plan.df, Observation(f"checks_{spec.target}")
     if plan.fail:
         df = df.observe(observed, *[F.count_if(c).alias(n) for n, c in plan.fail.items()])

@@ -18,20 +18,23 @@ from pyspark.sql.types import StructType
 from starload.functions.scalar import UNKNOWN_SK
 from starload.operators.dims import CONFLICT, COPIES, collapse_on_key
 from starload.operators.keys import assign_surrogate_keys
-from starload.operators.lookup import dim_lookup, missing_dim_default
+from starload.operators.lookup import STATUS_FOUND, STATUS_ORPHAN, dim_lookup, missing_dim_default
 from starload.operators.mapping import add_audit_column, conform_schema, fill_nulls, map_columns
 from starload.operators.quality import LoadCheckError, annotate_rejects, count_checks
 from starload.session import materialize
 
 FAIL, REJECT, KEEP = "fail", "reject", "keep"
 REASONS = "reject_reasons"
+AHEAD = "__ahead_"
 
 
 @dataclass
 class Lookup:
     """Resolve ``fk`` columns against dimension ``dim`` (by ``dim_key``) into
     ``sk_as``.  ``date=True`` joins on ``to_date`` of the single fk column.
-    ``on_missing``: fail / reject / keep (keep = store the -1 member)."""
+    ``on_missing``: fail / reject / keep (keep = store the -1 member).
+    ``at``: the source table (and its column) a single, unfilled fk comes from, where
+    that has fewer rows than the joined source: looked up there, before the join."""
     fk: list[str]
     dim: str
     dim_key: list[str]
@@ -39,6 +42,15 @@ class Lookup:
     date: bool = False
     on_missing: str = FAIL
     dim_sk: str | None = None   # default: the dimension's first sk_ column
+    at: tuple[str, str] | None = None
+
+    @property
+    def ahead(self) -> str:
+        """The column that carries a key looked up before the join; null: not found."""
+        return f"{AHEAD}{self.sk_as}"
+
+    def sk_of(self, dim: DataFrame) -> str:
+        return self.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
 
 
 @dataclass
@@ -131,9 +143,22 @@ def _key_null(cols: list[str]) -> Column:
     return cond
 
 
-def mapped_rows(spec: TableSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """The spec's columns from its source, nulls filled."""
-    df = map_columns(source_frame(spec, sources), spec.columns)
+def mapped_rows(spec: TableSpec, sources: Mapping[str, DataFrame],
+                dims: Mapping[str, DataFrame | None] | None = None) -> DataFrame:
+    """The spec's columns from its source, nulls filled.  With ``dims``, the keys of
+    lookups that name a smaller source table are found there and carried along."""
+    sources, carried = dict(sources), []
+    for lk in spec.lookups:
+        dim = (dims or {}).get(lk.dim)
+        if lk.at is None or dim is None:
+            continue
+        table, column = lk.at
+        key, status = f"__key_{lk.sk_as}", f"__st_{lk.sk_as}"
+        side = sources[table].withColumn(key, F.to_date(F.col(column)) if lk.date else F.col(column))
+        side = dim_lookup(side, dim, key, lk.dim_key, sk=lk.sk_of(dim), sk_as=lk.ahead, status_col=status)
+        sources[table] = side.withColumn(lk.ahead, F.when(F.col(status) == F.lit(STATUS_FOUND), F.col(lk.ahead))).drop(status)
+        carried.append((lk.ahead, lk.ahead))
+    df = map_columns(source_frame(spec, sources), [*spec.columns, *carried])
     return fill_nulls(df, spec.fill) if spec.fill else df
 
 
@@ -232,15 +257,20 @@ def plan_table(spec: TableSpec, mapped: DataFrame, dims: Mapping[str, DataFrame
         status = f"__st_{lk.sk_as}"
         if dim is None:
             df = missing_dim_default(df, lk.fk, lk.sk_as, status_col=status)
+        elif lk.ahead in df.columns:
+            found = F.col(lk.ahead)
+            df = (df.withColumn(lk.sk_as, F.coalesce(found, F.lit(UNKNOWN_SK).cast("bigint")))
+                  .withColumn(status, F.when(found.isNull(), F.lit(STATUS_ORPHAN)).otherwise(F.lit(STATUS_FOUND)))
+                  .drop(lk.ahead, *[c for c in lk.fk if c not in spec.keep_natural]))
         elif lk.date:
-            dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
+            dim_sk = lk.sk_of(dim)
             key = f"__date_{lk.sk_as}"
             df = df.withColumn(key, F.to_date(F.col(lk.fk[0])))
             df = dim_lookup(df, dim, key, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status)
             if lk.fk[0] not in spec.keep_natural:
                 df = df.drop(lk.fk[0])
         else:
-            dim_sk = lk.dim_sk or next(c for c in dim.columns if c.startswith("sk_"))
+            dim_sk = lk.sk_of(dim)
             df = dim_lookup(df, dim, lk.fk, lk.dim_key, sk=dim_sk, sk_as=lk.sk_as, status_col=status,
                             keep_fk=bool(set(lk.fk) & set(spec.keep_natural)))
         rules[f"unresolved_{lk.sk_as}"] = F.col(status) != F.lit("found")
@@ -282,7 +312,7 @@ def build_table(spec: TableSpec, sources: Mapping[str, DataFrame], dims: Mapping
     counts during that same pass (``Observation``); otherwise they are counted
     in ONE aggregate.  ``stats`` receives a dimension's row count.
     """
-    plan = plan_table(spec, mapped_rows(spec, sources), dims, existing, stats)
+    plan = plan_table(spec, mapped_rows(spec, sources, dims), dims, existing, stats)
     df, summary = plan.df, {}
     stored = df.columns if plan.rejecting else [c for c in df.columns if c != REASONS]
     if spec.kind != "dimension" and materialize_checked:

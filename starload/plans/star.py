@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StructField, StructType
 
 from starload.functions.scalar import MIN_DATE, cast_decimal
-from starload.plans.spec import FAIL, KEEP, Lookup, TableSpec, build_table, dependency_levels, run_level
+from starload.plans.spec import AHEAD, FAIL, KEEP, Lookup, TableSpec, build_table, dependency_levels, run_level
 from starload.sources.tables import read_tables
 
 # Fixed audit timestamp so results are repeatable and comparable.
@@ -39,10 +39,12 @@ def _dates(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 def _lines_with_orders(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Fact source: every line with its order's customer and date.  A left
-    join, so a line without an order still reaches the checks."""
+    join, so a line without an order still reaches the checks.  Keys looked up on
+    the orders come along."""
+    ahead = [c for c in sources["orders"].columns if c.startswith(AHEAD)]
     li = sources["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                                     "l_discount", "l_tax", "l_shipdate")
-    o = sources["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    o = sources["orders"].select("o_orderkey", "o_custkey", "o_orderdate", *ahead)
     return li.join(o, li["l_orderkey"] == o["o_orderkey"], "left")
 
 
@@ -107,9 +109,9 @@ def star_specs(on_missing: str = FAIL, dim_on_missing: str = KEEP) -> list[Table
                            Lookup(["supplier_id"], "dim_supplier", ["supplier_id"], "sk_supplier",
                                   on_missing=on_missing),
                            Lookup(["customer_id"], "dim_customer", ["customer_id"], "sk_customer",
-                                  on_missing=on_missing),
+                                  on_missing=on_missing, at=("orders", "o_custkey")),
                            Lookup(["order_date"], "dim_date", ["date_value"], "sk_order_date", date=True,
-                                  on_missing=on_missing),
+                                  on_missing=on_missing, at=("orders", "o_orderdate")),
                            Lookup(["ship_date"], "dim_date", ["date_value"], "sk_ship_date", date=True,
                                   on_missing=on_missing)],
                   schema=FACT_SCHEMA),

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from starload.operators.quality import LoadCheckError
 from starload.plans.load import run_load
-from starload.plans.spec import FAIL, KEEP, REJECT, Lookup, TableSpec, build_table, topological_order
-from starload.plans.star import LOAD_TS, star_sources, star_specs
+from starload.plans.spec import (FAIL, KEEP, REJECT, Lookup, TableSpec, build_table, mapped_rows, plan_table,
+                                 topological_order)
+from starload.plans.star import LOAD_TS, spec_by_name, star_sources, star_specs
 from starload.sources.warehouse import append_by_name, append_new_only, read_back
 
 from locations import SF_SMALL
@@ -151,3 +152,32 @@ def test_load_clusters_files_by_spec(spark, tmp_target):
                    .groupBy(F.input_file_name()).agg(F.min("region_name").alias("lo"), F.max("region_name").alias("hi"))
                    .collect())
     assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_keys_of_orders_are_looked_up_before_lines_are_joined(spark):
+    """Null, unknown and repeated orders, null and unknown customers: the rows and
+    reasons are those of lookups on the joined lines."""
+    lines = spark.createDataFrame(
+        [(o, 1, 1, 2.0, 3.5, 0.1, 0.2, "2020-01-02 00:00:00") for o in (1, 1, 2, 3, 4, 9, None)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_shipdate string").withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    orders = spark.createDataFrame(
+        [(1, 5, "2020-01-01 10:00:00"), (2, None, None), (3, 77, "2021-05-05 00:00:00"), (4, 5, "2020-01-01 00:00:00"),
+         (4, 6, "2020-01-02 00:00:00"), (None, 5, None)],
+        "o_orderkey long, o_custkey long, o_orderdate string").withColumn("o_orderdate", F.to_timestamp("o_orderdate"))
+    dims = {"dim_part": spark.createDataFrame([(1, 1)], "sk_part long, part_id long"),
+            "dim_supplier": spark.createDataFrame([(1, 1)], "sk_supplier long, supplier_id long"),
+            "dim_customer": spark.createDataFrame([(11, 5), (12, 6)], "sk_customer long, customer_id long"),
+            "dim_date": spark.sql("SELECT 1L AS sk_date, DATE'2020-01-01' AS date_value "
+                                  "UNION ALL SELECT 2L, DATE'2020-01-02'")}
+    spec, sources = spec_by_name("fact_lineitem", KEEP), {"lineitem": lines, "orders": orders}
+    early = mapped_rows(spec, sources, dims)
+    assert {"__ahead_sk_customer", "__ahead_sk_order_date"} <= set(early.columns)
+    got = plan_table(spec, early, dims, source_col="source").df
+    want = plan_table(spec, mapped_rows(spec, sources), dims, source_col="source").df
+    assert sorted(got.columns) == sorted(want.columns)
+    assert (sorted(map(str, got.select(*sorted(got.columns)).collect()))
+            == sorted(map(str, want.select(*sorted(got.columns)).collect())))
+    assert sorted(r.sk_customer for r in got.collect()) == [-1, -1, -1, -1, 11, 11, 11, 12]
+    absent = {**dims, "dim_customer": None}
+    assert {r.sk_customer for r in plan_table(spec, mapped_rows(spec, sources, absent), absent).df.collect()} == {-1}
