@@ -15,6 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from starload.llm._work import Workspace
 from starload.llm import (bpe, chat_format, decontaminate, fuzzy_passages, lang_id, lattice_lm, near_dedup,
                           quality_rules, suffix_levels, token_counts)
 from starload.llm.queries import pattern, vocabulary
@@ -188,6 +189,40 @@ def test_passages_link_all_holders(docs_of):
     assert got[21].n_repeat_words >= 140 and {r.group_id for r in got.values()} == {0}
 
 
+def test_texts_of_pairs_travel_once_a_job(spark, monkeypatch):
+    texts = [(i, 100 + i, f"text {i} " * 20) for i in range(40)]
+    pairs = [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    frames = spark.createDataFrame(pairs, "ta long, tb long"), spark.createDataFrame(texts, "th long, class_id long, text string")
+    for size, most in ((1 << 20, 40), (2_000, 40 * 40)):
+        monkeypatch.setattr(fuzzy_passages, "BLOCK_BYTES", size)
+        with Workspace(spark, "jobs") as ws:
+            rows = fuzzy_passages.jobs(ws, *frames).collect()
+        # every pair in one job, which has both texts, before its pairs
+        assert sorted((r.ta, r.tb) for r in rows if r.tb is not None) == pairs
+        have = [(r.lo, r.hi, r.part, r.ta) for r in rows if r.tb is None]
+        assert len(have) == len(set(have)) <= most
+        seen = set()
+        for r in rows:
+            if r.tb is None:
+                assert (r.class_id, r.text) == texts[r.ta][1:]
+                seen.add((r.lo, r.hi, r.part, r.ta))
+            else:
+                assert {(r.lo, r.hi, r.part, r.ta), (r.lo, r.hi, r.part, r.tb)} <= seen
+
+
+def test_meetings_are_summed_in_their_task(spark, monkeypatch):
+    held = [(key, i - 3, 1 + key % 2) for key in range(50) for i in range(6)]
+    want = {(i - 3, j - 3): 75 for i in range(6) for j in range(i + 1, 6)}
+    frame = spark.createDataFrame(held, "key long, id int, n int").coalesce(1)
+    for met in (1 << 21, 7):
+        monkeypatch.setattr(fuzzy_passages, "MET", met)
+        rows, got = fuzzy_passages.meetings(frame).collect(), Counter()
+        for r in rows:
+            got[r.ia, r.ib] += r.n
+        assert got == want
+        assert met == 7 or len(rows) <= 15 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_passages_whose_runs_occur_elsewhere(docs_of):
     passage = prose(3, 66).split()
 
