@@ -253,6 +253,50 @@ def test_matches_are_all_of_them(monkeypatch):
     assert len(fuzzy_passages.matches(word, word)) < 40 * len(word)
 
 
+def few_words(seed, n):
+    """Two texts of a few words: at random, with a passage edited, or lines repeated."""
+    rng = np.random.default_rng(seed)
+    x, y = (rng.integers(0, 8 if seed % 3 else 60, n + 40 * k) for k in range(2))
+    line = rng.integers(0, 300, 30)
+    for t in (x, y):
+        for at in range(0, len(t) - 30, 31 + int(rng.integers(0, 3))) if seed % 2 else ():
+            t[at:at + 30] = line
+        t[rng.integers(0, len(t), n // 12)] = rng.integers(900, 999, n // 12)
+    if seed % 4 < 2:
+        y[40:140] = x[10:110]
+        y[40 + rng.integers(0, 100, 12)] = 777
+    return (t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for t in (x, y))
+
+
+def test_chains_of_a_pair_are_judged_together(monkeypatch):
+    linked, cut = 0, 0
+    for seed in range(48):
+        rx, ry = (fuzzy_passages.Runs(t) for t in few_words(seed, 120 + 20 * (seed % 12)))
+        at = fuzzy_passages.runs_matched(rx, ry)
+        found = fuzzy_passages.chains(at[:, 0], at[:, 1])
+        want = [p for c in found for p in fuzzy_passages.accepted(rx.words, ry.words, at[c, 0], at[c, 1])]
+        with monkeypatch.context() as patch:
+            patch.setattr(fuzzy_passages, "align", None)      # no chain is aligned by itself
+            got = fuzzy_passages.all_accepted(rx, ry, at, found)
+        assert sorted(map(tuple, got.tolist())) == sorted(want)
+        linked += len(want)
+        if found:
+            opened = fuzzy_passages.Opened(rx, ry, at, found)
+            opened.round()
+            cut += len(opened.open)
+    assert linked > 500 and cut > 50
+
+
+def test_common_words_of_many():
+    rng = np.random.default_rng(6)
+    x, y = (rng.integers(0, 9, 400).astype(np.uint64) for _ in range(2))
+    px, py = rng.integers(0, 330, (2, 200))
+    for most in (4, 8, 31, 63):
+        nx, ny = rng.integers(0, most + 1, (2, 200))
+        want = [fuzzy_passages.common(x[p:p + n], y[q:q + m]) for p, n, q, m in zip(px, nx, py, ny)]
+        assert fuzzy_passages.common_of_many(x, px, nx, y, py, ny).tolist() == want
+
+
 def test_extension_has_no_end_of_its_own():
     x = np.arange(10_000, dtype=np.uint64)
     assert fuzzy_passages.align(x, x, np.array([0]), np.array([0])) == (0, 10_000, 0, 10_000, 10_000)
